@@ -30,16 +30,23 @@ def around_any(logs: DataFrame, anchors: DataFrame, ts: str, seconds: int = WIND
     micros = F.unix_micros(as_timestamp(F.col(ts)))
     edges = (
         anchors.select(micros.alias("_t"))
-        .groupBy(F.expr(f"_t div {width}").alias("_bucket"))
+        .groupBy(F.expr(f"(_t - pmod(_t, {width})) div {width}").alias("_bucket"))
         .agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
     )
     # What a bucket's anchors say to the entries of a bucket: own, one later, one earlier.
+    nothing = F.lit(None).cast("bigint")
+
+    def offer(bucket: Column, own: bool, before: Column, after: Column) -> Column:
+        return F.struct(
+            bucket.alias("_bucket"), F.lit(own).alias("_own"), before.alias("_before"), after.alias("_after")
+        )
+
     offers = edges.select(
         F.inline(
             F.array(
-                F.struct(F.col("_bucket"), F.lit(True).alias("_own"), F.lit(None).cast("bigint").alias("_before"), F.lit(None).cast("bigint").alias("_after")),
-                F.struct(F.col("_bucket") + 1, F.lit(False), F.col("_last"), F.lit(None).cast("bigint")),
-                F.struct(F.col("_bucket") - 1, F.lit(False), F.lit(None).cast("bigint"), F.col("_first")),
+                offer(F.col("_bucket"), True, nothing, nothing),
+                offer(F.col("_bucket") + 1, False, F.col("_last"), nothing),
+                offer(F.col("_bucket") - 1, False, nothing, F.col("_first")),
             )
         )
     )
@@ -49,7 +56,7 @@ def around_any(logs: DataFrame, anchors: DataFrame, ts: str, seconds: int = WIND
     hit = F.col("_own") | (F.col("_t") - F.col("_before") <= width) | (F.col("_after") - F.col("_t") <= width)
     return (
         logs.withColumn("_t", micros)
-        .withColumn("_bucket", F.expr(f"_t div {width}"))
+        .withColumn("_bucket", F.expr(f"(_t - pmod(_t, {width})) div {width}"))
         .join(near, "_bucket")
         .where(hit)
         .select(*logs.columns)

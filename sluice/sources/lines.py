@@ -86,5 +86,5 @@ def entity_of(path: Column, depth: int = 1) -> Column:
 
 def slice_of(path: Column, prefix: str = "input-", pattern: str = "yyyyMMddHHmm") -> Column:
     """Slice end stated in a folder name such as ``input-202401011230``."""
-    digits = F.regexp_extract(path, rf"/{prefix}([0-9T]+)/", 1)
+    digits = F.regexp_extract(path, rf"[/=]{prefix}([0-9T]+)/", 1)
     return F.try_to_timestamp(digits, F.lit(pattern))

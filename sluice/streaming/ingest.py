@@ -38,8 +38,9 @@ def line_stream(spark: SparkSession, folder: str, glob: str | None = None) -> Da
 
 
 def table_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Rows of Parquet files as they appear."""
-    return spark.readStream.schema(schema).parquet(path)
+    """Rows of Parquet files as they appear.  The path goes in as a pattern, so
+    it may name a folder or a single file."""
+    return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool) -> StreamingQuery:
