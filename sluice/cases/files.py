@@ -25,7 +25,7 @@ from sluice.sinks.tables import read_log, write_slices
 from sluice.sinks.xmlfiles import part_rows, write_xml
 from sluice.sources.files import changed_files, list_files, non_empty
 from sluice.sources.lines import entity_of, locate, read_lines, slice_of
-from sluice.sources.xml import read_entries
+from sluice.sources.xml import is_entry, read_entries
 from sluice.spec import StoreSpec
 
 
@@ -161,7 +161,7 @@ def multi_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     report = None
     for entity, written in stored.items():
-        rows = spark.read.text(written.path).where(F.col("value").startswith("<row>"))
+        rows = spark.read.text(written.path).where(is_entry(F.col("value"), "row"))
         rows = rows.agg(F.lit(entity).alias("entity"), F.count("*").alias("rows"))
         report = rows if report is None else report.unionByName(rows)
     return report

@@ -21,29 +21,32 @@ def build_scale(*groups: Sequence[Column]) -> Column:
     return F.concat(*parts, F.lit(")"))
 
 
-def _segments(text: Column) -> Column:
-    body = F.substring(text, F.lit(2), F.length(text) - 2)
-    # Trailing empty segments do not count, so text of separators only has none.
-    kept = F.rtrim(body, F.lit(";"))
-    return F.when((kept == "") & (body != ""), F.array().cast("array<string>")).otherwise(F.split(kept, ";"))
+def _split(text: Column, separator: str) -> Column:
+    """Members of a text.  Trailing empty members do not count, so a text of
+    separators only has none; an empty text is one empty member."""
+    kept = F.rtrim(text, F.lit(separator))
+    none = F.array().cast("array<string>")
+    tail = F.when((kept == "") & (text != ""), none).otherwise(F.split(kept, separator))
+    return F.when(text.endswith(separator), tail).otherwise(F.split(text, separator))
 
 
-def _fields(segment: Column) -> Column:
-    return F.split(F.rtrim(segment, F.lit(",")), ",")
+def _table(text: Column) -> Column:
+    """The text as an array of segments, each an array of members."""
+    body = F.substring(text, F.lit(2), F.length(text) - 2)
+    return F.transform(_split(body, ";"), lambda segment: _split(segment, ","))
 
 
 def parse_scale(text: Column, children: Sequence[str]) -> Column:
     """Array of structs with the named children.  Missing members are null,
     surplus members are ignored, null text gives a null array."""
 
-    def group(segment: Column) -> Column:
-        fields = _fields(segment)
-        return F.struct(*[F.get(fields, F.lit(k)).alias(name) for k, name in enumerate(children)])
+    def group(members: Column) -> Column:
+        return F.struct(*[F.get(members, F.lit(k)).alias(name) for k, name in enumerate(children)])
 
-    return F.transform(_segments(text), group)
+    return F.transform(_table(text), group)
 
 
 def missing_members(text: Column, width: int) -> Column:
     """How many children a text lacks over all its segments."""
-    gaps = F.transform(_segments(text), lambda s: F.greatest(F.lit(width) - F.size(_fields(s)), F.lit(0)))
+    gaps = F.transform(_table(text), lambda m: F.greatest(F.lit(width) - F.size(m), F.lit(0)))
     return F.aggregate(gaps, F.lit(0), lambda total, n: total + n)

@@ -15,6 +15,8 @@ from sluice.spec import ProcessorSpec, SpecError, StoreSpec, check_xml_name
 # Characters XML 1.0 does not allow: controls other than tab and line ends,
 # and the two non-characters.
 ILLEGAL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]"
+# The same and line ends: text that needs more than the usual escapes.
+_UNUSUAL = r"[\x00-\x08\x0A-\x1F\x{FFFE}\x{FFFF}]"
 
 _PLAIN = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 _NESTED = (T.MapType, T.StructType, T.ArrayType)
@@ -29,67 +31,89 @@ class StoreTypeError(TypeError):
 
 
 def legal_text(text: Column) -> Column:
-    """Text without characters XML forbids; clean text is passed on as it is."""
-    return F.when(text.rlike(ILLEGAL), F.regexp_replace(text, ILLEGAL, "")).otherwise(text)
+    """Text without characters XML forbids."""
+    return F.regexp_replace(text, ILLEGAL, "")
 
 
 def illegal_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(ILLEGAL)), F.lit(0))
 
 
-def _scalar(name: str, kind: T.DataType) -> Column:
+def _text(name: str, kind: T.DataType) -> Column:
+    """A column as text, by type."""
     column = F.col(f"`{name}`")
-    if isinstance(kind, T.NullType):
-        return column.cast("string")
-    if isinstance(kind, _PLAIN):
+    if isinstance(kind, T.StringType):
+        return column
+    if isinstance(kind, (T.NullType, *_PLAIN)):
         return column.cast("string")
     if isinstance(kind, T.BinaryType):
-        return legal_text(F.decode(column, "UTF-8"))
-    if isinstance(kind, T.StringType):
-        return legal_text(column)
+        return F.decode(column, "UTF-8")
     if isinstance(kind, _NESTED):
         raise StoreTypeError(2107, f"column {name!r}: nested types are not supported")
     raise StoreTypeError(2108, f"column {name!r}: format {kind.simpleString()} as text first")
 
 
-def _scale(name: str, spec: ProcessorSpec) -> Column:
-    return parse_scale(legal_text(F.col(f"`{name}`")), spec.children)
+def _scale(text: Column, spec: ProcessorSpec) -> Column:
+    return parse_scale(text, spec.children)
 
 
 # Processor types by name; add an entry to offer another one.
-Processor = Callable[[str, ProcessorSpec], Column]
+Processor = Callable[[Column, ProcessorSpec], Column]
 PROCESSORS: dict[str, Processor] = {"scale": _scale}
 
 
-def entry_fields(schema: T.StructType, spec: StoreSpec, processors: Mapping[str, Processor] = PROCESSORS) -> list[Column]:
-    """Element columns of an entry, in schema order."""
+def _is_free_text(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.StringType, T.BinaryType))
+
+
+def entry_fields(
+    schema: T.StructType, spec: StoreSpec, clean: bool, processors: Mapping[str, Processor] = PROCESSORS
+) -> list[Column]:
+    """Element columns of an entry, in schema order; ``clean`` drops forbidden characters."""
     for column in spec.processors:
         if column not in schema.names:
             raise SpecError(f"processor for unknown column {column!r}")
     fields = []
     for f in schema.fields:
+        text = _text(f.name, f.dataType)
+        if clean and _is_free_text(f.dataType):
+            text = legal_text(text)
         chosen = spec.processors.get(f.name)
         if chosen is None:
-            fields.append(_scalar(f.name, f.dataType).alias(check_xml_name(f.name, "column")))
+            fields.append(text.alias(check_xml_name(f.name, "column")))
             continue
         if chosen.type not in processors:
             raise SpecError(f"unknown processor type {chosen.type!r}")
         if not isinstance(f.dataType, T.StringType):
             raise StoreTypeError(2108, f"column {f.name!r}: a processor reads text")
-        fields.append(processors[chosen.type](f.name, chosen).alias(chosen.node))
+        fields.append(processors[chosen.type](text, chosen).alias(chosen.node))
     return fields
 
 
 def to_entries(df: DataFrame, spec: StoreSpec, keep: tuple[str, ...] = (), name: str = "value") -> DataFrame:
     """One XML text per row, always on a single line; ``keep`` columns ride
-    along and are not part of the entry."""
+    along and are not part of the entry.
+
+    One look at all text of a row tells whether it needs the careful form;
+    most rows do not and skip the per-column work.
+    """
     stored = T.StructType([f for f in df.schema.fields if f.name not in keep])
-    options = {**XML_NAMES, "rowTag": spec.entry, "indent": ""}
-    xml = F.rtrim(F.to_xml(F.struct(*entry_fields(stored, spec)), options), F.lit("\n"))
+
+    def rendered(clean: bool) -> Column:
+        fields = F.struct(*entry_fields(stored, spec, clean))
+        return F.to_xml(fields, {**XML_NAMES, "rowTag": spec.entry, "indent": ""})
+
+    # The writer ends every entry with a line end.  It goes; text cannot hold a raw tag.
+    end = f"</{spec.entry}>"
+    careful = F.replace(rendered(clean=True), F.lit(f"{end}\n"), F.lit(end))
     # A line end inside a value becomes a character reference: entries stay on
     # one line, so files split when read back, and the value survives.
     for raw, reference in (("\n", "&#10;"), ("\r", "&#13;")):
-        xml = F.replace(xml, F.lit(raw), F.lit(reference))
+        careful = F.replace(careful, F.lit(raw), F.lit(reference))
+    texts = [_text(f.name, f.dataType) for f in stored.fields if _is_free_text(f.dataType)]
+    xml = F.substring_index(rendered(clean=False), "\n", 1)
+    if texts:
+        xml = F.when(F.concat_ws("", *texts).rlike(_UNUSUAL), careful).otherwise(xml)
     return df.select(*keep, xml.alias(name))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.xmlrows import to_entries
 from sluice.sources.files import decoded
+from sluice.sources.xml import is_entry
 from sluice.spec import StoreSpec
 
 
@@ -66,5 +67,5 @@ def write_xml(df: DataFrame, path: str, spec: StoreSpec, files: int | None = Non
 
 def part_rows(spark: SparkSession, path: str, entry: str) -> DataFrame:
     """Entries per written file."""
-    lines = spark.read.text(path).where(F.col("value").startswith(f"<{entry}>"))
+    lines = spark.read.text(path).where(is_entry(F.col("value"), entry))
     return lines.groupBy(decoded(F.col("_metadata.file_name")).alias("name")).agg(F.count("*").alias("rows"))

@@ -18,11 +18,16 @@ def parse_entry(xml: Column, schema: str | T.StructType) -> Column:
     return F.from_xml(xml, schema if isinstance(schema, str) else schema.simpleString(), _READ)
 
 
+def is_entry(line: Column, entry: str) -> Column:
+    """Whether a line of a written file is an entry, not part of the envelope."""
+    return line.startswith(f"<{entry}>") | (line == f"<{entry}/>")
+
+
 def read_entries(spark: SparkSession, path: str, schema: str | T.StructType, entry: str) -> DataFrame:
     """Files of this library, which keep one entry per line, so that large
     files split.  Envelope lines do not start with the entry element."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
-    entries = lines.where(F.col("value").startswith(f"<{entry}>"))
+    entries = lines.where(is_entry(F.col("value"), entry))
     return entries.select(F.inline(F.array(parse_entry(F.col("value"), schema))))
 
 
