@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even out an input of fewer splits than there are cores, ahead of costly
+    work per row.  A large input has enough splits and is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def stamp(ts: Column) -> Column:
     return F.date_format(as_timestamp(ts), "yyyy-MM-dd HH:mm:ss")
 
@@ -117,7 +124,7 @@ def feed_text(lineitem: DataFrame) -> DataFrame:
 
 
 def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = feed_text(table(spark, sf_dir, "lineitem"))
+    text = feed_text(spread(table(spark, sf_dir, "lineitem")))
     return lines_from(text, F.col("value"), F.lit("feed/lineitem.csv"), F.monotonically_increasing_id())
 
 

@@ -15,6 +15,7 @@ from sluice.cases.feeds import (
     customer_lines,
     customer_spec,
     feed_lines,
+    spread,
     table,
 )
 from sluice.functions.scale import build_scale, parse_scale
@@ -303,7 +304,8 @@ def _scale():
        select l_orderkey, l_linenumber, 1, cast(l_discount as varchar), cast(l_tax as varchar) from lineitem""",
 )
 def scale_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    built = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", _scale().alias("scale"))
+    items = spread(table(spark, sf_dir, "lineitem"))
+    built = items.select("l_orderkey", "l_linenumber", _scale().alias("scale"))
     return built.select(
         "l_orderkey", "l_linenumber", F.posexplode(parse_scale(F.col("scale"), ["q", "v"])).alias("segment", "s")
     ).select("l_orderkey", "l_linenumber", "segment", "s.q", "s.v")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.cases import case
-from sluice.cases.feeds import FEED_ROWS, feed_lines, table
+from sluice.cases.feeds import FEED_ROWS, feed_lines, spread, table
+from sluice.functions.scale import build_scale
 from sluice.operators.validate import check
 from sluice.operators.xmlrows import store_losses, to_entries
 from sluice.plans.normalize import FEED_SPEC, FEED_STORE, normalize_feed
@@ -109,8 +110,10 @@ def xml_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def xml_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated scale nodes parsed back into rows."""
-    scale = F.format_string("(%s,%s;%s,%s)", *[F.col(c).cast("string") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")])
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", scale.alias("scale"))
+    pairs = (("l_quantity", "l_extendedprice"), ("l_discount", "l_tax"))
+    scale = build_scale(*[[F.col(c) for c in pair] for pair in pairs])
+    items = spread(table(spark, sf_dir, "lineitem"))
+    rows = items.select("l_orderkey", "l_linenumber", scale.alias("scale"))
     spec = StoreSpec.of(
         {"entry": "e", "processors": [{"column": "scale", "type": "scale", "node": "S", "children": ["q", "v"]}]}
     )
