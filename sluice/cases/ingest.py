@@ -28,7 +28,7 @@ from sluice.operators.loadlog import (
     load_log,
     next_index,
 )
-from sluice.operators.validate import check, fault_message
+from sluice.operators.validate import Checked, check, fault_message
 from sluice.plans.normalize import (
     FEED_SPEC,
     normalize_feed,
@@ -67,8 +67,9 @@ def csv_skip_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check(customer_lines(spark, sf_dir, type_faults=True), customer_spec()).good
 
 
-def _faulty(spark: SparkSession, sf_dir: str, policy: str = "skip"):
-    return check(customer_lines(spark, sf_dir, width_faults=True, type_faults=True), customer_spec(policy))
+def _faulty(spark: SparkSession, sf_dir: str, policy: str = "skip") -> Checked:
+    """The faulty feed, checked once; log and line numbers read the staged result."""
+    return check(customer_lines(spark, sf_dir, width_faults=True, type_faults=True), customer_spec(policy)).stage(spark)
 
 
 @case(
@@ -99,7 +100,8 @@ def csv_quarantine_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     from faults group by file_name""",
 )
 def load_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _faulty(spark, sf_dir).file_stats.drop("path")
+    lines = customer_lines(spark, sf_dir, width_faults=True, type_faults=True)
+    return check(lines, customer_spec()).file_stats.drop("path")
 
 
 _SKIPS = f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +33,8 @@ from sluice.operators.monitor import (
 )
 from sluice.plans.status import pipeline_status
 from sluice.session import work_dir
-from sluice.sources.records import read_pipelines
+from sluice.sources.records import RUNS as RUN_SCHEMA
+from sluice.sources.records import read_json, read_pipelines
 
 _STAMP = "'%Y-%m-%d %H:%M:%S'"
 _COUNTS = """count(*) filter (status = 'Ready') as success,
@@ -108,6 +111,31 @@ def pipeline_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@case(
+    "run_documents",
+    f"""with {RUNS} select cast(id as varchar) as id, dataset, strftime(slice_start, {_STAMP}) as slice_start, status,
+      has_logs from runs
+    where slice_start >= timestamp '2024-01-10 00:00:00' and slice_start < timestamp '2024-01-20 00:00:00'""",
+)
+def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run records as JSON lines, read under their schema and bounded by slice start."""
+    where = work_dir(spark, "runs")
+    run_records(spark, sf_dir).select(
+        F.col("id").cast("string").alias("id"),
+        "dataset",
+        F.date_format("slice_start", "yyyy-MM-dd'T'HH:mm:ss.SSS'0000Z'").alias("dataSliceStart"),
+        "status",
+        F.col("has_logs").alias("hasLogs"),
+    ).write.json(where)
+    start = F.col("dataSliceStart")
+    bounded = read_json(spark, where, RUN_SCHEMA).where(
+        (start >= F.lit(datetime(2024, 1, 10))) & (start < F.lit(datetime(2024, 1, 20)))
+    )
+    return bounded.select(
+        "id", "dataset", stamp(start).alias("slice_start"), "status", F.col("hasLogs").alias("has_logs")
+    )
+
+
 @case(
     "activity_edges",
     """select 'pl-' || c_custkey as pipeline, 1 as position, 'Copy' as activity, 'Normalize' as next_activity from customer

@@ -21,7 +21,8 @@ from sluice.spec import LoadSpec
 _CORRUPT = "_corrupt"
 _CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "escape": '"'}
 _WIDTH = -1  # verdict of a line with the wrong number of fields
-_PROVENANCE = ("path", "file_name", "block_start", "row_id")
+_SPLIT = ("path", "file_name", "block_start")
+_PROVENANCE = (*_SPLIT, "row_id")
 
 # One window of the line count covers at most this many bytes of a file.
 LINE_CHUNK_BYTES = 1 << 40
@@ -104,17 +105,25 @@ class Checked:
             self._policy().alias("policy"),
         )
 
+    @cached_property
+    def split_sizes(self) -> DataFrame:
+        """Lines per file split, without parsing them."""
+        if self.staged_stats is not None:
+            return self.staged_stats
+        return self.lines.groupBy(*_SPLIT).agg(
+            F.count("*").alias("rows_read"), F.min("row_id").alias("first_id")
+        )
+
     @cached_property
     def split_stats(self) -> DataFrame:
         """Counts per file split: one small row each, combined before the shuffle."""
         if self.staged_stats is not None:
             return self.staged_stats
         bad = F.col("_verdict").isNotNull()
-        return self.parsed.groupBy("path", "file_name", "block_start").agg(
+        return self.parsed.groupBy(*_SPLIT).agg(
             F.count("*").alias("rows_read"),
             F.count_if(bad).alias("rows_skipped"),
             F.count_if(bad & (self._policy() == "fail")).alias("rows_failed"),
-            F.min("row_id").alias("first_id"),
         )
 
     @cached_property
@@ -131,14 +140,10 @@ class Checked:
         folder = work_dir(spark, "checked")
         self.quarantine.write.parquet(f"{folder}/quarantine")
         quarantine = spark.read.parquet(f"{folder}/quarantine")
-        keys = ["path", "file_name", "block_start"]
-        read = self.lines.groupBy(*keys).agg(
-            F.count("*").alias("rows_read"), F.min("row_id").alias("first_id")
-        )
-        rejected = quarantine.groupBy(*keys).agg(
+        rejected = quarantine.groupBy(*_SPLIT).agg(
             F.count("*").alias("rows_skipped"), F.count_if(F.col("policy") == "fail").alias("rows_failed")
         )
-        stats = read.join(rejected, keys, "left").fillna(0, ["rows_skipped", "rows_failed"])
+        stats = self.split_sizes.join(rejected, list(_SPLIT), "left").fillna(0, ["rows_skipped", "rows_failed"])
         stats.write.parquet(f"{folder}/stats")
         stats = spark.read.parquet(f"{folder}/stats")
         return Checked(self.spec, self.lines, self.parsed, quarantine, stats)
@@ -149,7 +154,7 @@ class Checked:
         Only split counts are summed; the rows themselves are not sorted.
         """
         starts = running_total(
-            self.split_stats.select("path", "block_start", "rows_read", "first_id"),
+            self.split_sizes.select("path", "block_start", "rows_read", "first_id"),
             ["path"],
             "block_start",
             "rows_read",

@@ -7,9 +7,13 @@ still open.  A task that dies half-way may deliver its open files again.
 
 from __future__ import annotations
 
+import urllib.request
 from collections.abc import Callable, Iterator, Sequence
+from typing import BinaryIO
+from urllib.parse import unquote
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +24,26 @@ LEDGER = "path string, step int, command string, delivered boolean, error string
 Action = Callable[[str, str], None]
 
 
+def sending(send: Callable[[str, BinaryIO], None]) -> Action:
+    """An action that hands the open file to ``send(command, body)``; the file
+    is streamed from whatever file system holds it."""
+
+    def action(path: str, command: str) -> None:
+        filesystem, inside = fs.FileSystem.from_uri(path)
+        with filesystem.open_input_stream(unquote(inside)) as body:
+            send(command, body)
+
+    return action
+
+
+def post_xml(url: str, body: BinaryIO, opener: Callable = urllib.request.urlopen) -> None:
+    """Post an enveloped file to a web service; an error status raises."""
+    request = urllib.request.Request(url, data=body, method="POST")
+    request.add_header("Content-Type", "text/xml; charset=utf-8")
+    with opener(request):
+        pass
+
+
 class DeliveryFailed(RuntimeError):
     """An action failed for at least one file; the ledger names them all."""
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluice.operators.loadlog import MORE_SKIPPED, load_log, next_index
 from sluice.operators.validate import check
 from sluice.plans.normalize import FEED_SPEC, Run, normalize_local, store_slice
-from sluice.sinks.deliver import DeliveryFailed, deliver, manifest
+from sluice.sinks.deliver import DeliveryFailed, deliver, manifest, post_xml, sending
 from sluice.sinks.tables import append_log, export_instance, read_log, write_slices
 from sluice.sinks.xmlfiles import write_xml
 from sluice.sources.files import list_files
@@ -173,6 +173,22 @@ def test_delivery_resumes_after_a_failure(spark, tmp_path):
     deliver(spark, out, ledger, flaky, steps)  # nothing is left to send
 
 
+def test_files_are_streamed_to_the_service(tmp_path):
+    calls = []
+
+    class Answer:
+        __enter__ = __exit__ = lambda *args: None
+
+    def opener(request):
+        calls.append((request.full_url, request.method, request.data.read().decode(), request.headers["Content-type"]))
+        return Answer()
+
+    (tmp_path / "a b.txt").write_text("<e>é</e>", encoding="utf-8")
+    action = sending(lambda url, body: post_xml(url, body, opener))
+    action(f"file://{tmp_path}/a%20b.txt", "https://host.example/put")
+    assert calls == [("https://host.example/put", "POST", "<e>é</e>", "text/xml; charset=utf-8")]
+
+
 def test_stream_picks_up_only_new_files(spark, tmp_path):
     spec = LoadSpec.of({"onWrongColumnCount": "skip", "columns": [{"name": "i", "type": "int", "onWrongType": "skip"}, {"name": "s", "type": "string"}]})
     source = tmp_path / "in"

@@ -84,7 +84,7 @@ def test_statistics_count_accepted_and_rejected(spark):
 def test_staged_equals_direct(spark):
     direct = check(as_lines(spark, LINES), SPEC)
     staged = direct.stage(spark)
-    for name in ("quarantine", "split_stats", "file_stats"):
+    for name in ("quarantine", "file_stats"):
         a, b = getattr(direct, name), getattr(staged, name)
         assert sorted(map(str, a.select(sorted(a.columns)).collect())) == sorted(
             map(str, b.select(sorted(b.columns)).collect())
