@@ -26,14 +26,19 @@ def _split(text: Column, separator: str) -> Column:
     separators only has none; an empty text is one empty member."""
     kept = F.rtrim(text, F.lit(separator))
     none = F.array().cast("array<string>")
-    tail = F.when((kept == "") & (text != ""), none).otherwise(F.split(kept, separator))
-    return F.when(text.endswith(separator), tail).otherwise(F.split(text, separator))
+    return F.when((kept == "") & (text != ""), none).otherwise(F.split(kept, separator))
 
 
 def _table(text: Column) -> Column:
-    """The text as an array of segments, each an array of members."""
+    """The text as an array of segments, each an array of members.
+
+    Only a text with an empty member at some end needs the careful split.
+    """
     body = F.substring(text, F.lit(2), F.length(text) - 2)
-    return F.transform(_split(body, ";"), lambda segment: _split(segment, ","))
+    ragged = body.endswith(",") | body.endswith(";") | body.contains(",;")
+    careful = F.transform(_split(body, ";"), lambda segment: _split(segment, ","))
+    plain = F.transform(F.split(body, ";"), lambda segment: F.split(segment, ","))
+    return F.when(ragged, careful).otherwise(plain)
 
 
 def parse_scale(text: Column, children: Sequence[str]) -> Column:

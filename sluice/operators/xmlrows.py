@@ -111,7 +111,7 @@ def to_entries(df: DataFrame, spec: StoreSpec, keep: tuple[str, ...] = (), name:
     for raw, reference in (("\n", "&#10;"), ("\r", "&#13;")):
         careful = F.replace(careful, F.lit(raw), F.lit(reference))
     texts = [_text(f.name, f.dataType) for f in stored.fields if _is_free_text(f.dataType)]
-    xml = F.substring_index(rendered(clean=False), "\n", 1)
+    xml = F.split(rendered(clean=False), "\n")[0]
     if texts:
         xml = F.when(F.concat_ws("", *texts).rlike(_UNUSUAL), careful).otherwise(xml)
     return df.select(*keep, xml.alias(name))

@@ -10,7 +10,6 @@ from __future__ import annotations
 import urllib.request
 from collections.abc import Callable, Iterator, Sequence
 from typing import BinaryIO
-from urllib.parse import unquote
 
 import pandas as pd
 from pyarrow import fs
@@ -30,7 +29,7 @@ def sending(send: Callable[[str, BinaryIO], None]) -> Action:
 
     def action(path: str, command: str) -> None:
         filesystem, inside = fs.FileSystem.from_uri(path)
-        with filesystem.open_input_stream(unquote(inside)) as body:
+        with filesystem.open_input_stream(inside) as body:
             send(command, body)
 
     return action
