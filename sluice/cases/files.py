@@ -111,11 +111,11 @@ def changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed_files(listing, since).select("name", "kind")
 
 
-@case("multi_root_files", "select count(*) * 2 as rows, true as all_listed from nation")
+@case("multi_root_files", "select count(*) * 2 as rows, true as all_listed from customer")
 def multi_root_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of two folders, and a missing third, in one listing."""
     root = work_dir(spark, "roots")
-    names = table(spark, sf_dir, "nation").select("n_name")
+    names = table(spark, sf_dir, "customer").select("c_name")
     for part in ("a", "b"):
         names.write.text(f"{root}/{part}")
     listed = non_empty(list_files(spark, [f"{root}/{p}" for p in ("a", "b", "missing")], "part-*"))
@@ -126,11 +126,11 @@ def multi_root_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@case("arrival_slices", "select count(*) as rows, true as rounded, true as near from region")
+@case("arrival_slices", "select count(*) as rows, true as rounded, true as near from orders")
 def arrivals_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files get the quarter hour after their arrival; nothing is moved."""
     root = work_dir(spark, "landing")
-    table(spark, sf_dir, "region").select("r_name").write.text(root)
+    table(spark, sf_dir, "orders").select("o_orderpriority").write.text(root)
     files = arrival_slices(list_files(spark, root, "part-*"), 15)
     seconds = F.unix_seconds("slice_end")
     wait = seconds - F.unix_seconds(F.date_trunc("minute", "modified"))

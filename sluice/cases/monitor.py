@@ -194,6 +194,20 @@ def dataset_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of_datasets(table(spark, sf_dir, "events"), wanted, "event_type").select("event_id", "event_type")
 
 
+@case(
+    "parameter_query",
+    """select event_id, user_id, value from events
+    where event_type = 'purchase' and ts >= timestamp '2024-01-10 12:00:00' and value >= 50.0""",
+)
+def parameter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text with named parameters bound to values, not pasted in."""
+    return spark.sql(
+        "select event_id, user_id, value from {events} where event_type = :kind and ts >= :since and value >= :least",
+        args={"kind": "purchase", "since": datetime(2024, 1, 10, 12), "least": 50.0},
+        events=table(spark, sf_dir, "events"),
+    )
+
+
 @case(
     "tagged_union",
     """select event_id, 'click' as dataset from events where event_type = 'click'

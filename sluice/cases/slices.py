@@ -63,7 +63,7 @@ _rounding(
 _rounding("slice_round_none", 0, -5, "date_trunc('minute', ts - interval 5 minutes)")
 
 _GAPS = f"""
-arrived as (select {_END} as slice_end, user_id % 150 as u, event_type from events where event_type = 'error'
+arrived as (select {_END} as slice_end from events where event_type = 'error'
   and value > 60),
 calendar as (
   select unnest(generate_series(min(s), max(s), interval 30 minutes)) as slice_end

@@ -19,8 +19,8 @@ from sluice.spec import StoreSpec
 
 _SOAP = StoreSpec.of(
     {
-        "root": "nations",
-        "entry": "nation",
+        "root": "rows",
+        "entry": "row",
         "pre": ['<?xml version="1.0" encoding="utf-8"?>', "<Envelope>", "<Body>"],
         "post": ["</Body>", "</Envelope>"],
     }
@@ -93,13 +93,13 @@ def xml_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_entries(spark, where, documents.schema, "document")
 
 
-@case("xml_read", "select n_nationkey, n_name, n_regionkey from nation")
+@case("xml_read", "select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
 def xml_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enveloped files through the general XML reader."""
-    nation = table(spark, sf_dir, "nation")
-    where = work_dir(spark, "nations")
-    write_xml(nation, where, _SOAP)
-    return read_xml(spark, where, nation.schema, "nation")
+    supplier = table(spark, sf_dir, "supplier")
+    where = work_dir(spark, "suppliers")
+    write_xml(supplier, where, _SOAP)
+    return read_xml(spark, where, supplier.schema, "row")
 
 
 @case(
@@ -137,7 +137,7 @@ def envelope_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_file = lines.groupBy("name").agg(
         F.count_if(starts).alias("starts"), F.count_if(ends).alias("ends"), (F.count("*") - 2).alias("entries")
     )
-    counted = part_rows(spark, where, "nation").withColumnRenamed("rows", "part_rows")
+    counted = part_rows(spark, where, "row").withColumnRenamed("rows", "part_rows")
     files = non_empty(list_files(spark, where, "part-*")).select("name")
     return (
         files.join(per_file, "name", "left")

@@ -20,10 +20,17 @@ from sluice.spec import LoadSpec
 
 _CORRUPT = "_corrupt"
 _CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "escape": '"'}
+_SAFE_BYTES = 20_000  # fewer than the fields the parser takes
 _WIDTH = -1  # verdict of a line with the wrong number of fields
 _SPLIT = ("path", "file_name", "block_start")
 _PROVENANCE = (*_SPLIT, "row_id")
 
+# Texts of the entries on rejected lines.
+WRONG_WIDTH = "expected %d columns, but found %d."
+WRONG_TYPE = "%s was expected, but the value was '%s'."
+AT_LINE = "[%s, line:%d]: "
+AT_COLUMN = "[%s, line:%d, column:%d]: "
+
 # One window of the line count covers at most this many bytes of a file.
 LINE_CHUNK_BYTES = 1 << 40
 
@@ -34,7 +41,7 @@ def _field(i: int) -> str:
 
 def csv_width(line: Column) -> Column:
     """Number of fields of one CSV line; a blank line has one."""
-    return F.size(F.split(F.regexp_replace(line, r'(^|,)"([^"]|"")*("|$)', "$1"), ",", -1))
+    return F.size(F.split(F.regexp_replace(line, r'(^|,)"(?:[^"]++|"")*+("|$)', "$1"), ",", -1))
 
 
 def _verdict(spec: LoadSpec) -> Column:
@@ -91,12 +98,8 @@ class Checked:
         at = F.col("_verdict")
         expected = [F.lit(EXPECTED[c.spark_type]) for c in self.spec.columns]
         texts = [F.col(_field(i)) for i in range(len(self.spec.columns))]
-        width_fault = F.format_string(
-            f"expected {len(self.spec.columns)} columns, but found %d.", csv_width(F.col("value"))
-        )
-        type_fault = F.concat(
-            _pick(expected, at), F.lit(" was expected, but the value was '"), _pick(texts, at), F.lit("'.")
-        )
+        width_fault = F.format_string(WRONG_WIDTH, F.lit(len(texts)), csv_width(F.col("value")))
+        type_fault = F.format_string(WRONG_TYPE, _pick(expected, at), _pick(texts, at))
         return self.parsed.where(at.isNotNull()).select(
             *_PROVENANCE,
             F.col("value").alias("raw"),
@@ -174,15 +177,20 @@ class Checked:
 
 def check(lines: DataFrame, spec: LoadSpec) -> Checked:
     """Parse and judge every line."""
-    names = [_field(i) for i in range(len(spec.columns))]
-    ddl = ", ".join(f"{n} string" for n in [*names, _CORRUPT])
-    fields = lines.select(*lines.columns, F.inline(F.array(F.from_csv("value", ddl, _CSV))))
+    n = len(spec.columns)
+    ddl = ", ".join(f"{name} string" for name in [*map(_field, range(n)), _CORRUPT])
+    # The parser gives up on a line of very many fields.  Only a long line can
+    # have those; if its width is wrong, a short line of wrong width stands in.
+    line = F.when(
+        (F.octet_length("value") <= _SAFE_BYTES) | (csv_width(F.col("value")) == n), F.col("value")
+    ).otherwise("," * n)
+    fields = lines.select(*lines.columns, F.inline(F.array(F.from_csv(line, ddl, _CSV))))
     return Checked(spec, lines, fields.withColumn("_verdict", _verdict(spec)))
 
 
 def fault_message(fault: Column, file_name: Column, line: Column, column_index: Column) -> Column:
     """Full text of a log entry on a rejected line."""
     place = F.when(
-        column_index.isNull(), F.format_string("[%s, line:%d]: ", file_name, line)
-    ).otherwise(F.format_string("[%s, line:%d, column:%d]: ", file_name, line, column_index))
+        column_index.isNull(), F.format_string(AT_LINE, file_name, line)
+    ).otherwise(F.format_string(AT_COLUMN, file_name, line, column_index))
     return F.concat(place, fault)

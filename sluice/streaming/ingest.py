@@ -24,11 +24,15 @@ class LoadFailed(RuntimeError):
     """A line broke a rule whose policy is ``fail``."""
 
 
-def line_stream(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
+def line_stream(
+    spark: SparkSession, folder: str, glob: str | None = None, files_per_batch: int | None = None
+) -> DataFrame:
     """Lines of files as they appear below a folder."""
     reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(folder).select(
         F.col("_metadata.file_path").alias("path"),
         decoded(F.col("_metadata.file_name")).alias("file_name"),

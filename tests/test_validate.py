@@ -110,6 +110,29 @@ def test_single_column_accepts_blank_lines(spark):
     assert [r[0] for r in check(as_lines(spark, ["", "5"]), spec).good.collect()] == [None, 5]
 
 
+@pytest.mark.parametrize(
+    "line, found",
+    [
+        ("," * 30_000, 30_001),
+        ('"' + "a" * 100_000 + '",b', 2),
+        ('"' + '""' * 50_000 + '",b,c', 3),
+        ("x" * 50_000, 1),
+        ('"' + "a," * 50_000, 1),
+    ],
+)
+def test_monstrous_lines_are_only_rejected(spark, line, found):
+    checked = check(as_lines(spark, [line, "1,a,1,true"]), SPEC)
+    assert checked.good.count() == 1
+    row = checked.quarantine.first()
+    assert row["fault"] == f"expected 4 columns, but found {found}."
+    assert row["raw"] == line
+
+
+def test_long_lines_of_right_width_are_kept(spark):
+    line = '1,"' + "a,b" * 30_000 + '",1,true'
+    assert check(as_lines(spark, [line]), SPEC).good.first()["name"] == "a,b" * 30_000
+
+
 def test_every_projection_sees_width_faults(spark):
     checked = check(as_lines(spark, LINES), SPEC)
     assert checked.good.select("id").count() == checked.good.count() == 6
