@@ -13,6 +13,7 @@ from sluice.cases.feeds import (
     customer_lines,
     customer_spec,
     feed_text,
+    spread,
     stamp,
     table,
 )
@@ -224,7 +225,7 @@ def delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whole_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job on files: load, log, reshape, store, and read the XML back."""
     root, out, log = work_dir(spark, "feed"), work_dir(spark, "xml"), work_dir(spark, "log")
-    feed_text(table(spark, sf_dir, "lineitem")).write.text(f"{root}/customer-csv")
+    feed_text(spread(table(spark, sf_dir, "lineitem"))).write.text(f"{root}/customer-csv")
     run = Run("ACME-Normalize-20240201T1330", "job", datetime(2024, 2, 1, 13, 30))
     store_slice(spark, root, "customer-csv", f"{out}/customer-xml", log, run)
     schema = "CUSTOMER_ID int, Extraction_Time string, Scale array<struct<Scale_Quantity: string>>"

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -133,3 +133,40 @@ def store_slice(
         if failed:
             raise LoadFailed(failed[0]["message"])
     return write_xml(transform(checked.good), out, store, files), checked
+
+
+def slice_paths(slice_end: datetime) -> tuple[str, str]:
+    """Input and output folder of a slice, on a 24-hour clock."""
+    stamp = f"{slice_end:%Y%m%d%H%M}"
+    return f"input-{stamp}", f"output-{stamp}/process-{stamp}"
+
+
+class MissingInput(RuntimeError):
+    """A required folder holds no data yet."""
+
+
+def store_entities(
+    spark: SparkSession,
+    root: str,
+    slice_end: datetime,
+    log_path: str,
+    run: Run,
+    required: Sequence[str] = (),
+    optional: Sequence[str] = (),
+    load: LoadSpec = FEED_SPEC,
+    store: StoreSpec = FEED_STORE,
+    transform: Callable[[DataFrame], DataFrame] = normalize_feed,
+) -> dict[str, Stored]:
+    """Store every entity folder of one slice.  Nothing starts before all
+    required folders hold data; an optional one may be missing or empty."""
+    source, target = slice_paths(slice_end)
+    absent = [e for e in required if not locate(spark, f"{root}/{source}", e).found]
+    if absent:
+        raise MissingInput(f"slice {source} still lacks: {', '.join(absent)}")
+    stored = {}
+    for entity in (*required, *optional):
+        named = replace(run, job=f"{run.job}-{entity}")
+        stored[entity], _ = store_slice(
+            spark, f"{root}/{source}", entity, f"{root}/{target}/{entity}", log_path, named, load, store, transform
+        )
+    return stored

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from sluice.operators.loadlog import MORE_SKIPPED, load_log, next_index
 from sluice.operators.validate import check
-from sluice.plans.normalize import FEED_SPEC, Run, normalize_local, store_slice
+from sluice.plans.normalize import (
+    FEED_SPEC,
+    MissingInput,
+    Run,
+    normalize_local,
+    store_entities,
+    store_slice,
+)
 from sluice.sinks.deliver import DeliveryFailed, deliver, manifest, post_xml, sending
 from sluice.sinks.tables import append_log, export_instance, read_log, write_slices
 from sluice.sinks.xmlfiles import write_xml
@@ -59,6 +66,24 @@ def test_store_slice(spark, tmp_path, small_splits):
     assert entries[-1] == ("INFO", "Completed reading from file: b.csv; 32 row(s) read; 30 row(s) skipped.")
 
 
+def test_required_and_optional_folders(spark, tmp_path):
+    end = datetime(2024, 2, 1, 13, 30)
+    root, log = str(tmp_path / "root"), str(tmp_path / "log")
+    feed(tmp_path, "input-202402011330/customers", {"a.csv": [GOOD]})
+
+    def go(**folders):
+        return store_entities(spark, root, end, log, Run("i", "j", NOW), **folders)
+
+    with pytest.raises(MissingInput, match="products"):
+        go(required=["customers", "products"])
+    assert not (tmp_path / "log").exists()
+    stored = go(required=["customers"], optional=["products"])
+    assert {e: s.rows for e, s in stored.items()} == {"customers": 1, "products": 0}
+    assert stored["customers"].path.endswith("/output-202402011330/process-202402011330/customers")
+    jobs = read_log(spark, log).groupBy("job_id").count().collect()
+    assert {r["job_id"]: r["count"] for r in jobs} == {"j-customers": 4, "j-products": 2}
+
+
 def test_missing_target(spark, tmp_path):
     root = feed(tmp_path, "other", {})
     out, log = str(tmp_path / "xml"), str(tmp_path / "log")
