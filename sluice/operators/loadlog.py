@@ -70,6 +70,18 @@ def first_failures(checked: Checked) -> DataFrame:
     )
 
 
+class LoadFailed(RuntimeError):
+    """A line broke a rule whose policy is ``fail``."""
+
+
+def raise_on_failure(checked: Checked) -> None:
+    """Stop a run at the first failing line; reads one row."""
+    if checked.spec.can_fail:
+        failed = first_failures(checked).orderBy("path", "line").take(1)
+        if failed:
+            raise LoadFailed(failed[0]["message"])
+
+
 def file_entries(checked: Checked) -> DataFrame:
     """Entries per file in reading order: start, skips, then completion or failure."""
     files = checked.file_stats

@@ -11,14 +11,13 @@ from pyspark.sql import functions as F
 
 from sluice.functions.dates import FEED_PATTERN, OUTPUT_PATTERN, SHORT_PATTERN, reformat
 from sluice.functions.scale import build_scale
-from sluice.operators.loadlog import first_failures, load_log, opening_entries
+from sluice.operators.loadlog import load_log, opening_entries, raise_on_failure
 from sluice.operators.validate import Checked, check
 from sluice.session import configure
 from sluice.sinks.tables import append_log
 from sluice.sinks.xmlfiles import Stored, write_xml
 from sluice.sources.lines import locate
 from sluice.spec import LoadSpec, StoreSpec
-from sluice.streaming.ingest import LoadFailed
 
 # The twelve columns of the customer and product feeds.
 FEED_COLUMNS = (
@@ -128,10 +127,7 @@ def store_slice(
     opening = opening_entries(spark, located, run.job, empty)
     log = load_log(checked, run.instance, run.job, F.lit(run.now), opening, opening_rows=2)
     append_log(log, log_path)
-    if load.can_fail:
-        failed = first_failures(checked).orderBy("path", "line").take(1)
-        if failed:
-            raise LoadFailed(failed[0]["message"])
+    raise_on_failure(checked)
     return write_xml(transform(checked.good), out, store, files), checked
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sluice.operators.loadlog import load_log, raise_on_failure
 from sluice.operators.validate import check
 from sluice.sources.files import decoded
 from sluice.spec import LoadSpec
@@ -20,10 +21,6 @@ from sluice.spec import LoadSpec
 INTERVAL = "30 minutes"
 
 
-class LoadFailed(RuntimeError):
-    """A line broke a rule whose policy is ``fail``."""
-
-
 def line_stream(
     spark: SparkSession, folder: str, glob: str | None = None, files_per_batch: int | None = None
 ) -> DataFrame:
@@ -70,22 +67,24 @@ def ingest(
     transform: Callable[[DataFrame], DataFrame],
     out: str,
     checkpoint: str,
+    instance: str = "stream",
     once: bool = False,
 ) -> StreamingQuery:
-    """Check each micro-batch; good rows and quarantine go to their own tables.
+    """Check each micro-batch; good rows, quarantine and load log go to their
+    own tables below ``out``.
 
-    A line under the ``fail`` policy stops the stream before its batch writes
-    any good row."""
+    A line under the ``fail`` policy stops the stream, after its batch has
+    logged the failure and before it writes any good row."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        folder = f"batch={batch_id}"
         lines = batch.withColumn("row_id", F.monotonically_increasing_id())
-        checked = check(lines, spec)
-        kept = f"{out}/quarantine/batch={batch_id}"
-        checked.quarantine.write.mode("overwrite").parquet(kept)
-        if spec.can_fail:
-            failed = batch.sparkSession.read.parquet(kept).where("policy = 'fail'").take(1)
-            if failed:
-                raise LoadFailed(f"{failed[0]['file_name']}: {failed[0]['fault']}")
-        transform(checked.good).write.mode("overwrite").parquet(f"{out}/good/batch={batch_id}")
+        checked = check(lines, spec).stage(batch.sparkSession)
+        rejected = checked.with_line(checked.quarantine)
+        rejected.write.mode("overwrite").parquet(f"{out}/quarantine/{folder}")
+        log = load_log(checked, instance, f"batch-{batch_id}", F.current_timestamp())
+        log.write.mode("overwrite").parquet(f"{out}/log/{folder}")
+        raise_on_failure(checked)
+        transform(checked.good).write.mode("overwrite").parquet(f"{out}/good/{folder}")
 
     return _start(stream, handle, checkpoint, once)

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators.loadlog import MORE_SKIPPED, load_log, next_index
+from sluice.operators.loadlog import MORE_SKIPPED, LoadFailed, load_log, next_index
 from sluice.operators.validate import check
 from sluice.plans.normalize import (
     FEED_SPEC,
@@ -22,7 +22,7 @@ from sluice.sources.files import list_files
 from sluice.sources.lines import entity_of, read_declared, read_lines, slice_of
 from sluice.sources.xml import read_entries
 from sluice.spec import LoadSpec, StoreSpec
-from sluice.streaming.ingest import LoadFailed, ingest, line_stream
+from sluice.streaming.ingest import ingest, line_stream
 
 NOW = datetime(2024, 2, 1, 13, 30)
 GOOD = "1,segment,10,Fabrikam,X,Place,rep,20170611 09:00:00,4,4.54,6,7894.00"
@@ -231,6 +231,12 @@ def test_stream_picks_up_only_new_files(spark, tmp_path):
     assert run() == (2, 1)
     (source / "b.csv").write_text("3,d\n4\n")
     assert run() == (3, 2)
+    faults = spark.read.parquet(f"{out}/quarantine").select("file_name", "line", "batch").collect()
+    assert sorted(tuple(r) for r in faults) == [("a.csv", 2, 0), ("b.csv", 2, 1)]
+    log = spark.read.parquet(f"{out}/log").orderBy("job_id", "log_index").collect()
+    assert [(r["job_id"], r["level"]) for r in log] == [
+        (f"batch-{b}", level) for b in (0, 1) for level in ("INFO", "SKIP", "INFO")
+    ]
 
 
 def test_stream_stops_on_a_failing_line(spark, tmp_path):
@@ -242,3 +248,5 @@ def test_stream_stops_on_a_failing_line(spark, tmp_path):
     with pytest.raises(Exception, match="an integer was expected"):
         query.awaitTermination()
     assert not (tmp_path / "out" / "good").exists()
+    levels = [r["level"] for r in spark.read.parquet(str(tmp_path / "out" / "log")).orderBy("log_index").collect()]
+    assert levels == ["INFO", "FAIL"]
