@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.dates import day_key
 from sluice.functions.text import log_key
+from sluice.operators.running import running_total
 from sluice.operators.validate import Checked, fault_message
 from sluice.sources.lines import Located
 
@@ -115,11 +116,10 @@ def file_entries(checked: Checked) -> DataFrame:
             "message"
         ),
     )
-    # One row per file: where its entries begin in the job's log.
-    by_file = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-    begins = files.select(
-        "path", F.coalesce(F.sum(F.col("_kept") + 2).over(by_file), F.lit(0)).alias("_begin")
-    )
+    # One row per file: where its entries begin in the job's log, folder by folder.
+    sizes = files.select("path", (F.col("_kept") + 2).alias("_entries"))
+    folder = F.regexp_extract("path", "^(.*)/", 1)
+    begins = running_total(sizes, [], "path", "_entries", "_begin", folder).select("path", "_begin")
     entries = started.unionByName(skips).unionByName(ended)
     return entries.join(begins, "path").select(
         "path", (F.col("_begin") + F.col("position")).alias("sequence"), "level", "message"

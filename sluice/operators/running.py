@@ -4,21 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def running_total(
-    df: DataFrame, group: Sequence[str], order: str, value: str, name: str, chunk: int
+    df: DataFrame, group: Sequence[str], order: str, value: str, name: str, chunk: Column
 ) -> DataFrame:
     """Add the total of ``value`` over earlier rows of the group.
 
-    ``order`` is numeric.  Totals are first taken per chunk of the order range,
-    then within each chunk, so a group far larger than a task never meets in
-    one window.
+    Rows are ordered by chunk, then by ``order``.  Totals are first taken per
+    chunk, then within each chunk, so a large group never meets in one window.
     """
     before = (Window.unboundedPreceding, -1)
-    keyed = df.withColumn("_chunk", F.expr(f"`{order}` div {chunk}"))
+    keyed = df.withColumn("_chunk", chunk)
     keys = [*group, "_chunk"]
     sums = keyed.groupBy(*keys).agg(F.sum(value).alias("_sum"))
     across = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(*before)

@@ -162,7 +162,7 @@ class Checked:
             "block_start",
             "rows_read",
             "_before",
-            LINE_CHUNK_BYTES,
+            F.expr(f"block_start div {LINE_CHUNK_BYTES}"),
         ).select("path", "block_start", "first_id", "_before")
         line = F.col("_before") + F.col("row_id") - F.col("first_id") + 1
         known = F.when(F.col("_before").isNotNull(), line).otherwise(
