@@ -20,7 +20,8 @@ def parse_entry(xml: Column, schema: str | T.StructType) -> Column:
 
 def is_entry(line: Column, entry: str) -> Column:
     """Whether a line of a written file is an entry, not part of the envelope."""
-    return line.startswith(f"<{entry}>") | (line == f"<{entry}/>")
+    whole = line.startswith(f"<{entry}>") & line.endswith(f"</{entry}>")
+    return whole | (line == f"<{entry}/>")
 
 
 def read_entries(spark: SparkSession, path: str, schema: str | T.StructType, entry: str) -> DataFrame:

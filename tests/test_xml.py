@@ -1,16 +1,19 @@
+import re
 import xml.etree.ElementTree as ET
 from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.xmlrows import StoreTypeError, store_losses, to_entries
+from sluice.operators.xmlrows import PROCESSORS, StoreTypeError, store_losses, to_entries
 from sluice.sinks.xmlfiles import part_rows, write_xml
-from sluice.sources.xml import read_entries, read_xml
+from sluice.sources.xml import parse_entry, read_entries, read_xml
 from sluice.spec import SpecError, StoreSpec
 
 SCALE = {"column": "scale", "type": "scale", "node": "Scale", "children": ["Scale_Quantity", "Scale_Value"]}
@@ -96,6 +99,8 @@ NASTY = [
     "日本語 ünï 🎉",
     "</e>",
     "</e>\n",
+    "next\u0085line\u2028separator\u007f\u009f",
+    "\u00a0\ufeff",
     "",
     None,
 ]
@@ -118,12 +123,42 @@ def test_forbidden_characters_are_dropped_and_counted(spark):
     assert tuple(store_losses(df, StoreSpec.named()).first()) == (3, 0)
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(st.characters(blacklist_categories=("Cs",)), max_size=30), min_size=1, max_size=25))
+def test_any_text_parses_back(spark, values):
+    df = spark.createDataFrame(list(enumerate(values)), "n int, t string")
+    entries = to_entries(df, StoreSpec.named())
+    assert all(len(e.split("\n")) == 1 for e in texts(entries))
+    want = {n: re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", "", t) for n, t in enumerate(values)}
+    assert {int(x[0].text): x[1].text or "" for x in map(ET.fromstring, texts(entries))} == want
+    parsed = entries.select(F.inline(F.array(parse_entry(F.col("value"), df.schema))))
+    assert {r["n"]: r["t"] or "" for r in parsed.collect()} == want
+
+
+def test_own_processor(spark, monkeypatch):
+    def flag(text, spec):
+        return F.struct(*[text.contains(c).cast("string").alias(c) for c in spec.children])
+
+    monkeypatch.setitem(PROCESSORS, "flags", flag)
+    spec = StoreSpec.of(
+        {"entry": "e", "processors": [{"column": "t", "type": "flags", "node": "Has", "children": ["a", "b"]}]}
+    )
+    df = spark.createDataFrame([("xa",)], "t string")
+    assert texts(to_entries(df, spec)) == ["<e><Has><a>true</a><b>false</b></Has></e>"]
+
+
 def test_all_null_rows_survive(spark, tmp_path):
     df = spark.createDataFrame([(None,), ("x",)], "t string")
     out = write_xml(df, str(tmp_path / "out"), StoreSpec.named()).path
     assert sorted(str(r["t"]) for r in read_entries(spark, out, df.schema, "entry").collect()) == ["None", "x"]
 
 
+def test_root_may_share_the_name_of_the_entry(spark, tmp_path):
+    out = write_xml(spark.range(5), str(tmp_path / "out"), StoreSpec.named("e", "e"), files=1).path
+    assert sorted(r["id"] for r in read_entries(spark, out, "id bigint", "e").collect()) == list(range(5))
+    assert part_rows(spark, out, "e").first()["rows"] == 5
+
+
 def test_envelope_wraps_each_file_and_no_empty_one(spark, tmp_path):
     spec = StoreSpec.of(
         {"root": "rows", "entry": "row", "pre": ['<?xml version="1.0"?>', "<env>"], "post": ["</env>"]}
