@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import bpe
+from sluice.llm import bpe, lines, mixing, sharding
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,3 +33,72 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
     return bpe.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+@case("op2_ring_shards")
+def op2_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 24 shards whose row counts differ by one at most."""
+    placed = sharding.assign(documents(spark, sf_dir), shards=24)
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+OP4_SQL = r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    md5('mix-1:' || doc_id) as place from documents),
+s as (select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as rank
+  from sized group by source),
+w as (select *, [5, 2, 1][(rank - 1) % 3 + 1] as weight, 3 * source_size as cap,
+    (sum(source_size) over ())::bigint as total from s),
+o as (select *,
+    coalesce(sum(cap) over (order by cap / weight, rank rows between unbounded preceding and 1 preceding), 0) as before,
+    sum(weight) over (order by cap / weight, rank rows between current row and unbounded following) as onward from w),
+c as (select *, (total - before) * weight > cap * onward as capped from o),
+t as (select *, case when capped then cap::double
+    else ((total - coalesce(sum(cap) filter (capped) over (), 0)) * weight)::double
+      / (sum(weight) filter (not capped) over ())::double end as target from c),
+q as (select source, rank, target, total // 32 as blocks, unnest(range(0, total // 32 + 1)) as k from t),
+seat as (select source from q qualify row_number() over (order by target / (2 * k + 1) desc, rank, k) <= blocks),
+seats as (select source, count(*) as n from seat group by source),
+chosen as (select t.source, source_size, target, least(coalesce(n, 0) * 32, cap) as words
+  from t left join seats on t.source is not distinct from seats.source),
+placed as (select *, coalesce(sum(size) over (partition by source order by place, doc_id
+    rows between unbounded preceding and 1 preceding), 0)::bigint as start from sized)
+select doc_id, size::bigint as size, source_size, target,
+  (case when source_size > 0 then words // source_size * size
+    + greatest(0, least(size, words % source_size - start)) else 0 end)::bigint as taken
+from placed join chosen on placed.source is not distinct from chosen.source
+"""
+
+
+@case("op4_mix_sources", OP4_SQL)
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the weights 5, 2, 1 of their sources."""
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+OP7_SQL = r"""
+with line as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) as pos from documents),
+keyed as (select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from line),
+frequent as (select key, max(doc_id) as last_doc from keyed where length(key) >= 20
+  group by key having count(distinct doc_id) >= 3),
+marked as (select keyed.*, last_doc is not null and doc_id <> last_doc as dropped
+  from keyed left join frequent using (key))
+select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not dropped), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+
+@case("op7_line_dedup", OP7_SQL)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stay in a later document."""
+    kept = lines.dedup_lines(documents(spark, sf_dir))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select(
+        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), digest.alias("kept_sha256")
+    )
