@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, lines, mixing, sharding
+from sluice.llm import bpe, lines, mixing, quality, sharding
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,16 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), digest.alias("kept_sha256")
     )
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@case("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and verdict of every document."""
+    judged = quality.rules(documents(spark, sf_dir), labels(spark, sf_dir))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )

@@ -55,3 +55,13 @@ def rows_of(batches: Iterator[pa.RecordBatch], budget: int = 8 << 20) -> Iterato
         step = max(1, int(batch.num_rows * budget / max(batch.nbytes, 1)))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
+
+
+def bound(frame: DataFrame, **columns: Column) -> DataFrame:
+    """The frame with columns that are computed once a row.
+
+    The optimizer copies a column's expression into each place that uses it,
+    even into lambdas, where it would run once an element.  It doesn't look
+    through ``inline``.
+    """
+    return frame.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
