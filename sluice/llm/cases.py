@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, lines, mixing, quality, sharding
+from sluice.llm import bpe, lines, minhash, mixing, quality, sharding
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@case("op1_minhash")
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its shingle count and its group of near-duplicates."""
+    found = minhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
