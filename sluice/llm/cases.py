@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, lines, minhash, mixing, quality, sharding
+from sluice.llm import bpe, embeddings, lines, minhash, mixing, quality, sharding
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,9 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its shingle count and its group of near-duplicates."""
     found = minhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@case("op3_itq_vectors")
+def op3_itq_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its number of links and its group."""
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
