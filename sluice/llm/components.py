@@ -11,13 +11,13 @@ from sluice.llm.common import saved
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours move to its smallest neighbour."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+    low = saved(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")), "stars-low")
     return both.filter(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours move to the smallest of them."""
-    low = edges.groupBy("a").agg(F.min("b").alias("low"))
+    low = saved(edges.groupBy("a").agg(F.min("b").alias("low")), "stars-low")
     moved = edges.join(low, "a").filter(F.col("b") > F.col("low")).select(F.col("b").alias("a"), F.col("low").alias("b"))
     return moved.union(low.select("a", F.col("low").alias("b"))).distinct()
 
@@ -26,7 +26,9 @@ def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) of every node in ``edges`` (a, b).
 
     A round sends minima along the edges by aggregates, which combine before
-    the shuffle, and joins them back; hubs are split by skew joins.  Rounds
+    the shuffle, and joins them back.  The minima are written and read between
+    the two, so that the join has a shuffle on either side and a hub can be
+    split.  Rounds
     end when no edge changes; the number grows with the logarithm of the
     largest component.  Each round is written and read again.  Edges with a
     null end are ignored, loops and repeats do no harm.

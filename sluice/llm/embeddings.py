@@ -252,6 +252,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
         slim = encoded.select("print", "label", F.posexplode("substrings").alias("at", "code"))
         slim = slim.select("print", "at", F.xxhash64("label", "at", "code").alias("bucket"))
         shared = slim.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+        # Read from a table, this side is shuffled for the join, and a hot bucket can be split.
+        shared = saved(shared, "vector-buckets")
         kept = slim.join(shared, "bucket").select("print", "at", "bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
         block = F.pmod(F.xxhash64("print", F.lit("block")), F.col("blocks")).cast("int")
         placed = kept.withColumn("block", block)
@@ -279,8 +281,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
             .select("print", "vec_id", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "print").alias("component"))
         )
     labelled = saved(labelled, "vector-labels")
-    smallest = labelled.groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    labels = labelled.join(smallest, "component").select("print", "component_id", (F.col("links") + F.col("n") - 1).alias("n_links"))
+    smallest = saved(labelled.groupBy("component").agg(F.min("vec_id").alias("component_id")), "vector-smallest")
+    own_links = (F.col("links") + F.col("n") - 1).alias("n_links")
+    labels = saved(labelled.join(smallest, "component").select("print", "component_id", own_links), "vector-labels")
     alone = F.col("print").isNull()
     return (
         rows.select("vec_id", "print")

@@ -185,11 +185,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     member = classes.select("print", F.explode("bands").alias("band"))
     shared = member.groupBy("band").agg(F.min("print").alias("low"), F.max("print").alias("high")).filter("low < high")
-    buckets = saved(member.join(shared, "band").filter("low < high"), "minhash-buckets")
+    # Read from tables, both sides of this join and of those below are shuffled for it, and hot keys can be split.
+    shared = saved(shared, "minhash-shared")
+    buckets = saved(member.join(shared, "band"), "minhash-buckets")
     inside = buckets.select("print").distinct()
     sets = saved(_sets(docs, classes.join(inside, "print", "left_semi").select("print", "rep")), "minhash-sets")
 
-    star = buckets.filter(F.col("print") != F.col("low")).select(*_ordered("print", "low")).distinct()
+    star = saved(buckets.filter(F.col("print") != F.col("low")).select(*_ordered("print", "low")).distinct(), "minhash-star")
     tried = saved(_likely(star, classes), "minhash-pairs")
     links = saved(_confirmed(tried, sets), "minhash-links")
     joined = saved(components(links), "minhash-components")
@@ -220,8 +222,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labelled = classes.select("print", "rep.doc_id").join(joined, F.col("print") == F.col("node"), "left")
     labelled = labelled.select("print", "doc_id", F.coalesce("component", "print").alias("component"))
     labelled = saved(labelled, "minhash-labels")
-    smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    labels = labelled.join(smallest, "component").select("print", "component_id")
+    smallest = saved(labelled.groupBy("component").agg(F.min("doc_id").alias("component_id")), "minhash-smallest")
+    labels = saved(labelled.join(smallest, "component").select("print", "component_id"), "minhash-labels")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return (
         rows.select("doc_id", "row_hash", "n_shingles", "print")
@@ -245,6 +247,7 @@ def _still_open(buckets: DataFrame, joined: DataFrame) -> DataFrame:
         .filter("least < most")
         .select("band", F.col("top.component").alias("high_component"))
     )
+    mixed_bands = saved(mixed_bands, "minhash-mixed")
     return placed.join(mixed_bands, "band").select("print", "band", "low", "high", "component", "high_component")
 
 
