@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, chat, embeddings, lines, minhash, mixing, quality, sharding
+from sluice.llm import bpe, chat, editcount, embeddings, lines, minhash, mixing, passages, quality, sharding
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,3 +168,26 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("loss_text", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@case("op5_edit_counts")
+def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after three edits: a replacement, an insertion and a deletion."""
+    ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
+    indexed = editcount.index(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    n = F.char_length(F.coalesce("text", F.lit(""))).cast("int")
+    place = lambda quarters: F.floor(n * quarters / 4).cast("int")
+    change = lambda start, size, new: F.struct(start.alias("start"), (start + size).alias("stop"), new.alias("new"))
+    edits = F.array(
+        change(place(1), 12, F.upper(F.substring(F.col("text"), place(2), F.lit(20)))),
+        change(place(2), 0, F.substring("text", 1, 30)),
+        change(place(3), 25, F.lit("")),
+    )
+    edited = editcount.apply_edits(indexed.withColumn("edits", edits), ranks, public_tokenizers.PATTERN)
+    return edited.select("doc_id", "n_before", "n_tokens", F.size("tokens").cast("long").alias("n_pretokens"), "n_encoded")
+
+
+@case("op9_passages")
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of fifty words or more that documents share."""
+    return passages.repeated_passages(documents(spark, sf_dir))
