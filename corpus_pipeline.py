@@ -4,21 +4,57 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import bpe
-from sluice.llm.cases import RANK_FILE
+from sluice.llm import bpe, lines, minhash, mixing, quality
+from sluice.llm.cases import RANK_FILE, labels
 from sluice.llm.common import documents, saved
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep, texts unchanged.
+
+    Repeated rows are judged alike.  Rows without doc_id cannot be told apart
+    by it, so verdicts are matched by doc_id and text.
+    """
+    columns = docs.columns
+    return quality.kept_documents(docs, labels(spark, sf_dir)).select(*columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that a later document holds; n_chars follows the text."""
+    kept = lines.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        kept = kept.withColumn("n_chars", F.when(F.col("__n_dropped") > 0, size).otherwise(F.col("n_chars")))
+    return kept.select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return minhash.dedup(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them, the last of a source cut where its quota ends."""
+    return mixing.mixed_documents(docs)
+
+
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document that is left."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
     return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
 
 
-STAGES = [("byte_bpe", byte_bpe)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("byte_bpe", byte_bpe),
+]
 
-#: Byte-level BPE can't be said in SQL.
+#: Neither the hashed n-gram ratio nor byte-level BPE can be said in SQL.
 ORACLE_SQL = None
 
 

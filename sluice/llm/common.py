@@ -35,7 +35,8 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words of a text, in order; a null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_GAP), lambda w: w != "")
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANK_CHARS))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, WORD_GAP))
 
 
 def ascii_lower(text: Column) -> Column:
