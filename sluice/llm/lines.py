@@ -67,6 +67,8 @@ def line_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         .filter(F.col("n_docs") >= min_docs)
         .drop("n_docs")
     )
+    # Read from a table, this side is shuffled anew, and a hot line can be split in the join.
+    frequent = saved(frequent, "frequent-lines")
     dropped = found.join(frequent, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
     words = (
         dropped.groupBy("doc_id", "row_hash", F.expr("pos div 64").cast("int").alias("word"))
