@@ -26,7 +26,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = lines.dedup_lines(docs)
     if "n_chars" in docs.columns:
         size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        kept = kept.withColumn("n_chars", F.when(F.col("__n_dropped") > 0, size).otherwise(F.col("n_chars")))
+        kept = kept.withColumn("n_chars", F.when(F.col(lines.N_DROPPED) > 0, size).otherwise(F.col("n_chars")))
     return kept.select(*docs.columns)
 
 

@@ -99,9 +99,8 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that stay in a later document."""
     kept = lines.dedup_lines(documents(spark, sf_dir))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-    return kept.select(
-        "doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), digest.alias("kept_sha256")
-    )
+    counts = F.col(lines.N_LINES).alias("n_lines"), F.col(lines.N_DROPPED).alias("n_dropped")
+    return kept.select("doc_id", *counts, digest.alias("kept_sha256"))
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ from sluice.llm.common import BLANK_CHARS, ascii_lower, saved
 
 MIN_CHARS = 20
 MIN_DOCS = 3
+#: Names of the counts that dedup_lines adds.
+N_LINES, N_DROPPED = "lines_before_dedup", "lines_dropped_by_dedup"
 
 
 def text_lines(text: Column) -> Column:
@@ -107,21 +109,18 @@ def kept_text(text: Column, keep: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """All columns and rows of ``docs`` with the dropped lines gone from ``text``, plus __n_lines and __n_dropped.
+    """All columns and rows of ``docs`` with the dropped lines gone from ``text``, plus the counts ``N_LINES`` and ``N_DROPPED``.
 
     Texts that lose nothing stay as they are, null included.
     """
-    bitmaps = line_bitmaps(docs, min_chars, min_docs).select(
-        F.col("doc_id").alias("__doc"),
-        F.col("row_hash").alias("__row"),
-        F.col("n_lines").alias("__n_lines"),
-        F.col("n_dropped").alias("__n_dropped"),
-        F.col("keep").alias("__keep"),
-    )
     # Repeated rows have one bitmap each; one of them is enough.
-    bitmaps = bitmaps.groupBy("__doc", "__row").agg(
-        *(F.first(c).alias(c) for c in ("__n_lines", "__n_dropped", "__keep"))
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & F.xxhash64("text").eqNullSafe(F.col("__row"))
-    stay = F.when(F.col("__keep").isNull(), F.col("text")).otherwise(kept_text(F.col("text"), F.col("__keep")))
-    return docs.join(bitmaps, same, "left").withColumn("text", stay).drop("__doc", "__row", "__keep")
+    facts = [F.first(c).alias(c) for c in ("n_lines", "n_dropped", "keep")]
+    bitmaps = line_bitmaps(docs, min_chars, min_docs).groupBy("doc_id", "row_hash").agg(*facts)
+    # As fields of one column, the documents' names can't clash with those used here.
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("whole"))
+    same = F.col("whole.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("whole.text") == F.col("row_hash"))
+    joined = rows.join(bitmaps, same, "left")
+    text = F.col("whole.text")
+    stay = F.when(F.col("keep").isNull(), text).otherwise(kept_text(text, F.col("keep")))
+    out = [stay.alias(c) if c == "text" else F.col("whole")[c].alias(c) for c in docs.columns]
+    return joined.select(*out, F.col("n_lines").alias(N_LINES), F.col("n_dropped").alias(N_DROPPED))

@@ -187,20 +187,26 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     times = (
         mix(docs, **how)
         .filter(taken > 0)
-        .groupBy(F.col("doc_id").alias("__doc"), F.col("source").alias("__source"), F.col("row_hash").alias("__row"))
-        .agg(F.sum(F.expr("taken div size")).alias("__whole"), F.sum(taken % size).alias("__part"))
+        .groupBy("doc_id", "source", "row_hash")
+        .agg(F.sum(F.expr("taken div size")).alias("full"), F.sum(taken % size).alias("part"))
     )
+    # As fields of one column, the documents' names can't clash with those used here.
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("whole"))
+    rows = rows.select("whole", *(F.col(f"whole.{c}").alias(f"own_{c}") for c in ("doc_id", "source")), F.xxhash64("whole.text").alias("own_hash"))
+    single = rows.dropDuplicates(["own_doc_id", "own_source", "own_hash"])
     same = (
-        F.col("doc_id").eqNullSafe(F.col("__doc"))
-        & F.col("source").eqNullSafe(F.col("__source"))
-        & F.col("__row_hash").eqNullSafe(F.col("__row"))
+        F.col("own_doc_id").eqNullSafe(F.col("doc_id"))
+        & F.col("own_source").eqNullSafe(F.col("source"))
+        & (F.col("own_hash") == F.col("row_hash"))
     )
-    single = docs.withColumn("__row_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "source", "__row_hash"])
-    last = F.col("__whole") + F.when(F.col("__part") > 0, 1).otherwise(0)
-    repeated = single.join(times, same).withColumn("__time", F.explode(F.sequence(F.lit(1), last.cast("int"))))
-    cut = F.col("__time") > F.col("__whole")
-    out = repeated.withColumn("text", F.when(cut, first_words(F.col("text"), F.col("__part"))).otherwise(F.col("text")))
+    last = F.col("full") + F.when(F.col("part") > 0, 1).otherwise(0)
+    repeated = single.join(times, same).select(
+        "whole", "full", "part", F.explode(F.sequence(F.lit(1), last.cast("int"))).alias("time")
+    )
+    cut = F.col("time") > F.col("full")
+    text = F.when(cut, first_words(F.col("whole.text"), F.col("part"))).otherwise(F.col("whole.text"))
+    changed = {"text": text}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(cut, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        changed["n_chars"] = F.when(cut, F.char_length(text).cast(kind)).otherwise(F.col("whole.n_chars"))
+    return repeated.select(*(changed.get(c, F.col("whole")[c]).alias(c) for c in docs.columns))
