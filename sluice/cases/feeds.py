@@ -17,13 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out an input of fewer splits than there are cores, ahead of costly
-    work per row.  A large input has enough splits and is not shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def stamp(ts: Column) -> Column:
     return F.date_format(as_timestamp(ts), "yyyy-MM-dd HH:mm:ss")
 
@@ -124,8 +117,13 @@ def feed_text(lineitem: DataFrame) -> DataFrame:
 
 
 def feed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = feed_text(spread(table(spark, sf_dir, "lineitem")))
-    return lines_from(text, F.col("value"), F.lit("feed/lineitem.csv"), F.monotonically_increasing_id())
+    return as_feed(feed_text(table(spark, sf_dir, "lineitem")))
+
+
+def as_feed(text: DataFrame) -> DataFrame:
+    """Lines of one file whose splits are the partitions of ``text``."""
+    where = F.lit("feed/lineitem.csv")
+    return lines_from(text, F.col("value"), where, F.monotonically_increasing_id(), F.spark_partition_id())
 
 
 FEED_ROWS = """
@@ -158,6 +156,10 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("Skipped")
         .alias("status"),
         ts.alias("processing_start"),
+        (ts + F.make_dt_interval(secs=F.lit(90))).alias("processing_end"),
+        kind.alias("type"),
+        F.when(kind == "purchase", 100).when(kind == "click", 50).otherwise(0).alias("percent_complete"),
+        (F.col("user_id") % 3).cast("int").alias("retry_attempt"),
         kind.isin("purchase", "error").alias("has_logs"),
         F.when(kind == "error", F.concat(F.lit("failed: "), "props")).otherwise("").alias("error_message"),
     )
@@ -168,7 +170,9 @@ runs as (
   select event_id as id, 'ds-' || user_id as dataset, time_bucket(interval 30 minutes, ts) as slice_start,
     case event_type when 'purchase' then 'Ready' when 'click' then 'InProgress'
       when 'view' then 'PendingExecution' when 'error' then 'Failed' else 'Skipped' end as status,
-    ts as processing_start, event_type in ('purchase', 'error') as has_logs,
+    ts as processing_start, ts + interval 90 seconds as processing_end, event_type as type,
+    case event_type when 'purchase' then 100 when 'click' then 50 else 0 end as percent_complete,
+    cast(user_id % 3 as integer) as retry_attempt, event_type in ('purchase', 'error') as has_logs,
     case when event_type = 'error' then 'failed: ' || props else '' end as error_message
   from events)
 """
@@ -217,7 +221,8 @@ outputs as (
 
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Access rows: one per nation for its mail domain, and one per customer in debt."""
+    """Access rows: one per nation for its mail domain, one per customer in debt for
+    their user, and one per other customer for a service account."""
     n = table(spark, sf_dir, "nation").select(
         F.concat(F.lit("@"), F.lower("n_name"), F.lit(".example")).alias("account"),
         F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("customer_id"),
@@ -227,8 +232,9 @@ def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("pl-"), "n_nationkey", F.lit(", pl-"), F.col("n_nationkey") + 1).alias("pipelines"),
         F.lit(0).cast("bigint").alias("sequence"),
     )
-    c = table(spark, sf_dir, "customer").where("c_acctbal < 0").select(
-        user_account().alias("account"),
+    svc = F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(F.lit("svc-"))
+    c = table(spark, sf_dir, "customer").select(
+        F.concat(svc, user_account()).alias("account"),
         F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("customer_id"),
         F.lit("view,  admin").alias("rights"),
         F.lit("rg-user").alias("resource_group"),
@@ -253,6 +259,7 @@ assignments as (
     'pl-' || n_nationkey || ', pl-' || (n_nationkey + 1) as pipelines
   from nation
   union all
-  select {USER_ACCOUNT}, 'C' || c_custkey, 'view,  admin', 'rg-user', 'df-user', 'pl-' || c_custkey
-  from customer where c_acctbal < 0)
+  select case when c_acctbal < 0 then '' else 'svc-' end || {USER_ACCOUNT}, 'C' || c_custkey, 'view,  admin', 'rg-user',
+    'df-user', 'pl-' || c_custkey
+  from customer)
 """

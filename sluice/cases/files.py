@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,19 +11,19 @@ from pyspark.sql import functions as F
 from sluice.cases import case
 from sluice.cases.feeds import (
     CUSTOMER_COLUMNS,
+    CUSTOMER_FAULTS,
     customer_lines,
     customer_spec,
     feed_text,
-    spread,
     stamp,
     table,
 )
 from sluice.operators.slices import arrival_slices, assign
 from sluice.operators.validate import check
-from sluice.plans.normalize import Run, store_slice
+from sluice.plans.normalize import FEED_SPEC, FEED_STORE, Run, egress, normalize_feed, store_slice
 from sluice.session import work_dir
 from sluice.sinks.deliver import deliver, manifest
-from sluice.sinks.tables import read_log, write_slices
+from sluice.sinks.tables import read_log, read_quarantine, read_slices, write_slices
 from sluice.sinks.xmlfiles import part_rows, write_xml
 from sluice.sources.files import changed_files, list_files, non_empty
 from sluice.sources.lines import entity_of, locate, read_lines, slice_of
@@ -30,6 +31,11 @@ from sluice.sources.xml import is_entry, read_entries
 from sluice.spec import StoreSpec
 
 
+def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their date as text, since XML output takes no dates."""
+    return table(spark, sf_dir, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
 @case("optional_folder", f"select {CUSTOMER_COLUMNS}, 'customers' as entity from customer")
 def optional_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One entity folder with files and one that is missing, under one root."""
@@ -151,7 +157,7 @@ def arrivals_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def multi_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two optional inputs, one missing, and one more, each stored by one job."""
     root, out = work_dir(spark, "in"), work_dir(spark, "out")
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = dated_orders(spark, sf_dir)
     spec = StoreSpec.named("rows", "row")
     stored = {
         "orders": write_xml(orders, f"{out}/orders", spec),
@@ -170,22 +176,24 @@ def multi_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @case(
     "slice_partitioned_output",
-    """select strftime(time_bucket(interval 1 day, ts), '%Y%m%d') as slice_date, count(*) as n,
+    """select strftime(time_bucket(interval 30 minutes, ts), '%Y%m%d') as slice_date,
+      strftime(time_bucket(interval 30 minutes, ts), '%H%M') as slice_time, count(*) as n,
       cast(sum(event_id * case when event_type = 'error' then 1 else 0 end) as bigint) as errors
-    from events group by 1""",
+    from events group by 1, 2""",
 )
 def slice_partitioned_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slices written twice: the second write replaces only the slices it holds."""
+    """30-minute slices written twice: the second write replaces only the slices it holds."""
     where = work_dir(spark, "by-slice")
-    events = table(spark, sf_dir, "events").withColumn("day", F.date_trunc("day", "ts"))
+    events = table(spark, sf_dir, "events")
+    events = events.withColumn("day", F.window(F.col("ts").cast("timestamp"), "30 minutes")["start"])
     stale = events.withColumn("event_type", F.lit("stale"))
     late = F.col("day") >= F.lit(datetime(2024, 1, 16))
     columns = ("event_id", "event_type")
     write_slices(stale.where(late).unionByName(events.where(~late)), where, "day", keep=columns)
     write_slices(events.where(late), where, "day", keep=columns)
-    schema = "event_id bigint, event_type string, slice_date string, slice_time string"
     error_id = F.when(F.col("event_type") == "error", F.col("event_id")).otherwise(0)
-    return spark.read.schema(schema).parquet(where).groupBy("slice_date").agg(
+    read = read_slices(spark, where, "event_id bigint, event_type string")
+    return read.groupBy("slice_date", "slice_time").agg(
         F.count("*").alias("n"), F.sum(error_id).alias("errors")
     )
 
@@ -198,7 +206,7 @@ def delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders stored, every file delivered in two steps, and a second run that
     finds nothing left to do."""
     out, ledger = work_dir(spark, "stored"), work_dir(spark, "ledger")
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = dated_orders(spark, sf_dir)
     write_xml(orders, out, StoreSpec.named("orders", "order"))
     steps = ("check {file}", "post {file}")
 
@@ -225,7 +233,7 @@ def delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 def whole_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job on files: load, log, reshape, store, and read the XML back."""
     root, out, log = work_dir(spark, "feed"), work_dir(spark, "xml"), work_dir(spark, "log")
-    feed_text(spread(table(spark, sf_dir, "lineitem"))).write.text(f"{root}/customer-csv")
+    feed_text(table(spark, sf_dir, "lineitem")).write.text(f"{root}/customer-csv")
     run = Run("ACME-Normalize-20240201T1330", "job", datetime(2024, 2, 1, 13, 30))
     store_slice(spark, root, "customer-csv", f"{out}/customer-xml", log, run)
     schema = "CUSTOMER_ID int, Extraction_Time string, Scale array<struct<Scale_Quantity: string>>"
@@ -237,3 +245,70 @@ def whole_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("Scale")[0]["Scale_Quantity"].alias("quantity"),
         openings.alias("openings"),
     )
+
+
+@case(
+    "quarantine_table",
+    f"""with {CUSTOMER_FAULTS} select fault, 'ACME-1' as instance_id, 1 as first_line, count(*) as n
+    from faults where fault is not null group by fault""",
+)
+def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines of a stored slice, kept after the job; the job ran twice with a failure between."""
+    root, out, log = work_dir(spark, "feed"), work_dir(spark, "xml"), work_dir(spark, "log")
+    lines = customer_lines(spark, sf_dir, width_faults=True, type_faults=True)
+    lines.select("value").write.text(f"{root}/customers")
+    run = Run("ACME-1", "7", datetime(2024, 2, 1, 13, 30))
+
+    def broken(rows: DataFrame) -> DataFrame:
+        raise ValueError("the first run stops before it stores")
+
+    try:
+        store_slice(spark, root, "customers", out, log, run, customer_spec(), StoreSpec.named(), broken, detailed=None)
+    except ValueError:
+        store_slice(spark, root, "customers", out, log, run, customer_spec(), StoreSpec.named(), lambda rows: rows)
+    kept = read_quarantine(spark, f"{log}-quarantine")
+    first = F.least(F.lit(1), F.min("line")).cast("int").alias("first_line")
+    return kept.groupBy("fault", "instance_id").agg(first, F.count("*").alias("n"))
+
+
+@case(
+    "store_and_deliver",
+    "select 2 as steps, count(*) as rows, true as all_delivered from lineitem",
+)
+def store_and_deliver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored slice whose spec names two steps for each file that is closed."""
+    root, out, log = work_dir(spark, "feed"), work_dir(spark, "xml"), work_dir(spark, "log")
+    feed_text(table(spark, sf_dir, "lineitem")).write.text(f"{root}/customer-csv")
+    store = replace(FEED_STORE, on_close=("check {file}", "post {file}"))
+
+    def action(path: str, command: str) -> None:
+        if not command.endswith(path):
+            raise RuntimeError("the command does not name its file")
+
+    run = Run("ACME-2", "1", datetime(2024, 2, 1, 13, 30))
+    stored, _ = store_slice(
+        spark, root, "customer-csv", out, log, run, FEED_SPEC, store, normalize_feed, action=action
+    )
+    ledger = spark.read.parquet(f"{out}-ledger")
+    files = non_empty(list_files(spark, out, "part-*")).agg(F.count("*")).scalar()
+    return ledger.agg(
+        F.count_distinct("step").cast("int").alias("steps"),
+        F.lit(stored.rows).cast("bigint").alias("rows"),
+        (F.bool_and("delivered") & (F.count("*") == 2 * files)).alias("all_delivered"),
+    )
+
+
+@case(
+    "egress_csv",
+    "select * replace (strftime(o_orderdate, '%Y-%m-%d') as o_orderdate), 2 as entries from orders",
+)
+def egress_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stored as XML, and taken back out as CSV, logged and delivered."""
+    xml, out, log = work_dir(spark, "xml"), work_dir(spark, "csv"), work_dir(spark, "log")
+    orders = dated_orders(spark, sf_dir)
+    write_xml(orders, xml, StoreSpec.named("orders", "order"))
+    run = Run("00120240101", "42", datetime(2024, 2, 1, 13, 30))
+    egress(spark, xml, orders.schema.simpleString()[7:-1].replace(":", " "), "order", out, log, run, action=lambda path, command: None)
+    entries = read_log(spark, log).where("instance_id = '00120240101' and job_id = '42'").agg(F.count("*").cast("int"))
+    rows = spark.read.schema(orders.schema).option("header", True).option("escape", '"').csv(out)
+    return rows.withColumn("entries", entries.scalar())

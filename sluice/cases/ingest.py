@@ -14,8 +14,9 @@ from sluice.cases.feeds import (
     FEED_ROWS,
     customer_lines,
     customer_spec,
+    as_feed,
     feed_lines,
-    spread,
+    feed_text,
     table,
 )
 from sluice.functions.scale import build_scale, parse_scale
@@ -265,12 +266,12 @@ def local_script(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @case(
     "declared_load",
-    "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority from orders",
+    "select * replace (strftime(o_orderdate, '%Y-%m-%d') as o_orderdate) from orders",
 )
 def declared_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A semicolon-separated feed under a declared schema."""
     where = work_dir(spark, "declared")
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
     orders.write.option("sep", ";").csv(where)
     return read_declared(spark, where, orders.schema, sep=";")
 
@@ -306,10 +307,27 @@ def _scale():
        select l_orderkey, l_linenumber, 1, cast(l_discount as varchar), cast(l_tax as varchar) from lineitem""",
 )
 def scale_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = spread(table(spark, sf_dir, "lineitem"))
+    items = table(spark, sf_dir, "lineitem")
     built = items.select("l_orderkey", "l_linenumber", _scale().alias("scale"))
     return built.select(
         "l_orderkey", "l_linenumber", F.posexplode(parse_scale(F.col("scale"), ["q", "v"])).alias("segment", "s")
     ).select("l_orderkey", "l_linenumber", "segment", "s.q", "s.v")
 
 
+
+
+@case(
+    "feed_line_numbers",
+    "select cast(1 as bigint) as first, count(*) as last, count(*) as different, count(*) as n from lineitem",
+)
+def feed_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of a feed that never was a file, numbered over seven partitions."""
+    lines = as_feed(feed_text(table(spark, sf_dir, "lineitem").repartition(7, "l_orderkey")))
+    # The ids of partitions hold for one run of them; written, both scans see the same.
+    where = work_dir(spark, "numbered")
+    lines.write.parquet(where)
+    checked = check(spark.read.schema(lines.schema).parquet(where), FEED_SPEC)
+    line = checked.with_line(checked.lines).select("line")
+    return line.agg(
+        F.min("line").alias("first"), F.max("line").alias("last"), F.count_distinct("line").alias("different"), F.count("*").alias("n")
+    )

@@ -24,17 +24,18 @@ from sluice.operators.monitor import (
     newest_first,
     of_datasets,
     page,
+    page_after,
     run_detail,
     run_log_files,
     runs_of,
     slice_runs,
     status_counts,
-    tagged_union,
+    tagged_datasets,
 )
 from sluice.plans.status import pipeline_status
 from sluice.session import work_dir
 from sluice.sources.records import RUNS as RUN_SCHEMA
-from sluice.sources.records import read_json, read_pipelines
+from sluice.sources.records import read_json, read_pipelines, read_slices_of
 
 _STAMP = "'%Y-%m-%d %H:%M:%S'"
 _COUNTS = """count(*) filter (status = 'Ready') as success,
@@ -181,7 +182,10 @@ def padded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     where ts >= (select max(ts) - interval 96 hours from events) and ts <= (select max(ts) from events)""",
 )
 def lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = look_back(table(spark, sf_dir, "events"), "ts", _now(spark, sf_dir))
+    events = table(spark, sf_dir, "events")
+    # The clock is a value of the request, so the bounds reach the scan.
+    now = events.select(F.max("ts").cast("timestamp")).first()[0]
+    recent = look_back(events, "ts", F.lit(now))
     return recent.select("event_id", "user_id", "event_type")
 
 
@@ -210,14 +214,12 @@ def parameter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @case(
     "tagged_union",
-    """select event_id, 'click' as dataset from events where event_type = 'click'
-    union all select event_id, 'view' from events where event_type = 'view'
-    union all select event_id, 'signup' from events where event_type = 'signup'""",
+    "select event_id, event_type as dataset from events where event_type in ('click', 'view', 'signup', 'purchase', 'error')",
 )
 def union_of_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    kinds = ("click", "view", "signup")
-    return tagged_union({k: events.where(F.col("event_type") == k).select("event_id") for k in kinds})
+    """Slices of five datasets that share a table, in one scan."""
+    kinds = ("click", "view", "signup", "purchase", "error")
+    return tagged_datasets(table(spark, sf_dir, "events"), kinds, "event_type").select("event_id", "dataset")
 
 
 @case(
@@ -246,14 +248,14 @@ def multi_execution(spark: SparkSession, sf_dir: str) -> DataFrame:
     "slice_runs",
     f"""with {RUNS}, slices as (select distinct dataset, slice_start from runs)
     select s.dataset, strftime(s.slice_start, {_STAMP}) as slice_start, coalesce(r.id, -1) as id, coalesce(r.status, 'none') as status
-    from slices s left join (select * from runs where has_logs) r
+    from slices s left join runs r
       on r.dataset = s.dataset and r.slice_start = s.slice_start""",
 )
 def drill_down(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every slice with those of its runs that have logs."""
+    """Every slice with all its runs."""
     runs = run_records(spark, sf_dir)
     slices = runs.select("dataset", "slice_start").distinct()
-    joined = slice_runs(slices, runs.where("has_logs").select("dataset", "slice_start", "id", "status"))
+    joined = slice_runs(slices, runs.select("dataset", "slice_start", "id", "status"))
     return joined.select(
         "dataset",
         stamp(F.col("slice_start")).alias("slice_start"),
@@ -280,6 +282,7 @@ def runs_of_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @case(
     "run_detail",
     f"""with {RUNS} select id, dataset, status, strftime(processing_start, '%-m-%-d-%y %-H:%M:%S') || ' UTC' as started,
+      type, strftime(processing_end, '%-m-%-d-%y %-H:%M:%S') || ' UTC' as ended, percent_complete, retry_attempt,
       cast(has_logs as varchar) as has_logs, nullif(error_message, '') as error_message,
       case when has_logs then 'logs/' || id end as logs_link
     from runs""",
@@ -358,12 +361,11 @@ def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @case(
     "log_listing",
-    """with listed as (select 'page-' || lpad(cast(page_id as varchar), 8, '0') as name, length(html) as n
-      from pages order by name limit 100)
+    """with listed as (select 'page-' || lpad(cast(page_id as varchar), 8, '0') as name, length(html) as n from pages)
     select name, 'https://store/logs/' || name || '?t=1' as url from listed where n > 0""",
 )
 def log_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links to the first hundred log files that hold data."""
+    """Links to all log files that hold data."""
     files = table(spark, sf_dir, "pages").select(
         F.concat(F.lit("page-"), F.lpad(F.col("page_id").cast("string"), 8, "0")).alias("name"),
         F.length("html").alias("length"),
@@ -371,16 +373,62 @@ def log_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed_files(files, F.lit("https://store"), F.lit("logs"), F.lit("t=1"))
 
 
+@case(
+    "log_listing_page",
+    """with listed as (select 'page-' || lpad(cast(page_id as varchar), 8, '0') as name, length(html) as n from pages)
+    select name, 'https://store/logs/' || name || '?t=1' as url from listed where n > 0 and name > 'page-00000020'
+    order by name limit 100""",
+)
+def log_listing_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hundred files that follow the last one seen."""
+    files = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("page-"), F.lpad(F.col("page_id").cast("string"), 8, "0")).alias("name"),
+        F.length("html").alias("length"),
+    )
+    return listed_files(files, F.lit("https://store"), F.lit("logs"), F.lit("t=1"), most=100, after="page-00000020")
+
+
+@case(
+    "newest_runs_after",
+    f"""with {RUNS}, seen as (select processing_start as s, id as i from runs order by processing_start desc, id limit 1 offset 49)
+    select id, dataset from runs, seen where processing_start < s or (processing_start = s and id > i)
+    order by processing_start desc, id limit 50""",
+)
+def newest_runs_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page behind the last row of the first page."""
+    runs = run_records(spark, sf_dir)
+    last = page_after(runs, "processing_start", "id", size=50).select("processing_start", "id").tail(1)[0]
+    return page_after(runs, "processing_start", "id", tuple(last), size=50).select("id", "dataset")
+
+
+@case(
+    "slice_documents",
+    f"""with {RUNS} select dataset, strftime(slice_start, {_STAMP}) as slice_start, status, retry_attempt as retries from runs
+    where slice_start >= timestamp '2024-01-10 00:00:00' and slice_start < timestamp '2024-01-20 00:00:00'""",
+)
+def slice_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slice documents as JSON lines, read under their schema and bounded by start."""
+    where = work_dir(spark, "slices")
+    run_records(spark, sf_dir).select(
+        "dataset",
+        F.date_format("slice_start", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("start"),
+        "status",
+        F.col("retry_attempt").alias("retryCount"),
+    ).write.json(where)
+    read = read_slices_of(spark, where, F.lit(datetime(2024, 1, 10)), F.lit(datetime(2024, 1, 20)))
+    return read.select("dataset", stamp(F.col("start")).alias("slice_start"), "status", F.col("retryCount").alias("retries"))
+
+
 @case(
     "run_log_files",
     """with r as (select event_id as id, 'C' || user_id || '-Normalize-' || strftime(ts, '%Y%m%dT%H%M') as instance_id
-      from events where event_type = 'error')
+      from events)
     select p.page_id as run_id, 'stderr' as name, p.url from pages p join r on r.id = p.page_id where length(p.html) > 0
     union all select id, instance_id, '/instance?instanceId=' || instance_id from r""",
 )
 def run_files_and_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Failed runs with their log files and a link to their instance log."""
-    runs = table(spark, sf_dir, "events").where("event_type = 'error'").select(
+    """All runs with their log files and a link to their instance log."""
+    runs = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
         instance_id(
             F.concat(F.lit("C"), F.col("user_id").cast("string")), F.lit("Normalize"), F.col("ts")

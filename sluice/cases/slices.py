@@ -63,8 +63,7 @@ _rounding(
 _rounding("slice_round_none", 0, -5, "date_trunc('minute', ts - interval 5 minutes)")
 
 _GAPS = f"""
-arrived as (select {_END} as slice_end from events where event_type = 'error'
-  and value > 60),
+arrived as (select {_END} as slice_end from events),
 calendar as (
   select unnest(generate_series(min(s), max(s), interval 30 minutes)) as slice_end
   from (select {_END} as s from events))
@@ -78,9 +77,9 @@ calendar as (
     from calendar c left join counted using (slice_end)""",
 )
 def slice_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slices of the whole period, against large errors only."""
+    """Slices of the whole period, with and without events."""
     events = table(spark, sf_dir, "events")
-    seen = arrivals(events.where("event_type = 'error' and value > 60"), "ts")
+    seen = arrivals(events, "ts")
     report = gap_report(calendar_of(events, "ts"), seen)
     return report.withColumn("slice_end", stamp(F.col("slice_end")))
 
@@ -112,11 +111,11 @@ def slice_ready(spark: SparkSession, sf_dir: str) -> DataFrame:
 @case(
     "oldest_slice",
     f"""with s as (select {_END} as slice_end, count(*) as n from events group by 1)
-    select strftime(slice_end, {_STAMP}) as slice_end, n from s order by s.slice_end limit 10""",
+    select strftime(slice_end, {_STAMP}) as slice_end, n from s""",
 )
 def oldest_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten slices that are due first."""
-    due = oldest_first(arrivals(table(spark, sf_dir, "events"), "ts")).limit(10)
+    """All slices, those due first in front."""
+    due = oldest_first(arrivals(table(spark, sf_dir, "events"), "ts"))
     return due.select(stamp(F.col("slice_end")).alias("slice_end"), "n")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.cases import case
-from sluice.cases.feeds import FEED_ROWS, feed_lines, spread, table
+from sluice.cases.feeds import FEED_ROWS, feed_lines, table
 from sluice.functions.scale import build_scale
 from sluice.operators.validate import check
 from sluice.operators.xmlrows import store_losses, to_entries
@@ -112,7 +112,7 @@ def xml_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated scale nodes parsed back into rows."""
     pairs = (("l_quantity", "l_extendedprice"), ("l_discount", "l_tax"))
     scale = build_scale(*[[F.col(c) for c in pair] for pair in pairs])
-    items = spread(table(spark, sf_dir, "lineitem"))
+    items = table(spark, sf_dir, "lineitem")
     rows = items.select("l_orderkey", "l_linenumber", scale.alias("scale"))
     spec = StoreSpec.of(
         {"entry": "e", "processors": [{"column": "scale", "type": "scale", "node": "S", "children": ["q", "v"]}]}
@@ -130,8 +130,8 @@ def envelope_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders in enveloped files: every non-empty file starts and ends with the
     envelope and holds at least one entry."""
     where = work_dir(spark, "envelopes")
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
-    write_xml(orders.where("o_orderkey >= 0"), where, _SOAP, files=8)
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    write_xml(orders, where, _SOAP, files=8)
     lines = spark.read.text(where).select(F.col("_metadata.file_name").alias("name"), "value")
     starts, ends = F.col("value").startswith("<?xml"), F.col("value").endswith("</Envelope>")
     per_file = lines.groupBy("name").agg(

@@ -29,10 +29,6 @@ def shares_any(left: Column, right: Column) -> Column:
     return F.coalesce(F.arrays_overlap(*texts), F.lit(False))
 
 
-def is_blank(text: Column) -> Column:
-    return text.isNull() | (F.btrim(text, F.lit(_BLANKS)) == "")
-
-
 def domain_of(account: Column) -> Column:
     """``@domain`` of an account name, null without one."""
     return F.concat(F.lit("@"), F.get(F.split(account, "@"), F.lit(1)))

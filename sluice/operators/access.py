@@ -17,11 +17,15 @@ def current(assignments: DataFrame, sequence: str = "sequence") -> DataFrame:
 
 
 def upsert(table: DataFrame, changes: DataFrame) -> DataFrame:
-    """Insert or replace by account; among changes the highest sequence wins."""
+    """Insert or replace by account; among changes the highest sequence wins.
+
+    A change without sequence replaces the old row and yields to numbered changes.
+    """
     old = table.select("account", *FIELDS, F.lit(None).cast("bigint").alias("sequence"))
     new = changes.select("account", *FIELDS, F.col("sequence").cast("bigint"))
     # A null sequence would be ignored by max_by, so old rows get the lowest.
-    rows = old.unionByName(new).withColumn("sequence", F.coalesce("sequence", F.lit(-(2**63))))
+    old = old.withColumn("sequence", F.lit(-(2**63)))
+    rows = old.unionByName(new.withColumn("sequence", F.coalesce("sequence", F.lit(1 - 2**63))))
     return current(rows)
 
 

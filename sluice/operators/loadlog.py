@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.dates import day_key
 from sluice.functions.text import log_key
 from sluice.operators.running import running_total
-from sluice.operators.validate import Checked, fault_message
+from sluice.operators.validate import LINE_CHUNK_BYTES, Checked, fault_message
+from sluice.session import work_dir
 from sluice.sources.lines import Located
 
 # Skipped rows detailed per file, and the log texts.
@@ -22,23 +25,35 @@ NOT_FOUND = "%s does not exist or is empty; using %s."
 _ENTRY = ["path", "position", "level", "message"]
 
 
-def _first_skips(checked: Checked) -> DataFrame:
-    """The first skipped lines of each file, one more than are detailed.
+def _first_skips(checked: Checked, detailed: int | None) -> DataFrame:
+    """The first skipped lines of each file, one more than are detailed; all for None.
 
     The rank filter turns into a group limit before the shuffle, so a file
-    with any number of bad lines sends only a few per task.
+    with any number of bad lines sends only a few per task.  With all of them,
+    ranks come from running totals over splits.
     """
+    if detailed is None:
+        skipped = checked.quarantine.where("policy = 'skip'")
+        counts = skipped.groupBy("path", "block_start").agg(F.count("*").alias("_n"))
+        chunk = F.expr(f"block_start div {LINE_CHUNK_BYTES}")
+        begins = running_total(counts, ["path"], "block_start", "_n", "_begin", chunk).select("path", "block_start", "_begin")
+        inside = Window.partitionBy("path", "block_start").orderBy("row_id")
+        ranked = skipped.withColumn("_inside", F.row_number().over(inside)).join(begins, ["path", "block_start"])
+        return ranked.withColumn("rank", F.col("_begin") + F.col("_inside")).drop("_begin", "_inside")
     in_order = Window.partitionBy("path").orderBy("block_start", "row_id")
     return (
         checked.quarantine.where("policy = 'skip'")
         .withColumn("rank", F.row_number().over(in_order))
-        .where(F.col("rank") <= SKIPS_DETAILED + 1)
+        .where(F.col("rank") <= detailed + 1)
     )
 
 
-def capped_skips(checked: Checked) -> DataFrame:
-    """Skip entries per file: the detailed ones, then one notice."""
-    numbered = checked.with_line(_first_skips(checked))
+def capped_skips(checked: Checked, detailed: int | None = SKIPS_DETAILED) -> DataFrame:
+    """Skip entries per file: the detailed ones, then one notice; None details all.
+
+    The quarantine holds every rejected line in any case.
+    """
+    numbered = checked.with_line(_first_skips(checked, detailed))
     detail = fault_message(F.col("fault"), F.col("file_name"), F.col("line"), F.col("column_index"))
     return numbered.select(
         "path",
@@ -47,7 +62,7 @@ def capped_skips(checked: Checked) -> DataFrame:
         "row_id",
         F.col("rank").alias("position"),
         F.lit("SKIP").alias("level"),
-        F.when(F.col("rank") <= SKIPS_DETAILED, detail).otherwise(MORE_SKIPPED).alias("message"),
+        (detail if detailed is None else F.when(F.col("rank") <= detailed, detail).otherwise(MORE_SKIPPED)).alias("message"),
     )
 
 
@@ -83,10 +98,10 @@ def raise_on_failure(checked: Checked) -> None:
             raise LoadFailed(failed[0]["message"])
 
 
-def file_entries(checked: Checked) -> DataFrame:
+def file_entries(checked: Checked, detailed: int | None = SKIPS_DETAILED) -> DataFrame:
     """Entries per file in reading order: start, skips, then completion or failure."""
     files = checked.file_stats
-    skips = capped_skips(checked)
+    skips = capped_skips(checked, detailed)
     if checked.spec.can_fail:
         fails = first_failures(checked).alias("f")
         at_fail = fails.select("path", F.struct("block_start", "row_id").alias("_fail_at"))
@@ -100,7 +115,8 @@ def file_entries(checked: Checked) -> DataFrame:
         files = files.join(fails.select("path", F.col("message").alias("_failure")), "path", "left")
     else:
         skips = skips.select(*_ENTRY)
-        files = files.withColumn("_kept", F.least(F.col("rows_skipped"), F.lit(SKIPS_DETAILED + 1)))
+        most = F.col("rows_skipped") if detailed is None else F.least(F.col("rows_skipped"), F.lit(detailed + 1))
+        files = files.withColumn("_kept", most)
         files = files.withColumn("_failure", F.lit(None).cast("string"))
     started = files.select(
         "path",
@@ -116,16 +132,36 @@ def file_entries(checked: Checked) -> DataFrame:
             "message"
         ),
     )
-    # One row per file: where its entries begin in the job's log, folder by folder.
     sizes = files.select("path", (F.col("_kept") + 2).alias("_entries"))
-    folder = F.regexp_extract("path", "^(.*)/", 1)
-    begins = running_total(sizes, [], "path", "_entries", "_begin", folder).select("path", "_begin")
+    begins = _begins(sizes, checked.lines.sparkSession, checked.staged_folder)
     entries = started.unionByName(skips).unionByName(ended)
     return entries.join(begins, "path").select(
         "path", (F.col("_begin") + F.col("position")).alias("sequence"), "level", "message"
     )
 
 
+def _begins(sizes: DataFrame, spark: SparkSession, staged: str | None) -> DataFrame:
+    """Where each file's entries begin in the job's log, files in order of path.
+
+    Files are dealt into ranges of the path, a few thousand to a range and
+    4096 ranges at most.  The ranges' totals are added up by the driver, the
+    files of each range in a window; neither a folder nor the job is one.
+    """
+    count = max(2, min(4096, sizes.count() // 2000))
+    sizes = sizes.repartitionByRange(count, "path").withColumn("_range", F.spark_partition_id())
+    # Written, so that both uses see the same ranges even if a task runs again.
+    folder = f"{staged}/file-ranges" if staged else work_dir(spark, "file-ranges")
+    sizes.write.parquet(folder)
+    sizes = spark.read.schema(sizes.schema).parquet(folder)
+    totals = {r["_range"]: r["n"] for r in sizes.groupBy("_range").agg(F.sum("_entries").alias("n")).collect()}
+    ranges = sorted(totals)
+    begins = accumulate((totals[r] for r in ranges), initial=0)
+    bases = spark.createDataFrame(list(zip(ranges, begins, strict=False)), "_range int, _base bigint")
+    inside = Window.partitionBy("_range").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    inner = sizes.withColumn("_inner", F.coalesce(F.sum("_entries").over(inside), F.lit(0)))
+    return inner.join(F.broadcast(bases), "_range").select("path", (F.col("_base") + F.col("_inner")).alias("_begin"))
+
+
 def load_log(
     checked: Checked,
     instance: str,
@@ -133,9 +169,13 @@ def load_log(
     ts: Column,
     opening: DataFrame | None = None,
     opening_rows: int = 0,
+    detailed: int | None = SKIPS_DETAILED,
 ) -> DataFrame:
-    """The whole log of one job; ``opening`` holds entries before any file."""
-    entries = file_entries(checked).select(
+    """The whole log of one job; ``opening`` holds entries before any file.
+
+    ``detailed`` skips are listed per file, all of them for None.
+    """
+    entries = file_entries(checked, detailed).select(
         (F.col("sequence") + opening_rows).alias("log_index"), "level", "message"
     )
     if opening is not None:

@@ -18,7 +18,6 @@ FAILURE = ("Failed",)
 
 LOOK_BACK_HOURS = 96
 PAGE_SIZES = (10, 25, 50, 100)
-LISTED_FILES = 100
 
 
 # --- pipelines -------------------------------------------------------------
@@ -26,7 +25,7 @@ LISTED_FILES = 100
 
 def accessible(pipelines: DataFrame, allowed: DataFrame, name: str = "name") -> DataFrame:
     """Pipelines named in the caller's list."""
-    return pipelines.join(allowed.select(name).distinct(), name, "left_semi")
+    return pipelines.join(allowed.select(name), name, "left_semi")
 
 
 def activities(pipelines: DataFrame) -> DataFrame:
@@ -70,16 +69,27 @@ def drill_link(steps: DataFrame) -> DataFrame:
 
 
 def look_back(slices: DataFrame, ts: str, now: Column, hours: int = LOOK_BACK_HOURS) -> DataFrame:
-    """Rows of the last hours up to now."""
-    return slices.where((F.col(ts) >= now - F.make_dt_interval(hours=F.lit(hours))) & (F.col(ts) <= now))
+    """Rows of the last hours up to now.
+
+    The bounds take the column's type, not the other way round, so with a
+    literal ``now`` they are pushed down to the scan.
+    """
+    kind = slices.schema[ts].dataType
+    since = now - F.make_dt_interval(hours=F.lit(hours))
+    return slices.where((F.col(ts) >= since.cast(kind)) & (F.col(ts) <= now.cast(kind)))
 
 
 def of_datasets(slices: DataFrame, datasets: Sequence[str], column: str = "dataset") -> DataFrame:
     return slices.where(F.col(column).isin(*datasets))
 
 
+def tagged_datasets(slices: DataFrame, datasets: Sequence[str], column: str = "dataset") -> DataFrame:
+    """Slices of several datasets that lie in one table, tagged with their dataset, in one scan."""
+    return of_datasets(slices, datasets, column).withColumn("dataset", F.col(column))
+
+
 def tagged_union(by_dataset: dict[str, DataFrame]) -> DataFrame:
-    """Slices of several sources, each tagged with its dataset."""
+    """Slices of sources that are tables of their own, each tagged with its dataset."""
     tagged = [df.withColumn("dataset", F.lit(name)) for name, df in by_dataset.items()]
     return reduce(DataFrame.unionByName, tagged)
 
@@ -138,7 +148,11 @@ def run_detail(runs: DataFrame) -> DataFrame:
         "id",
         "dataset",
         "status",
+        "type",
         display(F.col("processing_start")).alias("started"),
+        display(F.col("processing_end")).alias("ended"),
+        "percent_complete",
+        "retry_attempt",
         flag_text(F.col("has_logs")).alias("has_logs"),
         F.when(F.length(message) > 0, message).alias("error_message"),
         F.when(F.col("has_logs"), F.concat(F.lit("logs/"), F.col("id").cast("string"))).alias("logs_link"),
@@ -149,6 +163,20 @@ def newest_first(df: DataFrame, ts: str, *tie: str) -> DataFrame:
     return df.orderBy(F.desc(ts), *tie)
 
 
+def page_after(df: DataFrame, ts: str, tie: str, seen: tuple | None = None, size: int = 10) -> DataFrame:
+    """The page that follows the last row seen, newest first, then by ``tie``.
+
+    A deep page costs what the first costs: the bound reaches the scan, and no
+    task keeps the rows of earlier pages.
+    """
+    if size not in PAGE_SIZES:
+        raise ValueError(f"page size must be one of {PAGE_SIZES}")
+    if seen is not None:
+        last, key = F.lit(seen[0]), F.lit(seen[1])
+        df = df.where((F.col(ts) <= last) & ((F.col(ts) < last) | (F.col(tie) > key)))
+    return newest_first(df, ts, tie).limit(size)
+
+
 def page(ordered: DataFrame, size: int = 10, number: int = 1) -> DataFrame:
     """One page of an ordered result; the order must be unique."""
     if size not in PAGE_SIZES:
@@ -159,14 +187,19 @@ def page(ordered: DataFrame, size: int = 10, number: int = 1) -> DataFrame:
 # --- log files -------------------------------------------------------------
 
 
-def listed_files(files: DataFrame, host: Column, container: Column, token: Column, most: int = LISTED_FILES) -> DataFrame:
-    """The first files of a listing, by name, that hold data, with links."""
-    return (
-        files.orderBy("name")
-        .limit(most)
-        .where("length > 0")
-        .select("name", file_url(host, container, F.col("name"), token).alias("url"))
-    )
+def listed_files(
+    files: DataFrame, host: Column, container: Column, token: Column, most: int | None = None, after: str | None = None
+) -> DataFrame:
+    """The files of a listing that hold data, with links.
+
+    With ``most`` a page of them by name, which starts behind ``after``.
+    """
+    held = files.where("length > 0")
+    if after is not None:
+        held = held.where(F.col("name") > after)
+    if most is not None:
+        held = held.orderBy("name").limit(most)
+    return held.select("name", file_url(host, container, F.col("name"), token).alias("url"))
 
 
 def run_files(runs: DataFrame, files: DataFrame) -> DataFrame:

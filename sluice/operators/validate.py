@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 
 from sluice.functions.casts import EXPECTED, cast_field, is_wrong
 from sluice.operators.running import running_total
-from sluice.session import work_dir
+from sluice.session import remove_dir, work_dir
 from sluice.spec import LoadSpec
 
 _CORRUPT = "_corrupt"
 _CSV = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "escape": '"'}
-_SAFE_BYTES = 20_000  # fewer than the fields the parser takes
 _WIDTH = -1  # verdict of a line with the wrong number of fields
 _SPLIT = ("path", "file_name", "block_start")
 _PROVENANCE = (*_SPLIT, "row_id")
@@ -72,6 +71,7 @@ class Checked:
     parsed: DataFrame
     staged_quarantine: DataFrame | None = None
     staged_stats: DataFrame | None = None
+    staged_folder: str | None = None
 
     @property
     def good(self) -> DataFrame:
@@ -114,7 +114,7 @@ class Checked:
         if self.staged_stats is not None:
             return self.staged_stats
         return self.lines.groupBy(*_SPLIT).agg(
-            F.count("*").alias("rows_read"), F.min("row_id").alias("first_id")
+            F.count("*").alias("rows_read"), F.min("row_id").alias("first_id"), F.max("row_id").alias("last_id")
         )
 
     @cached_property
@@ -149,29 +149,38 @@ class Checked:
         stats = self.split_sizes.join(rejected, list(_SPLIT), "left").fillna(0, ["rows_skipped", "rows_failed"])
         stats.write.parquet(f"{folder}/stats")
         stats = spark.read.parquet(f"{folder}/stats")
-        return Checked(self.spec, self.lines, self.parsed, quarantine, stats)
+        return Checked(self.spec, self.lines, self.parsed, quarantine, stats, folder)
+
+    def close(self) -> None:
+        """Remove what ``stage`` wrote; the staged tables can't be read after that."""
+        if self.staged_folder is not None:
+            remove_dir(self.lines.sparkSession, self.staged_folder)
 
     def with_line(self, rows: DataFrame) -> DataFrame:
         """Add the absolute 1-based line number to rows that kept provenance.
 
-        Only split counts are summed; the rows themselves are not sorted.
+        Only split counts are summed; the rows themselves are not sorted.  Row
+        ids must run without gaps in each split; the line numbers of a split
+        where they don't would be wrong, so it raises instead.
         """
         starts = running_total(
-            self.split_sizes.select("path", "block_start", "rows_read", "first_id"),
+            self.split_sizes.select("path", "block_start", "rows_read", "first_id", "last_id"),
             ["path"],
             "block_start",
             "rows_read",
             "_before",
             F.expr(f"block_start div {LINE_CHUNK_BYTES}"),
-        ).select("path", "block_start", "first_id", "_before")
+        ).select("path", "block_start", "first_id", "_before", (F.expr("last_id - first_id + 1 = rows_read")).alias("_whole"))
         line = F.col("_before") + F.col("row_id") - F.col("first_id") + 1
-        known = F.when(F.col("_before").isNotNull(), line).otherwise(
-            F.raise_error(F.lit("a file split has no line offset")).cast("bigint")
+        known = (
+            F.when(F.col("_whole"), line)
+            .when(F.col("_before").isNull(), F.raise_error(F.lit("a file split has no line offset")).cast("bigint"))
+            .otherwise(F.raise_error(F.lit("the row ids of a file split have gaps")).cast("bigint"))
         )
         return (
             rows.join(starts, ["path", "block_start"], "left")
             .withColumn("line", known)
-            .drop("_before", "first_id")
+            .drop("_before", "first_id", "_whole")
         )
 
 
@@ -179,11 +188,9 @@ def check(lines: DataFrame, spec: LoadSpec) -> Checked:
     """Parse and judge every line."""
     n = len(spec.columns)
     ddl = ", ".join(f"{name} string" for name in [*map(_field, range(n)), _CORRUPT])
-    # The parser gives up on a line of very many fields.  Only a long line can
-    # have those; if its width is wrong, a short line of wrong width stands in.
-    line = F.when(
-        (F.octet_length("value") <= _SAFE_BYTES) | (csv_width(F.col("value")) == n), F.col("value")
-    ).otherwise("," * n)
+    # The parser gives up on a line of very many fields.  The width is judged
+    # beforehand, and a short line of wrong width stands in for a wrong one.
+    line = F.when(csv_width(F.col("value")) == n, F.col("value")).otherwise("," * n)
     fields = lines.select(*lines.columns, F.inline(F.array(F.from_csv(line, ddl, _CSV))))
     return Checked(spec, lines, fields.withColumn("_verdict", _verdict(spec)))
 

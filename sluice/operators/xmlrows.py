@@ -119,8 +119,8 @@ def to_entries(df: DataFrame, spec: StoreSpec, keep: tuple[str, ...] = (), name:
 
 def store_losses(df: DataFrame, spec: StoreSpec) -> DataFrame:
     """One row: characters and scale members the XML output cannot carry."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    illegal = sum((illegal_count(F.col(f"`{t}`")) for t in texts), F.lit(0))
+    texts = [_text(f.name, f.dataType) for f in df.schema.fields if _is_free_text(f.dataType)]
+    illegal = sum((F.coalesce(illegal_count(t), F.lit(0)) for t in texts), F.lit(0))
     short = sum(
         (
             F.coalesce(missing_members(F.col(f"`{p.column}`"), len(p.children)), F.lit(0))

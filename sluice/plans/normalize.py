@@ -6,17 +6,20 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.dates import FEED_PATTERN, OUTPUT_PATTERN, SHORT_PATTERN, reformat
+from sluice.functions.dates import FEED_PATTERN, OUTPUT_PATTERN, SHORT_PATTERN, day_key, reformat
 from sluice.functions.scale import build_scale
-from sluice.operators.loadlog import load_log, opening_entries, raise_on_failure
+from sluice.operators.loadlog import SKIPS_DETAILED, load_log, opening_entries, raise_on_failure
 from sluice.operators.validate import Checked, check
 from sluice.session import configure
-from sluice.sinks.tables import append_log
+from sluice.sinks.deliver import Action, deliver
+from sluice.sinks.tables import append_log, read_quarantine, write_csv, write_quarantine
 from sluice.sinks.xmlfiles import Stored, write_xml
+from sluice.sources.files import has_files, list_files
 from sluice.sources.lines import locate
+from sluice.sources.xml import read_entries
 from sluice.spec import LoadSpec, StoreSpec
 
 # The twelve columns of the customer and product feeds.
@@ -114,21 +117,78 @@ def store_slice(
     transform: Callable[[DataFrame], DataFrame] = normalize_feed,
     empty: str | None = None,
     files: int | None = None,
+    detailed: int | None = SKIPS_DETAILED,
+    action: Action | None = None,
 ) -> tuple[Stored, Checked]:
     """Load one optional folder, log the load, and store the result as XML.
 
-    The log is written before a failing line stops the run, and nothing is
-    stored in that case.  No step shuffles the accepted rows unless ``files``
-    asks for evenly filled output.
+    Rejected lines with their line numbers stay in ``<log_path>-quarantine``,
+    whatever number of them the log details.  Log and quarantine are written
+    before a failing line stops the run, and nothing is stored in that case.  A
+    run whose output is there already stops before it writes anything; one
+    that runs again after a failure replaces its own entries.  No step shuffles
+    the accepted rows unless ``files`` asks for evenly filled output.
+
+    Steps of ``store.on_close`` are run by ``action`` for each file once the
+    write has committed, with a ledger in ``<out>-ledger``; configured steps
+    without an action are refused.  What is staged on the way is removed.
     """
     configure(spark)
+    if store.on_close and action is None:
+        raise ValueError("the store spec has steps on close, but no action was given")
+    if has_files(list_files(spark, out)):
+        raise FileExistsError(f"there is output in {out} already")
     located = locate(spark, root, target)
-    checked = check(located.lines, load).stage(spark)
-    opening = opening_entries(spark, located, run.job, empty)
-    log = load_log(checked, run.instance, run.job, F.lit(run.now), opening, opening_rows=2)
-    append_log(log, log_path)
-    raise_on_failure(checked)
-    return write_xml(transform(checked.good), out, store, files), checked
+    staged = check(located.lines, load).stage(spark)
+    kept = f"{log_path.rstrip('/')}-quarantine"
+    try:
+        write_quarantine(staged.with_line(staged.quarantine), kept, run.instance, run.job)
+        opening = opening_entries(spark, located, run.job, empty)
+        log = load_log(staged, run.instance, run.job, F.lit(run.now), opening, opening_rows=2, detailed=detailed)
+        append_log(log, log_path)
+        raise_on_failure(staged)
+        stored = write_xml(transform(staged.good), out, store, files)
+    finally:
+        staged.close()
+    if store.on_close:
+        deliver(spark, out, f"{out.rstrip('/')}-ledger", action, store.on_close)
+    own = (F.col("instance_id") == run.instance) & (F.col("job_id") == run.job)
+    return stored, replace(staged, staged_quarantine=read_quarantine(spark, kept).where(own), staged_stats=None, staged_folder=None)
+
+
+def egress(
+    spark: SparkSession,
+    folder: str,
+    schema: str,
+    entry: str,
+    out: str,
+    log_path: str,
+    run: Run,
+    transform: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    action: Action | None = None,
+    steps: Sequence[str] = ("{file}",),
+) -> int:
+    """The way back: XML entries below ``folder`` as CSV files in ``out``, logged and delivered.
+
+    Returns the number of rows.  The log gets two entries, what was read and
+    what was written; a run again replaces them, and refuses to write over
+    output.  With ``action`` every file is delivered after the write.
+    """
+    configure(spark)
+    if has_files(list_files(spark, out)):
+        raise FileExistsError(f"there is output in {out} already")
+    counted = Observation()
+    rows = transform(read_entries(spark, folder, schema, entry)).observe(counted, F.count(F.lit(1)).alias("rows"))
+    write_csv(rows, out)
+    n = counted.get["rows"]
+    texts = [(0, f"Started reading entries from: {folder}."), (1, f"Completed writing to: {out}; {n} row(s) written.")]
+    entries = spark.createDataFrame([(i, "INFO", text) for i, text in texts], "log_index bigint, level string, message string")
+    now = F.lit(run.now)
+    named = {"instance_id": F.lit(run.instance), "job_id": F.lit(run.job), "ts": now, "assoc_day": day_key(now)}
+    append_log(entries.withColumns(named), log_path)
+    if action is not None:
+        deliver(spark, out, f"{out.rstrip('/')}-ledger", action, steps)
+    return n
 
 
 def slice_paths(slice_end: datetime) -> tuple[str, str]:

@@ -39,3 +39,9 @@ def work_dir(spark: SparkSession, label: str) -> str:
             _local_base = tempfile.mkdtemp(prefix="sluice-")
         base = _local_base
     return f"{base.rstrip('/')}/sluice/{label}-{uuid.uuid4().hex}"
+
+
+def remove_dir(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that ``work_dir`` named, on whatever file system holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,13 +10,38 @@ from pyspark.sql import functions as F
 from sluice.operators.loadlog import export_form, instance_entries
 
 
+LOG = "log_index bigint, level string, message string, ts timestamp, assoc_day timestamp, instance_id string, job_id string"
+QUARANTINE = (
+    "path string, file_name string, block_start bigint, row_id bigint, raw string, column_index int, fault string, "
+    "policy string, line bigint, instance_id string, job_id string"
+)
+
+
 def append_log(log: DataFrame, path: str) -> None:
-    """Add entries; the table is laid out by instance, the key of every lookup."""
-    log.write.mode("append").partitionBy("instance_id").parquet(path)
+    """Add the entries of jobs; the table is laid out by instance, the key of
+    every lookup, and by job.  A job that runs again replaces its own entries."""
+    (
+        log.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("instance_id", "job_id")
+        .parquet(path)
+    )
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The log under its declared schema: names of instances and jobs stay text."""
+    return spark.read.schema(LOG).parquet(path)
+
+
+def write_quarantine(rows: DataFrame, path: str, instance: str, job: str) -> None:
+    """Keep rejected lines for good; a job that runs again replaces its own."""
+    kept = rows.withColumns({"instance_id": F.lit(instance), "job_id": F.lit(job)})
+    append_log(kept, path)
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Rejected lines of all jobs, with their line numbers."""
+    return spark.read.schema(QUARANTINE).parquet(path)
 
 
 def export_instance(log: DataFrame, instance: str, path: str) -> None:
@@ -55,6 +80,11 @@ def write_slices(
     )
 
 
+def read_slices(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
+    """Rows that ``write_slices`` wrote, under ``schema``; slice_date and slice_time stay text."""
+    return spark.read.schema(f"{schema}, slice_date string, slice_time string").format(fmt).load(path)
+
+
 def append_access(rows: DataFrame, path: str) -> None:
     """Record assignments; ``operators.access.current`` resolves the latest."""
     rows.write.mode("append").parquet(path)

@@ -34,19 +34,20 @@ def enveloped(entries: DataFrame, spec: StoreSpec) -> DataFrame:
     if not head and not tail:
         return entries
 
-    def line(text: str) -> Iterator[pa.RecordBatch]:
+    def line(text: str, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
         if text:
-            yield pa.RecordBatch.from_arrays([pa.array([text], pa.string())], names=["value"])
+            yield pa.RecordBatch.from_arrays([pa.array([text], kind)], names=["value"])
 
     def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        started = False
+        kind = None
         for batch in batches:
-            if batch.num_rows and not started:
-                started = True
-                yield from line(head)
+            if batch.num_rows and kind is None:
+                # Sessions may ask for large strings; the envelope follows the rows.
+                kind = batch.schema.field(0).type
+                yield from line(head, kind)
             yield batch
-        if started:
-            yield from line(tail)
+        if kind is not None:
+            yield from line(tail, kind)
 
     return entries.mapInArrow(wrap, "value string")
 

@@ -33,12 +33,16 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], glob: str | None
     return _with_provenance(reader.text(paths))
 
 
-def lines_from(df: DataFrame, value: Column, path: Column, row_id: Column) -> DataFrame:
-    """Rows of any DataFrame as lines, for feeds that never were files."""
+def lines_from(df: DataFrame, value: Column, path: Column, row_id: Column, block_start: Column | None = None) -> DataFrame:
+    """Rows of any DataFrame as lines, for feeds that never were files.
+
+    Row ids must run without gaps within each path and ``block_start`` (all
+    rows of a path, if that is left out) for lines to be numbered.
+    """
     return df.select(
         path.alias("path"),
         F.element_at(F.split(path, "/"), -1).alias("file_name"),
-        F.lit(0).cast("bigint").alias("block_start"),
+        (F.lit(0) if block_start is None else block_start).cast("bigint").alias("block_start"),
         row_id.cast("bigint").alias("row_id"),
         value.alias("value"),
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PIPELINES = (
     "name string, activities array<struct<name: string, type: string, "
@@ -30,6 +31,12 @@ def read_json(spark: SparkSession, path: str, schema: str, multi_line: bool = Fa
     return reader.json(path)
 
 
+def read_slices_of(spark: SparkSession, path: str, since: Column, until: Column, multi_line: bool = False) -> DataFrame:
+    """Slice documents whose start lies in [since, until), with state and retry counts."""
+    documents = read_json(spark, path, SLICES, multi_line)
+    return documents.where((F.col("start") >= since) & (F.col("start") < until))
+
+
 def read_pipelines(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Pipeline documents flattened to names of inputs and outputs."""
     documents = read_json(spark, path, PIPELINE_DOCUMENTS, multi_line)

@@ -143,8 +143,3 @@ class StoreSpec:
     def named(root: str = "root", entry: str = "entry") -> StoreSpec:
         """The short form: only a root and an entry name."""
         return StoreSpec.of({"root": root, "entry": entry})
-
-
-def read_spec_text(spark: SparkSession, path: str) -> str:
-    """Text of a small spec file on any file system Spark can read."""
-    return spark.read.text(path, wholetext=True).first()[0]

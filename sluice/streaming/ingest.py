@@ -15,6 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluice.operators.loadlog import load_log, raise_on_failure
 from sluice.operators.validate import check
+from sluice.session import configure
+from sluice.sinks.tables import append_log
 from sluice.sources.files import decoded
 from sluice.spec import LoadSpec
 
@@ -77,14 +79,18 @@ def ingest(
     logged the failure and before it writes any good row."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        configure(batch.sparkSession)
         folder = f"batch={batch_id}"
         lines = batch.withColumn("row_id", F.monotonically_increasing_id())
         checked = check(lines, spec).stage(batch.sparkSession)
         rejected = checked.with_line(checked.quarantine)
         rejected.write.mode("overwrite").parquet(f"{out}/quarantine/{folder}")
         log = load_log(checked, instance, f"batch-{batch_id}", F.current_timestamp())
-        log.write.mode("overwrite").parquet(f"{out}/log/{folder}")
-        raise_on_failure(checked)
-        transform(checked.good).write.mode("overwrite").parquet(f"{out}/good/{folder}")
+        append_log(log, f"{out}/log")
+        try:
+            raise_on_failure(checked)
+            transform(checked.good).write.mode("overwrite").parquet(f"{out}/good/{folder}")
+        finally:
+            checked.close()
 
     return _start(stream, handle, checkpoint, once)

@@ -13,7 +13,6 @@ from sluice.functions.dates import (
 from sluice.functions.scale import build_scale, missing_members, parse_scale
 from sluice.functions.text import (
     domain_of,
-    is_blank,
     pad_count,
     path_join,
     shares_any,
@@ -115,7 +114,6 @@ def test_text(spark):
     assert one(spark, to_list(F.lit(" view,  admin,x "))) == ["view", "admin", "x"]
     assert one(spark, domain_of(F.lit("me@x.example"))) == "@x.example"
     assert one(spark, domain_of(F.lit("nobody"))) is None
-    assert one(spark, is_blank(F.lit(" \t")))
     assert one(spark, path_join(F.lit("s://a/"), F.lit("/b"), F.lit("c"))) == "s://a/b/c"
     empty = F.array().cast("array<string>")
     pairs = [(F.array(F.lit(1)), F.array(F.lit("1")), True), (empty, empty, False), (F.array(F.lit("a")), F.array(F.lit("b")), False)]
