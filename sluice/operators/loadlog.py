@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -150,7 +151,7 @@ def _begins(sizes: DataFrame, spark: SparkSession, staged: str | None) -> DataFr
     count = max(2, min(4096, sizes.count() // 2000))
     sizes = sizes.repartitionByRange(count, "path").withColumn("_range", F.spark_partition_id())
     # Written, so that both uses see the same ranges even if a task runs again.
-    folder = f"{staged}/file-ranges" if staged else work_dir(spark, "file-ranges")
+    folder = f"{staged}/file-ranges-{uuid.uuid4().hex}" if staged else work_dir(spark, "file-ranges")
     sizes.write.parquet(folder)
     sizes = spark.read.schema(sizes.schema).parquet(folder)
     totals = {r["_range"]: r["n"] for r in sizes.groupBy("_range").agg(F.sum("_entries").alias("n")).collect()}

@@ -11,8 +11,11 @@ from sluice.operators.monitor import (
     activity_outputs,
     dataset_members,
     last_execution,
+    listed_files,
+    look_back,
     newest_first,
     page,
+    page_after,
 )
 from sluice.operators.running import running_total
 from sluice.operators.slices import arrivals, calendar, calendar_of, gap_report, readiness
@@ -75,6 +78,37 @@ def test_associated_entries_equal_brute_force(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_look_back_reaches_the_scan(spark, tmp_path):
+    where = str(tmp_path / "t")
+    spark.createDataFrame([(DAY - timedelta(hours=h),) for h in range(200)], "ts timestamp").write.parquet(where)
+    recent = look_back(spark.read.parquet(where), "ts", F.lit(DAY))
+    assert recent.count() == 97
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in plan and "LessThanOrEqual(ts," in plan
+
+
+def test_pages_by_key_and_by_name(spark):
+    runs = spark.createDataFrame([(i, DAY + timedelta(minutes=i // 3)) for i in range(60)], "id int, ts timestamp")
+    seen, got = None, []
+    while rows := page_after(runs, "ts", "id", seen, size=25).collect():
+        got += [r["id"] for r in rows]
+        seen = (rows[-1]["ts"], rows[-1]["id"])
+    assert got == [r["id"] for r in newest_first(runs, "ts", "id").collect()]
+    files = spark.createDataFrame([(f"f{i:03}", i % 2) for i in range(300)], "name string, length int")
+    listed = listed_files(files, F.lit("h"), F.lit("c"), F.lit("t"))
+    assert listed.count() == 150
+    names = [r["name"] for r in listed_files(files, F.lit("h"), F.lit("c"), F.lit("t"), most=2, after="f100").collect()]
+    assert names == ["f101", "f103"]
+
+
+def test_change_without_sequence_replaces_the_old_row(spark):
+    schema = "account string, customer_id string, rights string, resource_group string, data_factory string, pipelines string"
+    old = spark.createDataFrame([("a", "1", "old", "", "", ""), ("b", "1", "old", "", "", "")], schema)
+    changes = [("a", "1", "new", "", "", "", None), ("b", "1", "none", "", "", "", None), ("b", "1", "five", "", "", "", 5)]
+    got = upsert(old, spark.createDataFrame(changes, f"{schema}, sequence bigint"))
+    assert {r["account"]: r["rights"] for r in got.collect()} == {"a": "new", "b": "five"}
+
+
 @pytest.fixture
 def pipelines(spark, tmp_path):
     (tmp_path / "p.json").write_text(

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from sluice.operators.loadlog import load_log
 from sluice.operators.validate import check, csv_width, fault_message
 from sluice.sources.lines import lines_from, locate, read_lines
 from sluice.spec import LoadSpec
@@ -91,6 +92,33 @@ def test_staged_equals_direct(spark):
         )
 
 
+def test_staging_is_removed(spark, tmp_path):
+    staged = check(as_lines(spark, LINES), SPEC).stage(spark)
+    folder = staged.staged_folder
+    assert staged.quarantine.count() == 8
+    staged.close()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{folder}/quarantine").count()
+
+
+def test_gaps_in_row_ids_are_refused(spark):
+    df = spark.createDataFrame([(0, "1,a,1,true"), (5, "2,b,1,true")], "n bigint, value string")
+    checked = check(lines_from(df, F.col("value"), F.lit("in/a.csv"), F.col("n")), SPEC)
+    with pytest.raises(Exception, match="have gaps"):
+        checked.with_line(checked.lines).collect()
+
+
+def test_log_is_numbered_without_one_task(spark):
+    staged = check(as_lines(spark, LINES), SPEC).stage(spark)
+    for detailed in (2, None):
+        log = load_log(staged, "i", "j", F.current_timestamp(), detailed=detailed)
+        assert "SinglePartition" not in log._jdf.queryExecution().executedPlan().toString()
+        rows = log.orderBy("log_index").collect()
+        assert [r["log_index"] for r in rows] == list(range(len(rows)))
+    # Seven skips come before the line that fails the file.
+    assert [r["level"] for r in rows].count("SKIP") == len(rows) - 2
+
+
 def test_parse_is_not_copied_into_the_filter(spark):
     plan = check(as_lines(spark, LINES), SPEC).good._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_csv(") == 1
