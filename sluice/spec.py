@@ -7,7 +7,6 @@ import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 # The type names a load spec may use, and their Spark types.
