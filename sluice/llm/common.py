@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,16 +22,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def saved_at(frame: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``saved``, with the folder, for tables that are removed before the end."""
+    spark = frame.sparkSession
+    where = work_dir(spark, label)
+    frame.write.parquet(where)
+    return spark.read.schema(frame.schema).parquet(where), where
+
+
 def saved(frame: DataFrame, label: str) -> DataFrame:
     """The frame, written to a new folder below ``spark.checkpoint.dir`` and read back.
 
     This cuts the lineage: what follows reads shared files, whatever executors
     were lost meanwhile.
     """
-    spark = frame.sparkSession
-    where = work_dir(spark, label)
-    frame.write.parquet(where)
-    return spark.read.schema(frame.schema).parquet(where)
+    return saved_at(frame, label)[0]
 
 
 def words(text: Column) -> Column:
@@ -58,6 +64,26 @@ def rows_of(batches: Iterator[pa.RecordBatch], budget: int = 8 << 20) -> Iterato
             yield batch.slice(start, step)
 
 
+def grouped(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[pa.Table]:
+    """Runs of rows that agree in integer ``keys``, from batches sorted by them; one run is held at a time."""
+    waiting: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in keys])
+        edges = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
+        for start, end in zip([0, *edges], [*edges, batch.num_rows], strict=True):
+            own = tuple(values[:, start])
+            if waiting and own != key:
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            key = own
+            waiting.append(batch.slice(start, end - start))
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
 def bound(frame: DataFrame, **columns: Column) -> DataFrame:
     """The frame with columns that are computed once a row.
 

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import rows_of, saved
+from sluice.llm.common import grouped, rows_of, saved
 from sluice.llm.components import components
 
 COSINE = 0.93
@@ -176,22 +176,6 @@ def _linked(blocks: DataFrame, cosine: float) -> DataFrame:
             r = top(int(i))
             yield prints[i], int(links[i]), prints[r] if r != i else None
 
-    def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        waiting: list[pa.RecordBatch] = []
-        key = None
-        for batch in batches:
-            keys = np.stack([batch.column("meeting").to_numpy(), batch.column("at").to_numpy().astype(np.int64)])
-            edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            for start, end in zip([0, *edges], [*edges, batch.num_rows], strict=True):
-                own = tuple(keys[:, start]) if start < end else key
-                if waiting and own != key:
-                    yield pa.Table.from_batches(waiting)
-                    waiting = []
-                key = own
-                waiting.append(batch.slice(start, end - start))
-        if waiting:
-            yield pa.Table.from_batches(waiting)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
 
@@ -202,7 +186,7 @@ def _linked(blocks: DataFrame, cosine: float) -> DataFrame:
             out.clear()
             return pa.RecordBatch.from_arrays(arrays, ["print", "links", "other"])
 
-        for met in meetings(b for b in batches if b.num_rows):
+        for met in grouped(batches, "meeting", "at"):
             if met.num_rows > 1:
                 out.extend(compare(met))
             if len(out) > 20_000:

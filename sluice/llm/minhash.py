@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import rows_of, saved
+from sluice.llm.common import grouped, rows_of, saved
 from sluice.llm.components import components
 from sluice.llm.shingles import mixed, shingle_hashes, word_hashes
 
@@ -21,6 +21,8 @@ BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
 #: Low bits of each minimum that a signature keeps.
 BITS = 2
+#: Classes of a bucket that meet in one comparison.
+BLOCK = 512
 #: Pairs estimated so many standard errors below the threshold are not confirmed any more.
 ERRORS = 5
 
@@ -158,11 +160,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, row_hash, n_shingles, component_id, kept of every row.
 
     Texts with equal shingle sets form a class, and only classes are compared.
-    A bucket is all classes with one band key.  First each class is paired with
-    the smallest of its bucket, then, where a bucket still holds several
-    components, with the largest, and last all classes of different components
-    that are left in a bucket.  So a bucket of many alike costs one pair for
-    each, no pair of different components goes untried, and none is capped.
+    A bucket is all classes with one band key.  A class's degree is the number
+    of classes it meets over all bands; an original that was often edited has a
+    higher one than its copies, which may be less alike among themselves.  The
+    class of highest degree leads a bucket, and each class is first paired with
+    the one that leads most of its buckets.  Where a bucket still holds several
+    components after that, its classes meet in blocks of ``BLOCK``, any two
+    blocks in a task of their own, and each pair of different components is
+    compared once.  A meeting returns a spanning forest of the links it found,
+    not its pairs, and no bucket is capped.
     Pairs are thinned out by size and by b-bit estimate, five standard errors
     below the threshold, and confirmed on their full sets of 64-bit shingle
     hashes.
@@ -184,40 +190,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "minhash-classes",
     )
     member = classes.select("print", F.explode("bands").alias("band"))
-    shared = member.groupBy("band").agg(F.min("print").alias("low"), F.max("print").alias("high")).filter("low < high")
     # Read from tables, both sides of this join and of those below are shuffled for it, and hot keys can be split.
-    shared = saved(shared, "minhash-shared")
-    buckets = saved(member.join(shared, "band"), "minhash-buckets")
-    inside = buckets.select("print").distinct()
-    sets = saved(_sets(docs, classes.join(inside, "print", "left_semi").select("print", "rep")), "minhash-sets")
-
-    star = saved(buckets.filter(F.col("print") != F.col("low")).select(*_ordered("print", "low")).distinct(), "minhash-star")
+    shared = saved(member.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1"), "minhash-shared")
+    found = saved(member.join(shared, "band"), "minhash-found")
+    degrees = saved(found.groupBy("print").agg(F.sum("size").alias("degree")), "minhash-degrees")
+    buckets = saved(found.join(degrees, "print").select("print", "band", "degree"), "minhash-buckets")
+    sets = _sets(docs, classes.join(degrees, "print", "left_semi").select("print", "rep"))
+    sets = saved(sets, "minhash-sets")
+
+    first = F.max(F.struct("degree", "print")).alias("lead")
+    leads = saved(buckets.groupBy("band").agg(first).select("band", "lead.print"), "minhash-leads")
+    led = buckets.join(leads.withColumnRenamed("print", "lead"), "band").filter(F.col("print") != F.col("lead"))
+    star = saved(_nearest(led), "minhash-star")
     tried = saved(_likely(star, classes), "minhash-pairs")
     links = saved(_confirmed(tried, sets), "minhash-links")
     joined = saved(components(links), "minhash-components")
 
-    open_buckets = saved(_still_open(buckets, joined), "minhash-open")
-    star = open_buckets.filter((F.col("print") != F.col("high")) & (F.col("component") != F.col("high_component")))
-    more = _likely(star.select(*_ordered("print", "high")).distinct(), classes).join(tried, ["a", "b"], "left_anti")
-    more = saved(more, "minhash-pairs")
-    links = saved(links.union(_confirmed(more, sets)), "minhash-links")
-    tried = tried.union(more)
-    joined = saved(components(links), "minhash-components")
-
-    rest = saved(_still_open(open_buckets.select("print", "band", "low", "high"), joined), "minhash-open")
-    known = classes.select("print", "n", "signature")
-    side = rest.join(known, "print").select("band", "print", "component", "n", "signature")
-    left, right = (side.select(*(F.col(c).alias(f"{c}_{e}") for c in side.columns)) for e in "ab")
-    apart = (
-        (F.col("band_a") == F.col("band_b"))
-        & (F.col("print_a") < F.col("print_b"))
-        & (F.col("component_a") != F.col("component_b"))
-        & _may_link("n_a", "signature_a", "n_b", "signature_b")
-    )
-    last = left.join(right, apart).select(F.col("print_a").alias("a"), F.col("print_b").alias("b")).distinct()
-    last = saved(last.join(tried, ["a", "b"], "left_anti"), "minhash-pairs")
-    links = links.union(_confirmed(last, sets))
-    joined = components(links)
+    met = _meetings(saved(_still_open(buckets, joined), "minhash-open"))
+    known = classes.select("print", "signature", "bands").join(sets, "print")
+    found = saved(_met(met.join(known, "print")), "minhash-met")
+    joined = components(links.union(found))
 
     labelled = classes.select("print", "rep.doc_id").join(joined, F.col("print") == F.col("node"), "left")
     labelled = labelled.select("print", "doc_id", F.coalesce("component", "print").alias("component"))
@@ -233,27 +225,113 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def _nearest(led: DataFrame) -> DataFrame:
+    """Each class with the one of its bands' leading classes that leads most of them."""
+    shared = led.groupBy("print", "lead").agg(F.count("*").alias("bands"))
+    best = shared.groupBy("print").agg(F.max_by("lead", F.struct("bands", "lead")).alias("lead"))
+    return best.select(*_ordered("print", "lead")).distinct()
+
+
 def _still_open(buckets: DataFrame, joined: DataFrame) -> DataFrame:
-    """Rows of buckets whose classes are in different components: print, band, low, high, component, high_component."""
+    """print, band, component, size of the buckets whose classes are in different components."""
     own = joined.select(F.col("node").alias("print"), F.col("component"))
     placed = buckets.join(own, "print", "left").withColumn("component", F.coalesce("component", "print"))
-    mixed_bands = (
-        placed.groupBy("band")
-        .agg(
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-            F.max(F.struct("print", "component")).alias("top"),
-        )
-        .filter("least < most")
-        .select("band", F.col("top.component").alias("high_component"))
+    mixed_bands = placed.groupBy("band").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size")
+    )
+    mixed_bands = saved(mixed_bands.filter("least < most").select("band", "size"), "minhash-mixed")
+    return placed.join(mixed_bands, "band").select("print", "band", "component", "size")
+
+
+def _meetings(opened: DataFrame) -> DataFrame:
+    """print, component, band, meeting, side: every two blocks of an open bucket meet, and each block itself."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("print", F.lit("block")), blocks).cast("int")
+    meet = F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda other: F.struct(
+            F.least(block, other).alias("one"),
+            F.greatest(block, other).alias("two"),
+            F.when(block == other, 2).when(block < other, 0).otherwise(1).alias("side"),
+        ),
     )
-    mixed_bands = saved(mixed_bands, "minhash-mixed")
-    return placed.join(mixed_bands, "band").select("print", "band", "low", "high", "component", "high_component")
+    met = opened.select("print", "component", "band", F.explode(meet).alias("m"))
+    return met.select(
+        "print", "component", "band", F.xxhash64("band", "m.one", "m.two").alias("meeting"), F.col("m.side").alias("side")
+    )
+
+
+def _links_met(met: pa.Table) -> list[tuple[bytes, bytes]]:
+    """A spanning forest of the links between components, found in one meeting.
+
+    Sizes and signatures are compared as a matrix; what is left, and has not
+    met in an earlier band, is confirmed on the full sets.
+    """
+    n = met.num_rows
+    prints = met["print"].to_pylist()
+    component = np.unique(np.array(met["component"].to_pylist(), dtype=object), return_inverse=True)[1]
+    side = met["side"].to_numpy()
+    bands, signs = (met[c].combine_chunks().flatten().to_numpy().reshape(n, -1) for c in ("bands", "signature"))
+    column = met["shingles"].combine_chunks()
+    ends = column.offsets.to_numpy() - column.offsets[0].as_py()
+    shingles = column.flatten().to_numpy()
+    size = np.diff(ends)
+    at = int(np.flatnonzero(bands[0] == met["band"][0].as_py())[0])
+    low_bits = np.int64(0x5555555555555555)
+    root = list(range(n))
+    found = []
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i in range(n - 1):
+        others = np.arange(i + 1, n)
+        others = others[(component[others] != component[i]) & ((side[others] != side[i]) | (side[others] == 2))]
+        others = others[100 * np.minimum(size[others], size[i]) >= PERCENT * np.maximum(size[others], size[i])]
+        unlike = signs[others] ^ signs[i]
+        unequal = np.bitwise_count((unlike | (unlike >> 1)) & low_bits).sum(axis=1)
+        others = others[unequal <= most_unequal()]
+        others = others[~(bands[others, :at] == bands[i, :at]).any(axis=1)]
+        others = others[bands[others, at] == bands[i, at]]
+        if not len(others):
+            continue
+        own = shingles[ends[i] : ends[i + 1]]
+        own = own[np.argsort(own)]
+        parts = np.concatenate([shingles[ends[j] : ends[j + 1]] for j in others])
+        places = np.minimum(np.searchsorted(own, parts), len(own) - 1)
+        starts = np.concatenate([[0], np.cumsum(size[others])[:-1]])
+        shared = np.add.reduceat((own[places] == parts).astype(np.int64), starts)
+        for j in others[100 * shared >= PERCENT * (size[others] + size[i] - shared)]:
+            one, two = top(i), top(int(j))
+            if one != two:
+                root[max(one, two)] = min(one, two)
+                found.append((min(prints[i], prints[j]), max(prints[i], prints[j])))
+    return found
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """a, b: links between classes of different components, of all meetings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for met in grouped(batches, "meeting", "band"):
+            links = _links_met(met) if met.num_rows > 1 else []
+            if links:
+                columns = [pa.array(c, pa.binary()) for c in zip(*links, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    dealt = rows.repartition("meeting").sortWithinPartitions("meeting", "band")
+    return dealt.mapInArrow(run, "a binary, b binary")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, one of each group of near-duplicates; texts without words all stay."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__doc"), F.col("row_hash").alias("__row"))
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__row"))
-    once = docs.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"])
-    return once.join(kept.distinct(), same).select(*docs.columns)
+    kept = near_duplicates(docs).filter("kept").select("doc_id", "row_hash").distinct()
+    # As fields of one column, the documents' names can't clash with those used here.
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("whole"))
+    rows = rows.select("whole", F.col("whole.doc_id").alias("own_id"), F.xxhash64("whole.text").alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("row_hash"))
+    once = rows.dropDuplicates(["own_id", "own_hash"]).join(kept, same)
+    return once.select(*(F.col("whole")[c].alias(c) for c in docs.columns))
