@@ -91,6 +91,17 @@ def test_minhash_groups_and_odd_rows(spark, doc_frame):
     assert minhash.near_duplicates(doc_frame([])).count() == 0
 
 
+def test_blocks_find_links_that_no_leader_has(spark, doc_frame, monkeypatch):
+    # A chain: neighbours are linked, others of the same buckets are not.
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    words_ = [f"c{i}" for i in range(600)]
+    rows = [(i, " ".join(words_[20 * i : 20 * i + 200])) for i in range(20)]
+    sets, component = linked(dict(rows))
+    assert set(component.values()) == {0}
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(doc_frame(rows)).collect()}
+    assert got == component
+
+
 def test_estimate_is_near_similarity(spark):
     rng = np.random.default_rng(1)
     values = rng.integers(0, 2**63, 4000, dtype=np.uint64)
