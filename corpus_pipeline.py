@@ -12,13 +12,8 @@ from sluice.llm.common import documents, saved
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, texts unchanged.
-
-    Repeated rows are judged alike.  Rows without doc_id cannot be told apart
-    by it, so verdicts are matched by doc_id and text.
-    """
-    columns = docs.columns
-    return quality.kept_documents(docs, labels(spark, sf_dir)).select(*columns)
+    """Documents that the quality rules keep, texts unchanged; repeated rows are judged alike."""
+    return quality.kept_documents(docs, labels(spark, sf_dir))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
