@@ -15,14 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluice.llm.common import rows_of, saved
+from sluice.llm.common import rows_of, saved, saved_at
 from sluice.llm.components import components
 from sluice.llm.shingles import SHINGLE_WORDS, mixed, shingle_hashes, word_hashes
+from sluice.session import remove_dir
 
 WINDOW = 50
 PERCENT = 75
-#: Bands of one minimum.  Equal windows agree in both, windows of similarity 0.75 in one of two 15 times in 16, and
-#: a repeated passage has many windows.
+#: Bands of one minimum.  Windows of fifty equal words agree in both, at one shift, and so many agreements are asked for;
+#: those of similarity 0.75 do more than half the time each, and a repeated passage has many windows.
 BANDS = 2
 SHINGLES = WINDOW - SHINGLE_WORDS + 1
 #: n of 46 shingles in place make a similarity of n / (92 - n).
@@ -178,23 +179,22 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     null if no other has one.  Repeated rows are copies.  An empty table gives
     an empty one.  Columns besides doc_id and text are ignored.
     """
-    rows = saved(_keyed(docs), "passage-rows")
+    full, full_folder = saved_at(_keyed(docs), "passage-windows")
+    rows = saved(full.select("doc", "row", "print", "n_words"), "passage-rows")
     ident = F.struct("doc", "row")
-    classes = rows.filter(F.col("n_words") >= WINDOW).groupBy("print").agg(
-        F.min(ident).alias("id"),
-        F.count("*").alias("n"),
-        *(F.first(c).alias(c) for c in ("n_words", "keys", "places")),
-    )
-    keyed = saved(
-        classes.select("id", F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("places").alias("place")))), "passage-keys"
-    )
+    named = [F.min(ident).alias("id"), F.count("*").alias("n")]
+    classes = full.filter(F.col("n_words") >= WINDOW).groupBy("print").agg(*named, F.first("keys").alias("keys"), F.first("places").alias("places"))
+    placed = F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("places").alias("place")))
+    keyed, keyed_folder = saved_at(classes.select("id", placed), "passage-keys")
+    remove_dir(docs.sparkSession, full_folder)
     shared = keyed.groupBy("key").agg(F.min(F.struct("id", "place")).alias("lead"), F.max("id").alias("most"))
     shared = saved(shared.filter("lead.id < most").select("key", "lead"), "passage-shared")
     shifted = keyed.join(shared, "key").filter(F.col("id") != F.col("lead.id"))
-    pairs = shifted.groupBy(F.col("lead.id").alias("one"), F.col("id").alias("two")).agg(
-        F.collect_set(F.col("place") - F.col("lead.place")).alias("shifts")
-    )
+    shift = (F.col("place") - F.col("lead.place")).alias("shift")
+    hits = shifted.groupBy(F.col("lead.id").alias("one"), F.col("id").alias("two"), shift).agg(F.count("*").alias("hits"))
+    pairs = hits.filter(F.col("hits") >= BANDS).groupBy("one", "two").agg(F.collect_set("shift").alias("shifts"))
     pairs = saved(pairs, "passage-pairs")
+    remove_dir(docs.sparkSession, keyed_folder)
     inside = pairs.select(F.col("one").alias("id")).union(pairs.select(F.col("two").alias("id"))).distinct()
     texts = docs.select(F.struct(*_identity()).alias("id"), "text").join(inside, "id", "left_semi")
     texts = saved(texts, "passage-texts")
@@ -229,7 +229,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         "id", "first", "last", "n_removed", F.col("component.id.doc").alias("component_id")
     )
     passages = saved(labelled, "passage-labels")
-    first_of = saved(classes.select("print", F.col("id"), "n"), "passage-classes")
+    first_of = saved(rows.filter(F.col("n_words") >= WINDOW).groupBy("print").agg(*named), "passage-classes")
     placed = rows.select("doc", "row", "print", "n_words").join(first_of, "print")
     inner_rows = placed.join(passages, "id").select(
         "doc", F.col("first").alias("first_word"), (F.col("last") - F.col("first")).alias("n_words"), "n_removed", "component_id"
