@@ -22,12 +22,15 @@ from sluice.session import remove_dir
 
 WINDOW = 50
 PERCENT = 75
-#: Bands of one minimum.  Windows of fifty equal words agree in both, at one shift, and so many agreements are asked for;
-#: those of similarity 0.75 do more than half the time each, and a repeated passage has many windows.
+#: Bands of one minimum; two windows are compared if they agree in any of them.
 BANDS = 2
 SHINGLES = WINDOW - SHINGLE_WORDS + 1
-#: n of 46 shingles in place make a similarity of n / (92 - n).
+#: Shingles around a key that windows with it can reach: all windows of these hold the key.
+AROUND = 2 * SHINGLES - 1
+#: Of two windows of 46 different shingles each, so many are shared at the least similarity.
 ENOUGH = -(-2 * SHINGLES * PERCENT // (100 + PERCENT))
+#: Places of a key that meet in one comparison; more are cut into blocks, any two of which meet.
+BLOCK = 1024
 _salts = np.random.default_rng(9).integers(1, 2**63, BANDS, dtype=np.uint64)
 _LAST = (1 << 63) - 1
 
@@ -43,11 +46,28 @@ def _sliding(values: np.ndarray, width: int, best: np.ufunc, worst: int) -> np.n
     return best(behind[: n - width + 1], ahead[width - 1 : n])
 
 
+def _thinned(values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """``chosen`` without places between two kept ones of the same value that no window fits between."""
+    order = chosen[np.argsort(values[chosen], kind="stable")]
+    same = values[order[1:]] == values[order[:-1]]
+    if not (same[1:] & same[:-1]).any():
+        return chosen
+    keep = np.ones(len(order), bool)
+    last = order[0]
+    for i in range(1, len(order) - 1):
+        if same[i - 1] and same[i] and order[i + 1] - last <= SHINGLES:
+            keep[i] = False
+        else:
+            last = order[i]
+    return np.sort(order[keep])
+
+
 def window_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The band keys of all windows, each once, with the place of the shingle that is the minimum.
 
     A shingle is the minimum of a window it lies in if the largest minimum
-    among those windows is its own value.
+    among those windows is its own value.  Of a key that recurs, places are
+    left out where every window with such a place holds one that is kept.
     """
     if len(words) < WINDOW:
         return np.empty(0, np.int64), np.empty(0, np.int32)
@@ -58,37 +78,179 @@ def window_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         values = mixed(shingles ^ salt)
         low = _sliding(values, SHINGLES, np.minimum, np.iinfo(np.uint64).max)
         chosen = np.flatnonzero(_sliding(np.concatenate([edge, low, edge]), SHINGLES, np.maximum, 0) == values)
+        chosen = _thinned(values, chosen)
         keys.append(values[chosen])
         places.append(chosen)
     return np.concatenate(keys).view(np.int64), np.concatenate(places).astype(np.int32)
 
 
-def repeated_runs(left: np.ndarray, right: np.ndarray, shifts: list[int]) -> list[tuple[int, int, int, int]]:
-    """(start, end, start, end), in words, of passages that two texts share.
+def _before(values: np.ndarray) -> np.ndarray:
+    """The place before each at which its value was last, -1 for none."""
+    out = np.full(len(values), -1)
+    order = np.argsort(values, kind="stable")
+    same = values[order[1:]] == values[order[:-1]]
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
+
+def _distinct(values: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The number of different shingles in each window."""
+    change = np.zeros(len(values) + 1, np.int64)
+    places = np.arange(len(values))
+    np.add.at(change, np.maximum(places - SHINGLES, before) + 1, 1)
+    np.add.at(change, places + 1, -1)
+    return np.cumsum(change)[: len(values) - SHINGLES + 1]
+
 
-    A shift places the second text under the first.  There, windows are
-    repeated in which so many shingles agree place by place that their
-    similarity is 0.75 or more.  Repeated windows that overlap are one passage,
-    from its first to its last agreeing shingle.
+def similar_windows(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int] | None:
+    """First and last shingle in ``a`` and in ``b`` that their similar windows share; None without such windows.
+
+    Any window of the one is held against any of the other by the similarity
+    of their shingle sets.  A value counts where it is the first of its kind
+    in both windows, so a match counts in a rectangle of window pairs.
     """
-    a, b = shingle_hashes(left), shingle_hashes(right)
-    out = []
-    for shift in sorted(shifts):
-        low, high = max(0, -shift), min(len(a), len(b) - shift)
-        if high - low < SHINGLES:
-            continue
-        equal = a[low:high] == b[low + shift : high + shift]
-        total = np.concatenate([[0], np.cumsum(equal)])
-        windows = np.flatnonzero(total[SHINGLES:] - total[:-SHINGLES] >= ENOUGH)
-        if not len(windows):
-            continue
-        cuts = np.flatnonzero(np.diff(windows) > SHINGLES)
-        agreeing = np.flatnonzero(equal)
-        for first, last in zip(windows[np.r_[0, cuts + 1]], windows[np.r_[cuts, -1]], strict=True):
-            start = low + int(agreeing[np.searchsorted(agreeing, first)])
-            end = low + int(agreeing[np.searchsorted(agreeing, last + SHINGLES) - 1]) + SHINGLE_WORDS
-            out.append((start, end, start + shift, end + shift))
-    return out
+    if len(a) < SHINGLES or len(b) < SHINGLES:
+        return None
+    p, q = np.nonzero(a[:, None] == b[None, :])
+    before_a, before_b = _before(a), _before(b)
+    n, m = len(a) - SHINGLES + 1, len(b) - SHINGLES + 1
+    top, left = np.maximum(p - SHINGLES, before_a[p]) + 1, np.maximum(q - SHINGLES, before_b[q]) + 1
+    bottom, right = np.minimum(p + 1, n), np.minimum(q + 1, m)
+    fits = (top < bottom) & (left < right)
+    top, left, bottom, right = top[fits], left[fits], bottom[fits], right[fits]
+    size = (n + 1) * (m + 1)
+    plus = np.bincount(np.r_[top * (m + 1) + left, bottom * (m + 1) + right], minlength=size)
+    minus = np.bincount(np.r_[top * (m + 1) + right, bottom * (m + 1) + left], minlength=size)
+    shared = (plus - minus).reshape(n + 1, m + 1).cumsum(axis=0).cumsum(axis=1)[:n, :m]
+    both = _distinct(a, before_a)[:, None] + _distinct(b, before_b)[None, :]
+    similar = 100 * shared >= PERCENT * (both - shared)
+    rows, columns = np.flatnonzero(similar.any(axis=1)), np.flatnonzero(similar.any(axis=0))
+    if not len(rows):
+        return None
+    inside = (p >= rows[0]) & (p < rows[-1] + SHINGLES) & (q >= columns[0]) & (q < columns[-1] + SHINGLES)
+    p, q = p[inside], q[inside]
+    return int(p.min()), int(p.max()), int(q.min()), int(q.max())
+
+
+def _unlike(rows: np.ndarray) -> np.ndarray:
+    """Rows in which no value recurs."""
+    return (np.diff(np.sort(rows, axis=1), axis=1) != 0).all(axis=1)
+
+
+def _in_place(equal: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether windows in [low, high) agree enough place by place, and the first and last shingle they share."""
+    total = np.concatenate([np.zeros((len(equal), 1), np.int64), equal.cumsum(axis=1)], axis=1)
+    at = np.arange(AROUND)
+    similar = total[:, SHINGLES:] - total[:, :-SHINGLES] >= ENOUGH
+    similar &= (at[:SHINGLES] >= low[:, None]) & (at[:SHINGLES] + SHINGLES <= high[:, None])
+    start = similar.argmax(axis=1)[:, None]
+    stop = (SHINGLES - 1 - similar[:, ::-1].argmax(axis=1))[:, None] + SHINGLES
+    inside = equal & (at >= start) & (at < stop)
+    return similar.any(axis=1), inside.argmax(axis=1), AROUND - 1 - inside[:, ::-1].argmax(axis=1)
+
+
+class Meeting:
+    """Places of a key, in order of document, with the shingles around each; ``compare`` finds what is repeated.
+
+    ``spans`` are first and last shingle around a place that another document
+    holds too, ``gone`` those an earlier one holds; ``group`` is the first of
+    the places joined with this one.
+    """
+
+    def __init__(self, own: np.ndarray, side: np.ndarray, around: np.ndarray, valid: np.ndarray) -> None:
+        self.own, self.side, self.around, self.valid = own, side, around, valid
+        n = len(own)
+        self.group = np.arange(n)
+        self.spans = np.tile(np.array([AROUND, -1]), (n, 1))
+        self.gone = self.spans.copy()
+        self.low, self.high = valid.argmax(axis=1), AROUND - valid[:, ::-1].argmax(axis=1)
+        # Places that are no shingles agree with nothing.
+        self.slots = np.where(valid, around & 0xFFFF, 1 << 16)
+        self.least = np.full(n, SHINGLES)
+        self.unlike = _unlike(around)
+        for i in np.flatnonzero(~self.unlike):
+            values = around[i][valid[i]]
+            self.least[i] = _distinct(values, _before(values)).min()
+            self.unlike[i] = len(np.unique(values)) == len(values)
+
+    def _settled(self, i: int, others: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """Whether places are joined with ``i`` and share nothing with it beyond what is known to be repeated."""
+        known = (self.spans[i, 0] <= found[:, 0]) & (found[:, 1] <= self.spans[i, 1])
+        for spans in (self.spans, self.gone):
+            known &= (spans[others, 0] <= found[:, 2]) & (found[:, 3] <= spans[others, 1])
+        return known & (self.group[others] == self.group[i])
+
+    def _join(self, i: int, others: np.ndarray, found: np.ndarray) -> None:
+        """Adds spans that ``i`` and later places share."""
+        self.spans[i] = min(self.spans[i, 0], found[:, 0].min()), max(self.spans[i, 1], found[:, 1].max())
+        for spans in (self.spans, self.gone):
+            spans[others, 0] = np.minimum(spans[others, 0], found[:, 2])
+            spans[others, 1] = np.maximum(spans[others, 1], found[:, 3])
+        groups = np.unique(np.r_[self.group[i], self.group[others]])
+        self.group[np.isin(self.group, groups)] = groups[0]
+
+    def compare(self) -> None:
+        n = len(self.own)
+        table = np.zeros((1 << 16) + 1, bool)
+        for i in range(n - 1):
+            others = np.arange(i + 1, n)
+            others = others[(self.own[others] != self.own[i]) & ((self.side[others] != self.side[i]) | (self.side[others] == 2))]
+            if not len(others):
+                continue
+            need = -(-PERCENT * (self.least[others] + self.least[i]) // (100 + PERCENT))
+            # Low bits first, which agree wherever shingles do.
+            table[self.slots[i]] = True
+            table[-1] = False
+            may = table[self.slots[others]].sum(axis=1) >= need
+            table[self.slots[i]] = False
+            others, need = others[may], need[may]
+            if len(others):
+                self._compare(i, others, need)
+
+    def _compare(self, i: int, others: np.ndarray, need: np.ndarray) -> None:
+        places = np.flatnonzero(self.valid[i])
+        order = places[np.argsort(self.around[i][places], kind="stable")]
+        values, first = np.unique(self.around[i][order], return_index=True)
+        first_at, last_at = order[first], order[np.r_[first[1:], len(order)] - 1]
+        theirs = self.around[others]
+        index = np.minimum(np.searchsorted(values, theirs), len(values) - 1)
+        hit = (values[index] == theirs) & self.valid[others]
+        count = hit.sum(axis=1)
+        ends = np.stack(
+            [
+                np.where(hit, first_at[index], AROUND).min(axis=1),
+                np.where(hit, last_at[index], -1).max(axis=1),
+                hit.argmax(axis=1),
+                AROUND - 1 - hit[:, ::-1].argmax(axis=1),
+            ],
+            axis=1,
+        )
+        total = np.concatenate([np.zeros((len(hit), 1), np.int64), hit.cumsum(axis=1)], axis=1)
+        # No window shares more than lies in it.
+        stay = ((total[:, SHINGLES:] - total[:, :-SHINGLES]).max(axis=1) >= need) & ~self._settled(i, others, ends)
+        hit = hit[stay]
+        others, ends, theirs, count = others[stay], ends[stay], theirs[stay], count[stay]
+        if not len(others):
+            return
+        equal = (theirs == self.around[i]) & hit
+        low, high = np.maximum(self.low[others], self.low[i]), np.minimum(self.high[others], self.high[i])
+        # Where all that is shared lies at one shift and nothing recurs, no other windows are more alike,
+        # provided that those of the one are windows of the other too.
+        within = (low == self.low[i]) & (high == self.high[i]) | (low == self.low[others]) & (high == self.high[others])
+        plain = within & self.unlike[i] & self.unlike[others] & (equal.sum(axis=1) == count)
+        if plain.any():
+            is_repeat, first, last = _in_place(equal[plain], low[plain], high[plain])
+            if is_repeat.any():
+                found = np.stack([first, last, first, last], axis=1)[is_repeat]
+                self._join(i, others[plain][is_repeat], found)
+        for j, end in zip(others[~plain], ends[~plain], strict=True):
+            other = np.array([j])
+            if self._settled(i, other, end[None])[0]:
+                continue
+            found = similar_windows(self.around[i][self.valid[i]], self.around[j][self.valid[j]])
+            if found:
+                low = np.array([self.valid[i].argmax()] * 2 + [self.valid[j].argmax()] * 2)
+                self._join(i, other, (np.array(found) + low)[None])
 
 
 def _identity() -> list[Column]:
@@ -125,24 +287,127 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(*_identity(), "text").mapInArrow(run, schema)
 
 
-def _compared(pairs: DataFrame) -> DataFrame:
-    """one, one_start, one_end, two, two_start, two_end of the passages that each pair of texts shares."""
+def _around(held: DataFrame) -> DataFrame:
+    """doc, row, key, place, size, n, around (32 bits of each shingle about the place) of every place in ``spots``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ident = pa.struct([("doc", pa.int64()), ("row", pa.int64())])
-        kinds = (ident, pa.int32(), pa.int32()) * 2
-        names = ["one", "one_start", "one_end", "two", "two_start", "two_end"]
-        for batch in rows_of(batches):
-            rows = []
-            for row in batch.to_pylist():
-                found = repeated_runs(word_hashes(row["text_one"]), word_hashes(row["text_two"]), row["shifts"])
-                rows += [(row["one"], s, e, row["two"], t, f) for s, e, t, f in found]
-            columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+        names = ["doc", "row", "key", "place", "size", "n", "around"]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
+        edge = np.zeros(SHINGLES - 1, np.uint32)
+        for batch in rows_of(batches, 2 << 20):
+            for doc, row, text, spots in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                shingles = (shingle_hashes(word_hashes(text)) >> np.uint64(32)).astype(np.uint32)
+                padded = np.concatenate([edge, shingles, edge])
+                for start in range(0, len(spots), 4096):
+                    part = spots[start : start + 4096]
+                    places = np.array([x["place"] for x in part])
+                    data = padded[places[:, None] + np.arange(AROUND)].tobytes()
+                    around = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * AROUND), len(part), [None, pa.py_buffer(data)])
+                    columns = [[doc] * len(part), [row] * len(part), [x["key"] for x in part], places, [x["size"] for x in part], [len(shingles)] * len(part)]
+                    arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*arrays, around.cast(pa.binary())], names)
+
+    schema = "doc bigint, row bigint, key bigint, place int, size bigint, n int, around binary"
+    return held.select("id.doc", "id.row", "text", "spots").mapInArrow(run, schema)
+
+
+def _meetings(around: DataFrame) -> DataFrame:
+    """The places with meeting and side: every two blocks of a key's places meet, and each block itself."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("doc", "row", F.lit("block")), blocks).cast("int")
+    meet = F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda other: F.struct(
+            F.xxhash64("key", F.least(block, other), F.greatest(block, other)).alias("meeting"),
+            F.when(block == other, 2).when(block < other, 0).otherwise(1).alias("side"),
+        ),
+    )
+    met = around.select("doc", "row", "place", "n", "around", F.explode(meet).alias("m"))
+    return met.select("m.meeting", "m.side", "doc", "row", "place", "n", "around")
+
 
-    ident = "struct<doc:bigint,row:bigint>"
-    schema = f"one {ident}, one_start int, one_end int, two {ident}, two_start int, two_end int"
-    return pairs.select("one", "two", "shifts", "text_one", "text_two").mapInArrow(run, schema)
+def _met(rows: DataFrame) -> DataFrame:
+    """id, start, end, gone_start, gone_end, other, other_start, other_end, in words, of places that repeat others.
+
+    ``gone`` is the part an earlier document holds, null for none; ``other``
+    is the first place of the meeting joined with this one.
+    """
+    ident = pa.struct([("doc", pa.int64()), ("row", pa.int64())])
+    kinds = [ident, *[pa.int32()] * 4, ident, *[pa.int32()] * 2]
+    names = ["id", "start", "end", "gone_start", "gone_end", "other", "other_start", "other_end"]
+
+    def plain_pairs(around: np.ndarray, starts: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of meetings of two places, those that ``_in_place`` decides, with what it says."""
+        one, two = around[starts], around[starts + 1]
+        both = np.sort(np.concatenate([one, two], axis=1), axis=1)
+        shared = (both[:, 1:] == both[:, :-1]).sum(axis=1)
+        equal = one == two
+        plain = whole[starts] & whole[starts + 1] & _unlike(one) & _unlike(two) & (shared == equal.sum(axis=1))
+        edge = np.zeros(len(starts), np.int64)
+        return plain, *_in_place(equal, edge, edge + AROUND)
+
+    def compared(batch: pa.RecordBatch) -> list[tuple]:
+        doc, row, place, n, side, meeting = (batch.column(c).to_numpy() for c in ("doc", "row", "place", "n", "side", "meeting"))
+        around = np.frombuffer(b"".join(batch.column("around").to_pylist()), np.uint32).reshape(-1, AROUND)
+        at = place[:, None].astype(np.int64) + np.arange(AROUND) - (SHINGLES - 1)
+        valid = (at >= 0) & (at < n[:, None])
+        starts = np.flatnonzero(np.r_[True, meeting[1:] != meeting[:-1]])
+        sizes = np.diff(np.r_[starts, len(meeting)])
+        out = []
+        rest = sizes > 1
+        pairs = np.flatnonzero(sizes == 2)
+        # A document's own places don't repeat each other.
+        a, b = starts[pairs], starts[pairs] + 1
+        pairs = pairs[((doc[a] != doc[b]) | (row[a] != row[b])) & (side[a] == 2)]
+        plain, is_repeat, first, last = plain_pairs(around, starts[pairs], valid.all(axis=1))
+        rest[pairs[plain]] = False
+        for k, s, e in zip(*(x[plain & is_repeat].tolist() for x in (starts[pairs], first, last)), strict=True):
+            ends = sorted((int(doc[i]), int(row[i]), int(place[i])) for i in (k, k + 1))
+            (one, two), base = [{"doc": d, "row": r} for d, r, _ in ends], [p - SHINGLES + 1 for *_, p in ends]
+            (s1, e1), (s2, e2) = [(x + s, x + e + SHINGLE_WORDS) for x in base]
+            out.append((one, s1, e1, None, None, None, None, None))
+            out.append((two, s2, e2, s2, e2, one, s1, e1))
+        for k in np.flatnonzero(rest):
+            own = np.arange(starts[k], starts[k] + sizes[k])
+            own = own[np.lexsort((place[own], row[own], doc[own]))]
+            same = (doc[own][1:] == doc[own][:-1]) & (row[own][1:] == row[own][:-1])
+            met = Meeting(np.r_[0, np.cumsum(~same)], side[own], around[own], valid[own])
+            met.compare()
+            low = place[own].astype(np.int64)[:, None] - (SHINGLES - 1) + np.array([0, SHINGLE_WORDS])
+            words, lost = (met.spans + low).tolist(), (met.gone + low).tolist()
+            name = [{"doc": d, "row": r} for d, r in zip(doc[own].tolist(), row[own].tolist(), strict=True)]
+            for i in np.flatnonzero(met.spans[:, 1] >= 0):
+                g = int(met.group[i])
+                before = lost[i] if met.gone[i, 1] >= 0 else [None, None]
+                other = (name[g], *words[g]) if g != i else (None, None, None)
+                out.append((name[i], *words[i], *before, *other))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(batch: pa.RecordBatch) -> pa.RecordBatch:
+            columns = list(zip(*compared(batch), strict=True)) or [()] * len(kinds)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # All but the last meeting, which may go on in the next batch.
+            meeting = batch.column(0).to_numpy()
+            cut = int(np.searchsorted(meeting, meeting[-1]))
+            if waiting and (cut or waiting[0].column(0)[0].as_py() != meeting[0]):
+                yield made(pa.concat_batches([*waiting, batch.slice(0, cut)]))
+                waiting = []
+            elif cut:
+                yield made(batch.slice(0, cut))
+            waiting.append(batch.slice(cut))
+        if waiting:
+            yield made(pa.concat_batches(waiting))
+
+    kind = "struct<doc:bigint,row:bigint>"
+    schema = f"id {kind}, start int, end int, gone_start int, gone_end int, other {kind}, other_start int, other_end int"
+    dealt = rows.repartition("meeting").sortWithinPartitions("meeting")
+    return dealt.mapInArrow(run, schema)
 
 
 def _merged(spans: DataFrame) -> DataFrame:
@@ -169,10 +434,14 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
     Texts of the same words are a class and are searched once.  Each row of
     fifty words or more in a class of several is a repeated passage as a whole
-    and goes but for the first.  Of the classes that share a band key, the
-    first document is paired with each of the others, so a passage in a third
-    of all documents costs a pair each, without a cap; a pair is compared once,
-    along all places where its keys lay.
+    and goes but for the first.  All places at which classes hold a band key
+    meet, in blocks of ``BLOCK`` of which any two meet in a task of their own,
+    with the shingles of all windows around them.  Any two windows there that
+    agree in a band are held against each other by the similarity of their
+    shingle sets, so words put in or left out and parts that changed places
+    count as what they are.  Places already joined that share nothing beyond
+    what is known are left out.  A meeting returns a row a place, no pairs, and
+    no key is capped.
 
     Null and empty texts and texts of fewer than fifty words have no passages.
     Rows without doc_id take part as the last document; their component_id is
@@ -187,27 +456,25 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     placed = F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("places").alias("place")))
     keyed, keyed_folder = saved_at(classes.select("id", placed), "passage-keys")
     remove_dir(docs.sparkSession, full_folder)
-    shared = keyed.groupBy("key").agg(F.min(F.struct("id", "place")).alias("lead"), F.max("id").alias("most"))
-    shared = saved(shared.filter("lead.id < most").select("key", "lead"), "passage-shared")
-    shifted = keyed.join(shared, "key").filter(F.col("id") != F.col("lead.id"))
-    shift = (F.col("place") - F.col("lead.place")).alias("shift")
-    hits = shifted.groupBy(F.col("lead.id").alias("one"), F.col("id").alias("two"), shift).agg(F.count("*").alias("hits"))
-    pairs = hits.filter(F.col("hits") >= BANDS).groupBy("one", "two").agg(F.collect_set("shift").alias("shifts"))
-    pairs = saved(pairs, "passage-pairs")
+    ends = F.min("id").alias("least"), F.max("id").alias("most")
+    shared = keyed.groupBy("key").agg(*ends, F.count("*").alias("size")).filter("least < most")
+    shared = saved(shared.select("key", "size"), "passage-shared")
+    spots = F.collect_list(F.struct("key", "place", "size")).alias("spots")
+    held = saved(keyed.join(shared, "key").groupBy("id").agg(spots), "passage-spots")
     remove_dir(docs.sparkSession, keyed_folder)
-    inside = pairs.select(F.col("one").alias("id")).union(pairs.select(F.col("two").alias("id"))).distinct()
-    texts = docs.select(F.struct(*_identity()).alias("id"), "text").join(inside, "id", "left_semi")
-    texts = saved(texts, "passage-texts")
-    both = pairs
-    for end in ("one", "two"):
-        both = both.join(texts.select(F.col("id").alias(end), F.col("text").alias(f"text_{end}")), end)
-    found = saved(_compared(both), "passage-found").distinct()
-
-    sides = [found.select(F.col(e).alias("id"), F.col(f"{e}_start").alias("start"), F.col(f"{e}_end").alias("end")) for e in ("one", "two")]
-    merged = saved(_merged(sides[0].union(sides[1])), "passage-spans")
-    gone = _merged(sides[1]).select("id", "first", "last").distinct()
-
-    edges = found
+    # Rows repeated with their doc_id have one id, and one of them is read.
+    texts = docs.select(F.struct(*_identity()).alias("id"), "text").join(held, "id")
+    texts = texts.groupBy("id").agg(F.first("text").alias("text"), F.first("spots").alias("spots"))
+    found = saved(_met(_meetings(_around(texts))), "passage-found").distinct()
+
+    merged = saved(_merged(found.select("id", "start", "end")), "passage-spans")
+    lost = found.filter("gone_start is not null").select("id", F.col("gone_start").alias("start"), F.col("gone_end").alias("end"))
+    gone = _merged(lost).select("id", "first", "last").distinct()
+
+    edges = found.filter("other is not null").select(
+        *(F.col(a).alias(b) for a, b in (("id", "one"), ("start", "one_start"), ("end", "one_end"))),
+        *(F.col(a).alias(b) for a, b in (("other", "two"), ("other_start", "two_start"), ("other_end", "two_end"))),
+    )
     for end in ("one", "two"):
         own = merged.select(
             F.col("id").alias(end), F.col("start").alias(f"{end}_start"), F.col("end").alias(f"{end}_end"),

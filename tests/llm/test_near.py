@@ -224,3 +224,26 @@ def test_passage_query_finds_every_repeat(spark, texts):
         if len({doc for doc, _ in places}) > 1:
             for doc, i in places:
                 assert set(range(i, i + 50)) <= covered[doc]
+
+
+def spans_of(frame):
+    got = defaultdict(list)
+    for r in passages.repeated_passages(frame).collect():
+        got[r.doc_id].append((r.first_word, r.n_words, r.n_removed))
+    return got
+
+
+@pytest.mark.parametrize("block", [passages.BLOCK, 3])
+def test_passages_behind_a_common_phrase(spark, doc_frame, monkeypatch, block):
+    # Lower doc_ids hold every phrase of five words that is a key of the passage, but not the passage.
+    monkeypatch.setattr(passages, "BLOCK", block)
+    rng = random.Random(7)
+    fresh = lambda n: [f"p{rng.randrange(10**8)}" for _ in range(n)]
+    shared = fresh(55)
+    keys = sorted(set(passages.window_keys(passages.word_hashes(" ".join(shared)))[1].tolist()))
+    rows = [(i, " ".join(sum((fresh(45) + shared[k : k + 5] for k in keys), []) + fresh(45))) for i in range(8)]
+    # This one has forty of the words.
+    rows.append((8, " ".join(fresh(30) + shared[8:48] + fresh(30))))
+    rows += [(20 + i, " ".join(fresh(25) + shared + fresh(25))) for i in range(3)]
+    got = spans_of(doc_frame(rows))
+    assert got == {20: [(25, 55, 0)], 21: [(25, 55, 55)], 22: [(25, 55, 55)]}
