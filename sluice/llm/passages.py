@@ -23,7 +23,7 @@ from sluice.session import remove_dir
 WINDOW = 50
 PERCENT = 75
 #: Bands of one minimum; two windows are compared if they agree in any of them.
-BANDS = 2
+BANDS = 3
 SHINGLES = WINDOW - SHINGLE_WORDS + 1
 #: Shingles around a key that windows with it can reach: all windows of these hold the key.
 AROUND = 2 * SHINGLES - 1

@@ -247,3 +247,20 @@ def test_passages_behind_a_common_phrase(spark, doc_frame, monkeypatch, block):
     rows += [(20 + i, " ".join(fresh(25) + shared + fresh(25))) for i in range(3)]
     got = spans_of(doc_frame(rows))
     assert got == {20: [(25, 55, 0)], 21: [(25, 55, 55)], 22: [(25, 55, 55)]}
+
+
+def test_passage_recall_at_the_threshold(spark, doc_frame):
+    # Windows of fifty words, two neighbouring words replaced: similarity 40 / 52, the least there is from 0.75 on.
+    rng = random.Random(8)
+    rows, pairs = [], 400
+    for i in range(pairs):
+        base = [f"r{rng.randrange(10**8)}" for _ in range(50)]
+        other = list(base)
+        at = rng.randrange(5, 43)
+        other[at : at + 2] = f"s{rng.randrange(10**8)}", f"s{rng.randrange(10**8)}"
+        sets = [shingles(" ".join(x)) for x in (base, other)]
+        assert 100 * len(sets[0] & sets[1]) >= 75 * len(sets[0] | sets[1])
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+    got = spans_of(doc_frame(rows))
+    recall = sum(2 * i in got and 2 * i + 1 in got for i in range(pairs)) / pairs
+    assert recall >= 0.96
