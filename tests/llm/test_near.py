@@ -264,3 +264,55 @@ def test_passage_recall_at_the_threshold(spark, doc_frame):
     got = spans_of(doc_frame(rows))
     recall = sum(2 * i in got and 2 * i + 1 in got for i in range(pairs)) / pairs
     assert recall >= 0.96
+
+
+def brute_similar(a, b):
+    """Whether any two windows are alike, by sets."""
+    n = passages.SHINGLES
+    sets = [[set(x[i : i + n].tolist()) for i in range(len(x) - n + 1)] for x in (a, b)]
+    return [(i, j) for i, s in enumerate(sets[0]) for j, t in enumerate(sets[1]) if 100 * len(s & t) >= 75 * len(s | t)]
+
+
+def test_similar_windows_are_those_of_brute_force():
+    rng = random.Random(11)
+    found = 0
+    for trial in range(60):
+        base = [rng.randrange(10**9) if trial % 3 else rng.randrange(60) for _ in range(rng.randrange(46, 92))]
+        other = list(base)
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(other))
+            kind = rng.randrange(4)
+            if kind == 0:
+                other[at] = rng.randrange(10**9)
+            elif kind == 1:
+                other[at:at] = [rng.randrange(10**9) for _ in range(5)]
+            elif kind == 2:
+                del other[at : at + 4]
+            else:
+                other = other[at:] + other[:at]
+        a, b = np.array(base, np.uint32), np.array(other[:91], np.uint32)
+        want = brute_similar(a, b)
+        got = passages.similar_windows(a, b)
+        assert (got is not None) == bool(want)
+        if want:
+            found += 1
+            i, j = zip(*want, strict=True)
+            n = passages.SHINGLES
+            assert min(i) <= got[0] <= got[1] < max(i) + n and min(j) <= got[2] <= got[3] < max(j) + n
+            inside = set(a[min(i) : max(i) + n].tolist()) & set(b[min(j) : max(j) + n].tolist())
+            assert [x in inside for x in (a[got[0]], a[got[1]], b[got[2]], b[got[3]])] == [True] * 4
+    assert found > 10
+
+
+def test_passages_with_words_put_in_or_left_out(spark, doc_frame):
+    rng = random.Random(6)
+    fresh = lambda n: [f"i{rng.randrange(10**8)}" for _ in range(n)]
+    rows, sizes = [], {}
+    for i in range(0, 40, 2):
+        shared = fresh(60)
+        near = shared[:30] + fresh(1) + shared[30:] if i % 4 else shared[:30] + shared[31:]
+        rows += [(i, " ".join(fresh(20) + shared + fresh(20))), (i + 1, " ".join(fresh(10) + near + fresh(10)))]
+        sizes |= {i: (20, 60, 0), i + 1: (10, len(near), len(near))}
+    got = spans_of(doc_frame(rows))
+    exact = [i for i in sizes if got[i] == [sizes[i]]]
+    assert len(exact) >= 0.9 * len(sizes)
