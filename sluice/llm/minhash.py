@@ -179,6 +179,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     are kept only if nothing in it has one.  An empty table gives an empty one.
     Columns besides doc_id and text are ignored.
     """
+    found = _grouped(docs).drop("component")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, row_hash, n_shingles, component (null without words), component_id of every row."""
     rows = saved(signatures(docs), "minhash-rows")
     classes = saved(
         rows.filter("n_shingles > 0")
@@ -215,13 +221,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labelled = labelled.select("print", "doc_id", F.coalesce("component", "print").alias("component"))
     labelled = saved(labelled, "minhash-labels")
     smallest = saved(labelled.groupBy("component").agg(F.min("doc_id").alias("component_id")), "minhash-smallest")
-    labels = saved(labelled.join(smallest, "component").select("print", "component_id"), "minhash-labels")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    labels = saved(labelled.join(smallest, "component").select("print", "component", "component_id"), "minhash-labels")
+    component_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return (
         rows.select("doc_id", "row_hash", "n_shingles", "print")
         .join(labels, "print", "left")
-        .select("doc_id", "row_hash", "n_shingles", component.alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select("doc_id", "row_hash", "n_shingles", "component", component_id.alias("component_id"))
     )
 
 
@@ -327,8 +332,15 @@ def _met(rows: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, one of each group of near-duplicates; texts without words all stay."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id", "row_hash").distinct()
+    """The rows of ``docs``, all columns, one of each group of near-duplicates; texts without words all stay.
+
+    The one is the smallest by doc_id, null last, then by the hash of its text,
+    so it is one even where doc_ids are null or repeated.
+    """
+    found = saved(_grouped(docs), "dedup-groups")
+    first = F.min(F.struct(F.isnull("doc_id"), "doc_id", "row_hash")).alias("first")
+    ones = found.filter("component is not null").groupBy("component").agg(first).select("first.doc_id", "first.row_hash")
+    kept = ones.union(found.filter("component is null").select("doc_id", "row_hash")).distinct()
     # As fields of one column, the documents' names can't clash with those used here.
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("whole"))
     rows = rows.select("whole", F.col("whole.doc_id").alias("own_id"), F.xxhash64("whole.text").alias("own_hash"))

@@ -316,3 +316,11 @@ def test_passages_with_words_put_in_or_left_out(spark, doc_frame):
     got = spans_of(doc_frame(rows))
     exact = [i for i in sizes if got[i] == [sizes[i]]]
     assert len(exact) >= 0.9 * len(sizes)
+
+
+def test_dedup_keeps_one_where_ids_are_no_key(spark, doc_frame):
+    rng = random.Random(9)
+    one, two = ([f"d{rng.randrange(10**6)}" for _ in range(200)] for _ in range(2))
+    rows = [(None, edited(one, rng, 1)) for _ in range(4)] + [(5, edited(two, rng, 1)) for _ in range(3)] + [(None, ""), (5, " ")]
+    left = [(r.doc_id, bool(r.text.strip())) for r in minhash.dedup(doc_frame(rows)).collect()]
+    assert sorted(left, key=str) == [(5, False), (5, True), (None, False), (None, True)]
