@@ -138,7 +138,7 @@ class Encoder:
         return out
 
     def append(self, ids: list[int], text: str, more: str) -> list[int]:
-        """Tokens of ``text + more``, given those of ``text``; only its last pre-tokens are looked at again."""
+        """Tokens of ``text + more``, given those of ``text``, which is walked as in ``edit``."""
         return self.edit(ids, text, len(text), len(text), more)
 
     def edit(self, ids: list[int], text: str, start: int, end: int, new: str) -> list[int]:
@@ -147,7 +147,8 @@ class Encoder:
         A pre-token depends on nothing before it and on two characters after
         it at most.  So all pre-tokens that end two characters before the edit
         stay, and from the first old boundary met after the edit on, the old
-        ones go on unchanged.
+        ones go on unchanged.  The whole old text is split to count its tokens up
+        to each boundary, so an edit takes time in proportion to the text.
         """
         edited = text[:start] + new + text[end:]
         shift = len(new) - (end - start)
