@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, chat, editcount, embeddings, lines, minhash, mixing, passages, quality, sharding
+from sluice.llm import bpe, chat, decontaminate, editcount, embeddings, lines, minhash, mixing, passages, phrases, quality, sharding
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,3 +190,74 @@ def op5_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of fifty words or more that documents share."""
     return passages.repeated_passages(documents(spark, sf_dir))
+
+
+OP12_SQL = r"""
+with piece as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as (select row_number() over () as pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from piece),
+word as (select pid, lang, unnest(w) as w1, unnest(range(1, len(w) + 1)) as pos from w),
+ahead as (select lang, w1, lead(w1) over p as w2, lead(w1, 2) over p as w3 from word window p as (partition by pid order by pos)),
+total as (select lang, count(*) as n from ahead group by lang),
+one as (select lang, w1, count(*) as f from ahead group by all),
+two as (select lang, w1, w2, count(*) as a from ahead where w2 is not null group by all),
+three as (select lang, w1, w2, w3, count(*) as a from ahead where w3 is not null group by all),
+pairs as (select two.*, x.f as l, y.f as r, (1000000::hugeint * a * a) // (x.f::hugeint * y.f) as score
+  from two join one x on x.lang = two.lang and x.w1 = two.w1 join one y on y.lang = two.lang and y.w1 = two.w2 where a >= 10),
+cuts as (select three.*, x.f as l1, q.a as r1, p.a as l2, z.f as r2,
+    (1000000::hugeint * three.a * three.a) // (x.f::hugeint * q.a) as s1,
+    (1000000::hugeint * three.a * three.a) // (p.a::hugeint * z.f) as s2
+  from three join one x on x.lang = three.lang and x.w1 = three.w1 join one z on z.lang = three.lang and z.w1 = three.w3
+  join two p on p.lang = three.lang and p.w1 = three.w1 and p.w2 = three.w2
+  join two q on q.lang = three.lang and q.w1 = three.w2 and q.w2 = three.w3 where three.a >= 10),
+longer as (select lang, w1, w2, max(a) as longest from
+  (select lang, w1, w2, a from cuts union all select lang, w2, w3, a from cuts) group by all),
+found as (
+  select pairs.lang, pairs.w1 || ' ' || pairs.w2 as phrase, a, l, r, score from pairs left join longer using (lang, w1, w2)
+  where longest is null or 100 * longest < 50 * a
+  union all
+  select lang, w1 || ' ' || w2 || ' ' || w3, a, case when s2 < s1 then l2 else l1 end, case when s2 < s1 then r2 else r1 end,
+    least(s1, s2) from cuts),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from found)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join total using (lang) where rank <= 2000
+"""
+
+
+@case("op12_collocations", OP12_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of every language."""
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+OP13_SQL = r"""
+with item as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+placed as (select *, least(len(w), 10) as size, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i from item where len(w) > 0),
+win as (select distinct item_id, size, array_to_string(w[i:i + size - 1], ' ') as text from placed),
+sizes as (select distinct size from win),
+doc as (
+  select row_number() over () as rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+word as (select rid, unnest(w) as word, unnest(range(1, len(w) + 1)) as pos from doc),
+ahead as (select rid, pos, list(word) over (partition by rid order by pos rows between current row and 9 following) as l from word),
+place as (select rid, pos, size, array_to_string(l[1:size], ' ') as text from ahead, sizes where len(l) >= size),
+found as (select rid, pos, win.size, item_id from place join win using (text)),
+covered as (select rid, count(distinct pos + k) as n_hit from (select rid, pos, unnest(range(0, size)) as k from found) group by rid),
+listed as (select rid, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct rid, item_id::varchar as item from found where item_id is not null) group by rid)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc left join covered using (rid) left join listed using (rid)
+"""
+
+
+@case("op13_decontaminate", OP13_SQL)
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words and items of the benchmark found in it."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.contamination(documents(spark, sf_dir), benchmark)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
