@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, chat, decontaminate, editcount, embeddings, lines, minhash, mixing, passages, phrases, quality, sharding
+from sluice.llm import bpe, chat, decontaminate, editcount, embeddings, lines, minhash, mixing, passages, phrases, quality, sharding, trie
 from sluice.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +192,42 @@ def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated_passages(documents(spark, sf_dir))
 
 
+OP11_SQL = r"""
+with turn as (
+  select conv_id, turn, coalesce(role, '') as role, length(coalesce(text, '')) as chars,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as key
+  from conversations where conv_id is not null),
+own as (select conv_id, list({'key': key, 'chars': chars} order by turn nulls first, role, key) as turns,
+    (xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, i: xor(x >> 1, 3988292384::bigint * (x & 1)))), 4294967295) % 6)::bigint as h
+  from turn group by conv_id),
+conv as (select own.conv_id, list_concat(coalesce(base.turns[1:own.h], []), own.turns[own.h + 1:]) as turns
+  from own left join own base on base.conv_id = own.conv_id - own.conv_id % 100),
+step as (
+  select conv_id, len(turns) as n, unnest(range(0, len(turns) + 1)) as depth, unnest(list_prepend(0, [t.chars for t in turns])) as chars,
+    unnest([array_to_string([t.key for t in turns[1:d]], '') for d in range(0, len(turns) + 1)]) as path from conv),
+node as (
+  select path, depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(chars) as chars,
+    string_agg(conv_id::varchar, ',' order by conv_id) filter (n = depth) as ends from step group by path, depth),
+kid as (select left(path, 32 * (depth - 1)) as path, depth - 1 as depth, count(*) as n_children from node where depth > 0 group by all),
+tree as (select node.*, coalesce(n_children, 0) as n_children from node left join kid using (path, depth)),
+under as (
+  select left(path, 32 * d) as path, d as depth, count(*) filter (n_children = 0) as n_leaves, sum((n_convs - 1) * chars) as saved_tokens
+  from (select *, unnest(range(0, depth + 1)) as d from tree) group by all)
+select tree.conv_id, tree.depth, up.conv_id as parent_conv_id, tree.n_convs, tree.n_children, n_leaves::bigint as n_leaves,
+  saved_tokens::bigint as saved_tokens, sha256(coalesce(tree.ends, '')) as ends_sha256
+from tree join under using (path, depth)
+left join node up on tree.depth > 0 and up.depth = tree.depth - 1 and up.path = left(tree.path, 32 * (tree.depth - 1))
+"""
+
+
+@case("op11_prefix_trie", OP11_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations."""
+    return trie.prefix_trie(trie.rebuilt(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
 OP12_SQL = r"""
 with piece as (
   select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
