@@ -209,11 +209,11 @@ def _by_lang(batch: pa.RecordBatch) -> dict[str, bytes]:
     return {lang: b"\n".join(own).lower().translate(_TABLE) for lang, own in texts.items()}
 
 
-def _chunks(data: bytes) -> Iterator[list[bytes]]:
+def _chunks(data: bytes, size: int) -> Iterator[list[bytes]]:
     """Words and edges in order, cut between words, so that even one huge text is never held as words."""
     at = 0
     while at < len(data):
-        gap = _gap(data, min(len(data), at + CHUNK_BYTES))
+        gap = _gap(data, min(len(data), at + size))
         end = gap.start() if gap else len(data)
         yield _tokens(data, at, end)
         at = end
@@ -240,7 +240,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         for batch in rows_of(batches, 4 << 20):
             for lang, data in _by_lang(batch).items():
                 own = counts.setdefault(lang, Counter())
-                for tokens in _chunks(data):
+                for tokens in _chunks(data, CHUNK_BYTES):
                     own.update(tokens)
             if sum(map(len, counts.values())) > CACHE_WORDS:
                 yield from flush()
@@ -286,15 +286,15 @@ def _turn(lang: str) -> int:
 class _Ids(dict):
     """Ids of a language's words, ``BREAK`` for edges and for words that are not frequent."""
 
-    def __init__(self, lang: str, known: np.ndarray, clashes: dict[bytes, int]) -> None:
-        self.turn, self.known, self.clashes = _turn(lang), known, clashes
+    def __init__(self, lang: str, known: np.ndarray, clashes: dict[bytes, int], bits: int) -> None:
+        self.turn, self.known, self.clashes, self.mask = _turn(lang), known, clashes, (1 << bits) - 1
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
             self.clear()
         value = self.clashes.get(word)
         if value is None:
-            value = BREAK if word[0] == 10 else xxhash.xxh64_intdigest(word, 42) & ((1 << HASH_BITS) - 1)
+            value = BREAK if word[0] == 10 else xxhash.xxh64_intdigest(word, 42) & self.mask
         if value != BREAK:
             slot = (value + self.turn) & ((1 << MAP_BITS) - 1)
             if not int(self.known[slot >> 6]) >> (slot & 63) & 1:
@@ -347,9 +347,9 @@ def ngram_filters(docs: DataFrame, size: int, width: int, known: bytes, clashes:
         for batch in rows_of(batches, 4 << 20):
             for lang, data in _by_lang(batch).items():
                 if lang not in ids:
-                    ids[lang] = _Ids(lang, word_bits, own_clashes)
+                    ids[lang] = _Ids(lang, word_bits, own_clashes, HASH_BITS)
                 tail = np.zeros(0, np.uint64)
-                for tokens in _chunks(data):
+                for tokens in _chunks(data, CHUNK_BYTES):
                     own = np.concatenate([tail, np.fromiter(map(ids[lang].__getitem__, tokens), np.uint64, len(tokens))])
                     tail = own[max(0, len(own) - size + 1) :]
                     if len(own) >= size:

@@ -7,7 +7,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "embeddings", "conversations", "labels"):
+    for name in ("documents", "embeddings", "conversations", "labels", "benchmark"):
         connection.execute(f"create view {name} as select * from '{SF_DIR}/{name}.parquet'")
     return connection
 
