@@ -144,12 +144,11 @@ def file_entries(checked: Checked, detailed: int | None = SKIPS_DETAILED) -> Dat
 def _begins(sizes: DataFrame, spark: SparkSession, staged: str | None) -> DataFrame:
     """Where each file's entries begin in the job's log, files in order of path.
 
-    Files are dealt into ranges of the path, a few thousand to a range and
-    4096 ranges at most.  The ranges' totals are added up by the driver, the
+    Files are dealt into ranges of the path, as many as the session has
+    shuffle partitions.  The ranges' totals are added up by the driver, the
     files of each range in a window; neither a folder nor the job is one.
     """
-    count = max(2, min(4096, sizes.count() // 2000))
-    sizes = sizes.repartitionByRange(count, "path").withColumn("_range", F.spark_partition_id())
+    sizes = sizes.repartitionByRange("path").withColumn("_range", F.spark_partition_id())
     # Written, so that both uses see the same ranges even if a task runs again.
     folder = f"{staged}/file-ranges-{uuid.uuid4().hex}" if staged else work_dir(spark, "file-ranges")
     sizes.write.parquet(folder)

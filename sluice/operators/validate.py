@@ -69,6 +69,7 @@ class Checked:
     spec: LoadSpec
     lines: DataFrame
     parsed: DataFrame
+    staged_rows: DataFrame | None = None
     staged_quarantine: DataFrame | None = None
     staged_stats: DataFrame | None = None
     staged_folder: str | None = None
@@ -80,10 +81,12 @@ class Checked:
 
     def good_with(self, *provenance: str) -> DataFrame:
         """Accepted rows with provenance columns in front."""
-        fields = [
-            cast_field(F.col(_field(i)), c.spark_type).alias(c.name) for i, c in enumerate(self.spec.columns)
-        ]
-        return self.parsed.where(F.col("_verdict").isNull()).select(*provenance, *fields)
+        if self.staged_rows is not None:
+            return self.staged_rows.where(F.col("policy").isNull()).select(*provenance, "row.*")
+        return self.parsed.where(F.col("_verdict").isNull()).select(*provenance, *self._fields())
+
+    def _fields(self) -> list[Column]:
+        return [cast_field(F.col(_field(i)), c.spark_type).alias(c.name) for i, c in enumerate(self.spec.columns)]
 
     def _policy(self) -> Column:
         policies = [F.lit(c.on_wrong_type) for c in self.spec.columns]
@@ -95,18 +98,21 @@ class Checked:
         """Rejected lines: where, what, why and under which policy."""
         if self.staged_quarantine is not None:
             return self.staged_quarantine
+        rejected = self.parsed.where(F.col("_verdict").isNotNull())
+        return rejected.select(*_PROVENANCE, F.col("value").alias("raw"), *self._faults())
+
+    def _faults(self) -> list[Column]:
+        """What is wrong with a rejected line, and the policy it falls under."""
         at = F.col("_verdict")
         expected = [F.lit(EXPECTED[c.spark_type]) for c in self.spec.columns]
         texts = [F.col(_field(i)) for i in range(len(self.spec.columns))]
         width_fault = F.format_string(WRONG_WIDTH, F.lit(len(texts)), csv_width(F.col("value")))
         type_fault = F.format_string(WRONG_TYPE, _pick(expected, at), _pick(texts, at))
-        return self.parsed.where(at.isNotNull()).select(
-            *_PROVENANCE,
-            F.col("value").alias("raw"),
+        return [
             F.when(at != _WIDTH, at).alias("column_index"),
             F.when(at == _WIDTH, width_fault).otherwise(type_fault).alias("fault"),
             self._policy().alias("policy"),
-        )
+        ]
 
     @cached_property
     def split_sizes(self) -> DataFrame:
@@ -137,19 +143,31 @@ class Checked:
         )
 
     def stage(self, spark: SparkSession) -> Checked:
-        """Write quarantine and split counts once, so that log, line numbers
-        and the fail check read small tables instead of the input again.  The
-        second pass only counts lines; it does not parse them."""
+        """Read, parse and judge every line once, and keep what came of it.
+
+        One write takes all lines in their order: a good one as its typed row,
+        a rejected one as it was, with its fault and policy.  Good rows,
+        quarantine, line numbers, log and the fail check then read columns of
+        that table; those of rejected lines skip the row groups that have none.
+        """
         folder = work_dir(spark, "checked")
-        self.quarantine.write.parquet(f"{folder}/quarantine")
-        quarantine = spark.read.parquet(f"{folder}/quarantine")
-        rejected = quarantine.groupBy(*_SPLIT).agg(
-            F.count("*").alias("rows_skipped"), F.count_if(F.col("policy") == "fail").alias("rows_failed")
+        bad = F.col("_verdict").isNotNull()
+        raw = F.when(bad, F.col("value")).alias("raw")
+        faults = [F.when(bad, c).alias(n) for c, n in zip(self._faults(), ("column_index", "fault", "policy"), strict=True)]
+        tagged = self.parsed.select(*_PROVENANCE, F.when(~bad, F.struct(*self._fields())).alias("row"), raw, *faults)
+        tagged.write.parquet(f"{folder}/lines")
+        rows = spark.read.schema(tagged.schema).parquet(f"{folder}/lines")
+        quarantine = rows.where(F.col("policy").isNotNull()).drop("row")
+        stats = rows.groupBy(*_SPLIT).agg(
+            F.count("*").alias("rows_read"),
+            F.min("row_id").alias("first_id"),
+            F.max("row_id").alias("last_id"),
+            F.count("policy").alias("rows_skipped"),
+            F.count_if(F.col("policy") == "fail").alias("rows_failed"),
         )
-        stats = self.split_sizes.join(rejected, list(_SPLIT), "left").fillna(0, ["rows_skipped", "rows_failed"])
         stats.write.parquet(f"{folder}/stats")
-        stats = spark.read.parquet(f"{folder}/stats")
-        return Checked(self.spec, self.lines, self.parsed, quarantine, stats, folder)
+        stats = spark.read.schema(stats.schema).parquet(f"{folder}/stats")
+        return Checked(self.spec, self.lines, self.parsed, rows, quarantine, stats, folder)
 
     def close(self) -> None:
         """Remove what ``stage`` wrote; the staged tables can't be read after that."""

@@ -153,7 +153,8 @@ def store_slice(
     if store.on_close:
         deliver(spark, out, f"{out.rstrip('/')}-ledger", action, store.on_close)
     own = (F.col("instance_id") == run.instance) & (F.col("job_id") == run.job)
-    return stored, replace(staged, staged_quarantine=read_quarantine(spark, kept).where(own), staged_stats=None, staged_folder=None)
+    kept_rows = read_quarantine(spark, kept).where(own)
+    return stored, replace(staged, staged_rows=None, staged_quarantine=kept_rows, staged_stats=None, staged_folder=None)
 
 
 def egress(

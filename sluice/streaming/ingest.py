@@ -46,8 +46,11 @@ def table_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.readStream.schema(schema).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
-def _start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+def start_batches(
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, once: bool, mode: str = "append"
+) -> StreamingQuery:
+    """Hand every micro-batch and its id to ``handle``: all there are now with ``once``, else every half hour."""
+    writer = stream.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=INTERVAL)
     return writer.start()
 
@@ -60,7 +63,7 @@ def write_batches(
     def handle(batch: DataFrame, batch_id: int) -> None:
         transform(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return _start(stream, handle, checkpoint, once)
+    return start_batches(stream, handle, checkpoint, once)
 
 
 def ingest(
@@ -93,4 +96,4 @@ def ingest(
         finally:
             checked.close()
 
-    return _start(stream, handle, checkpoint, once)
+    return start_batches(stream, handle, checkpoint, once)
