@@ -38,7 +38,8 @@ from sluice.plans.normalize import (
 )
 from sluice.session import work_dir
 from sluice.sinks.tables import append_log, export_instance, read_log, write_csv
-from sluice.sources.lines import read_declared, read_lines
+from sluice.sources.lines import entity_of, read_declared, read_lines
+from sluice.sources.quoted import quoted_records
 from sluice.spec import LoadSpec
 
 NOW = datetime(2024, 2, 1, 13, 30)
@@ -331,3 +332,68 @@ def feed_line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line.agg(
         F.min("line").alias("first"), F.max("line").alias("last"), F.count_distinct("line").alias("different"), F.count("*").alias("n")
     )
+
+
+QUOTED = """
+fed as (select *, date_trunc('day', ts) as day, event_id % 3 as feeds from events),
+records as (
+  select event_id, 'a "' || event_type || '"' || repeat(chr(10) || 'more, text', feeds::int) as note,
+    case when event_id % 11 = 0 then 'many' else user_id::varchar end as user_text, 'day=' || strftime(day, '%Y-%m-%d') as file,
+    1 + coalesce(sum(feeds + 1) over (file rows between unbounded preceding and 1 preceding), 0)::bigint as line,
+    row_number() over file - 1 as record
+  from fed window file as (partition by day order by ts, event_id))
+"""
+
+
+def quoted_lines(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """Events as CSV, a file a day, whose quoted notes hold up to two line feeds."""
+    where = work_dir(spark, label)
+    e = table(spark, sf_dir, "events")
+    more = F.repeat(F.lit("\nmore, text"), (F.col("event_id") % 3).cast("int"))
+    note = F.concat(F.lit('"a ""'), "event_type", F.lit('""'), more, F.lit('"'))
+    user = F.when(F.col("event_id") % 11 == 0, "many").otherwise(F.col("user_id").cast("string"))
+    value = F.concat_ws(",", F.col("event_id").cast("string"), note, user)
+    text = e.select("ts", "event_id", F.to_date("ts").alias("day"), value.alias("value"))
+    ordered = text.repartition("day").sortWithinPartitions("day", "ts", "event_id")
+    ordered.select("day", "value").write.partitionBy("day").text(where)
+    lines = read_lines(spark, where)
+    return lines.withColumn("file_name", entity_of(F.col("path")))
+
+
+NOTE_SPEC = LoadSpec.of(
+    {
+        "onWrongColumnCount": "skip",
+        "columns": [
+            {"name": "event_id", "type": "int", "onWrongType": "skip"},
+            {"name": "note", "type": "string", "onWrongType": "skip"},
+            {"name": "user_id", "type": "int", "onWrongType": "skip"},
+        ],
+    }
+)
+
+
+@case(
+    "quoted_records",
+    f"with {QUOTED} select file, line, record, event_id, note, user_text from records",
+)
+def quoted_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of several lines, put together again over splits, with their place in the file."""
+    records = quoted_records(quoted_lines(spark, sf_dir, "quoted"))
+    fields = F.from_csv("value", F.lit("event_id bigint, note string, user_text string"), {"escape": '"'})
+    place = [F.col("file_name").alias("file"), "line", "record"]
+    return records.select(*place, fields.alias("f")).select("file", "line", "record", "f.*")
+
+
+@case(
+    "quoted_rejects",
+    f"""with {QUOTED} select event_id, line,
+      '[' || file || ', line:' || line || ', column:2]: an integer was expected, but the value was ''many''.' as message
+    from records where event_id % 11 = 0""",
+)
+def quoted_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records of the same feed under the number of their first line."""
+    records = quoted_records(quoted_lines(spark, sf_dir, "quoted-rejects"))
+    checked = check(records, NOTE_SPEC)
+    rejected = checked.with_line(checked.quarantine)
+    message = fault_message(F.col("fault"), F.col("file_name"), F.col("line"), F.col("column_index"))
+    return rejected.select(F.split("raw", ",")[0].cast("bigint").alias("event_id"), "line", message.alias("message"))

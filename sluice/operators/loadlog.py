@@ -71,9 +71,10 @@ def first_failures(checked: Checked) -> DataFrame:
     """The first line of each file that its policy does not forgive."""
     fails = checked.quarantine.where("policy = 'fail'")
     # Width faults carry no column, so the struct keeps only comparable fields first.
+    known = [c for c in ("line",) if c in fails.columns]
     first = fails.groupBy("path").agg(
         F.min_by(
-            F.struct("file_name", "block_start", "row_id", "column_index", "fault"),
+            F.struct("file_name", "block_start", "row_id", "column_index", "fault", *known),
             F.struct("block_start", "row_id"),
         ).alias("first")
     )

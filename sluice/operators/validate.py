@@ -99,7 +99,7 @@ class Checked:
         if self.staged_quarantine is not None:
             return self.staged_quarantine
         rejected = self.parsed.where(F.col("_verdict").isNotNull())
-        return rejected.select(*_PROVENANCE, F.col("value").alias("raw"), *self._faults())
+        return rejected.select(*self._provenance, F.col("value").alias("raw"), *self._faults())
 
     def _faults(self) -> list[Column]:
         """What is wrong with a rejected line, and the policy it falls under."""
@@ -154,7 +154,7 @@ class Checked:
         bad = F.col("_verdict").isNotNull()
         raw = F.when(bad, F.col("value")).alias("raw")
         faults = [F.when(bad, c).alias(n) for c, n in zip(self._faults(), ("column_index", "fault", "policy"), strict=True)]
-        tagged = self.parsed.select(*_PROVENANCE, F.when(~bad, F.struct(*self._fields())).alias("row"), raw, *faults)
+        tagged = self.parsed.select(*self._provenance, F.when(~bad, F.struct(*self._fields())).alias("row"), raw, *faults)
         tagged.write.parquet(f"{folder}/lines")
         rows = spark.read.schema(tagged.schema).parquet(f"{folder}/lines")
         quarantine = rows.where(F.col("policy").isNotNull()).drop("row")
@@ -174,13 +174,20 @@ class Checked:
         if self.staged_folder is not None:
             remove_dir(self.lines.sparkSession, self.staged_folder)
 
+    @property
+    def _provenance(self) -> tuple[str, ...]:
+        """Where a row came from; records of several lines bring their line number along."""
+        return (*_PROVENANCE, "line") if "line" in self.lines.columns else _PROVENANCE
+
     def with_line(self, rows: DataFrame) -> DataFrame:
-        """Add the absolute 1-based line number to rows that kept provenance.
+        """Add the absolute 1-based line number to rows that kept provenance; those that have one keep it.
 
         Only split counts are summed; the rows themselves are not sorted.  Row
         ids must run without gaps in each split; the line numbers of a split
         where they don't would be wrong, so it raises instead.
         """
+        if "line" in rows.columns:
+            return rows
         starts = running_total(
             self.split_sizes.select("path", "block_start", "rows_read", "first_id", "last_id"),
             ["path"],

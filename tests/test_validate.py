@@ -208,3 +208,12 @@ def test_optional_folder(spark, tmp_path):
         assert good.schema == SPEC.schema
         counts[target] = (located.found, good.count())
     assert counts == {"customers": (True, 3), "products": (False, 0), "costs": (False, 0), "absent": (False, 0)}
+
+
+def test_staged_loads_read_their_input_once(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n".join(LINES))
+    staged = check(read_lines(spark, str(tmp_path)), SPEC).stage(spark)
+    for frame in (staged.good, staged.quarantine, staged.with_line(staged.quarantine), staged.file_stats):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in plan and "from_csv" not in plan
+    staged.close()
