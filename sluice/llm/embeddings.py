@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import grouped, rows_of, saved
@@ -25,14 +25,27 @@ BLOCK = 1024
 
 
 class Codes:
-    """Centre and rotations that give a vector its bits, cut into one substring per table."""
+    """Rotations that give a vector its bits, cut into one substring per table; each width has its own.
 
-    def __init__(self, centre: np.ndarray, rotations: list[np.ndarray], bits: int, tables: int) -> None:
-        self.centre, self.rotations, self.bits, self.tables = centre, rotations, bits, tables
+    Vectors keep their place around the origin.  Bits then differ with the
+    angle that the cosine measures, whatever else the label holds; seen from
+    the mean of a dense group, its members would stand at right angles.
+    """
+
+    def __init__(self, learned: dict[int, list[np.ndarray]], bits: int, tables: int, seed: int) -> None:
+        self.learned, self.bits, self.tables, self.seed = learned, bits, tables, seed
+
+    def rotations(self, width: int) -> list[np.ndarray]:
+        """Those learned, or random ones for a width of which the sample had too few vectors."""
+        if width not in self.learned:
+            random = np.random.default_rng((self.seed, width))
+            number = math.ceil(self.bits * self.tables / width)
+            self.learned[width] = [np.linalg.qr(random.normal(size=(width, width)))[0] for _ in range(number)]
+        return self.learned[width]
 
     def substrings(self, units: np.ndarray) -> np.ndarray:
         """A number per unit vector and table."""
-        signs = np.concatenate([(units - self.centre) @ r > 0 for r in self.rotations], axis=1)
+        signs = np.concatenate([units @ r > 0 for r in self.rotations(units.shape[1])], axis=1)
         signs = signs[:, : self.tables * self.bits].reshape(len(units), self.tables, self.bits)
         return signs.astype(np.int64) @ (np.int64(1) << np.arange(self.bits, dtype=np.int64))
 
@@ -54,18 +67,16 @@ def learn_rotation(units: np.ndarray, start: np.ndarray, iterations: int = ITERA
     return axes @ rotation
 
 
-def plan_tables(largest: int, centre_norm: float, cosine: float = COSINE, miss: float = MISS) -> tuple[int, int]:
+def plan_tables(largest: int, cosine: float = COSINE, miss: float = MISS) -> tuple[int, int]:
     """Bits of a substring and number of tables.
 
     Substrings are so long that a bucket of unlike vectors has an eighth of a
     row: log2 of the largest label's rows, plus 3.  A bit of two vectors at
-    the threshold differs with probability angle / pi, the angle seen from the
-    centre; tables are added until a pair agrees in one of them.
+    the threshold differs with probability angle / pi at most; tables are
+    added until a pair agrees in one of them.
     """
     bits = min(40, max(8, math.ceil(math.log2(max(largest, 2))) + 3))
-    half = math.sqrt((1 - cosine) / 2) / math.sqrt(max(1e-6, 1 - centre_norm**2))
-    differ = 2 * math.asin(min(1.0, half)) / math.pi
-    agree = (1 - differ) ** bits
+    agree = (1 - math.acos(cosine) / math.pi) ** bits
     return bits, math.ceil(math.log(miss) / math.log1p(-agree))
 
 
@@ -78,33 +89,31 @@ def fit(vectors: DataFrame, sample: int = SAMPLE, cosine: float = COSINE, seed:
     by_width: dict[int, list] = {}
     for row in rows:
         by_width.setdefault(len(row["embedding"]), []).append(row["embedding"])
-    sampled = np.array(max(by_width.values(), key=len), dtype=np.float64)
-    units = sampled / np.linalg.norm(sampled, axis=1, keepdims=True)
-    centre = units.mean(axis=0) if len(units) > 2 * units.shape[1] else np.zeros(units.shape[1])
-    bits, tables = plan_tables(largest, float(np.linalg.norm(centre)), cosine)
-    width = units.shape[1]
+    bits, tables = plan_tables(largest, cosine)
+    learned = {}
     random = np.random.default_rng(seed)
-    rotations = []
-    for _ in range(math.ceil(bits * tables / width)):
-        start = random.normal(size=(width, width))
-        rotations.append(learn_rotation(units - centre, start) if len(units) >= width else np.linalg.qr(start)[0])
-    return Codes(centre, rotations, bits, tables)
+    for width, sampled in sorted(by_width.items()):
+        if len(sampled) >= width:
+            data = np.array(sampled, dtype=np.float64)
+            units = data / np.linalg.norm(data, axis=1, keepdims=True)
+            number = math.ceil(bits * tables / width)
+            learned[width] = [learn_rotation(units, random.normal(size=(width, width))) for _ in range(number)]
+    return Codes(learned, bits, tables, seed)
 
 
 def _encoded(classes: DataFrame, codes: Codes) -> DataFrame:
-    """print, label, embedding, substrings; vectors of another width than the codes' have none."""
-    width = len(codes.centre)
+    """print, label, embedding, n, substrings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches, 4 << 20):
-            vectors = batch.column(2).to_pylist()
-            fits = [i for i, v in enumerate(vectors) if len(v) == width]
-            strings: list = [None] * len(vectors)
-            if fits:
-                data = np.array([vectors[i] for i in fits], dtype=np.float64)
-                for i, own in zip(fits, codes.substrings(data / np.linalg.norm(data, axis=1, keepdims=True)), strict=True):
-                    strings[i] = own
-            column = pa.array(strings, pa.list_(pa.int64()))
+            vectors = batch.column(2)
+            widths = np.array([len(v) for v in vectors])
+            strings = np.empty((batch.num_rows, codes.tables), np.int64)
+            for width in np.unique(widths):
+                own = np.flatnonzero(widths == width)
+                data = vectors.take(pa.array(own)).flatten().to_numpy().astype(np.float64).reshape(len(own), -1)
+                strings[own] = codes.substrings(data / np.linalg.norm(data, axis=1, keepdims=True))
+            column = pa.array(list(strings), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], ["print", "label", "embedding", "n", "substrings"])
 
     schema = "print binary, label int, embedding array<float>, n bigint, substrings array<bigint>"
@@ -186,7 +195,7 @@ def _linked(blocks: DataFrame, cosine: float) -> DataFrame:
             out.clear()
             return pa.RecordBatch.from_arrays(arrays, ["print", "links", "other"])
 
-        for met in grouped(batches, "meeting", "at"):
+        for met in grouped(batches, "meeting", "at", "width"):
             if met.num_rows > 1:
                 out.extend(compare(met))
             if len(out) > 20_000:
@@ -207,10 +216,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     by hash and every two blocks meet in a task of their own, so none is capped
     and no pairs are written: a meeting gives counts and a spanning forest.
 
+    Classes that share a bucket of the first table have met there.  In a later
+    bucket the largest such part is not compared with itself again, so a dense
+    group costs its pairs once, and after that only what left it.
+
     Vectors that are null, empty, zero or hold null or non-finite components,
     and rows with a null label, have 0 links and are their own component.
-    Vectors of another width than most of the sample's are linked with equal
-    ones only.  Repeated rows link with each other.  Rows without vec_id count
+    Vectors of different widths don't link.  Repeated rows link with each other.  Rows without vec_id count
     as links; component_id is the smallest vec_id there is.  An empty table
     gives an empty one; other columns are ignored.
     """
@@ -232,30 +244,57 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
         none = F.lit(0).cast("long").alias("links")
         labelled = own.select("print", "vec_id", "n", none, F.col("print").alias("component"))
     else:
-        encoded = saved(_encoded(classes, codes).filter(F.col("substrings").isNotNull()), "vector-codes")
-        slim = encoded.select("print", "label", F.posexplode("substrings").alias("at", "code"))
-        slim = slim.select("print", "at", F.xxhash64("label", "at", "code").alias("bucket"))
-        shared = slim.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+        encoded = saved(_encoded(classes, codes), "vector-codes")
+        own_width = F.size("embedding").alias("width")
+        cell = F.xxhash64("label", own_width, F.col("substrings")[0]).alias("cell")
+        slim = encoded.select("print", "label", own_width, cell, F.posexplode("substrings").alias("at", "code"))
+        slim = slim.select("print", "at", "cell", F.xxhash64("label", "width", "at", "code").alias("bucket"))
+        # Of each bucket its largest part that has met in the first table, and the rest; in the first table all are rest.
+        parts = slim.groupBy("bucket", "at", "cell").agg(F.count("*").alias("size"))
+        shared = parts.groupBy("bucket", "at").agg(
+            F.sum("size").alias("size"), F.max("size").alias("met"), F.max_by("cell", F.struct("size", "cell")).alias("main")
+        )
+        shared = shared.withColumn("met", F.when(F.col("at") == 0, 0).otherwise(F.col("met")))
+        shared = shared.where((F.col("size") > 1) & (F.col("size") > F.col("met"))).select(
+            "bucket",
+            F.when(F.col("at") > 0, F.col("main")).alias("main"),
+            F.ceil((F.col("size") - F.col("met")) / BLOCK).cast("int").alias("blocks"),
+            F.ceil(F.col("met") / BLOCK).cast("int").alias("main_blocks"),
+        )
         # Read from a table, this side is shuffled for the join, and a hot bucket can be split.
         shared = saved(shared, "vector-buckets")
-        kept = slim.join(shared, "bucket").select("print", "at", "bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-        block = F.pmod(F.xxhash64("print", F.lit("block")), F.col("blocks")).cast("int")
-        placed = kept.withColumn("block", block)
-        meet = F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.col("blocks") - 1),
-                lambda other: F.struct(
-                    F.least("block", other).alias("one"),
-                    F.greatest("block", other).alias("two"),
-                    F.when(F.col("block") == other, 2).when(F.col("block") < other, 0).otherwise(1).alias("side"),
-                ),
-            )
+        kept = slim.join(shared, "bucket").withColumn("in_main", F.coalesce(F.col("cell") == F.col("main"), F.lit(False)))
+        spread = F.xxhash64("print", F.lit("block"))
+        placed = kept.withColumn("block", F.pmod(spread, F.when(F.col("in_main"), F.col("main_blocks")).otherwise(F.col("blocks"))).cast("int"))
+
+        def meeting(one: Column, two: Column, side: Column) -> Column:
+            return F.struct(one.alias("one"), two.alias("two"), side.alias("side"))
+
+        among = F.transform(
+            F.sequence(F.lit(0), F.col("blocks") - 1),
+            lambda other: meeting(
+                F.least("block", other),
+                F.greatest("block", other),
+                F.when(F.col("block") == other, 2).when(F.col("block") < other, 0).otherwise(1),
+            ),
+        )
+        # Blocks of the main part are numbered from -1 down and meet the others only.
+        with_main = F.transform(
+            F.sequence(F.lit(1), F.col("main_blocks")), lambda main: meeting(-main, F.col("block"), F.lit(1))
+        )
+        with_main = F.when(F.col("main_blocks") > 0, with_main).otherwise(F.slice(among, 1, 0))
+        with_rest = F.transform(
+            F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: meeting(-1 - F.col("block"), other, F.lit(0))
         )
-        met = placed.withColumn("m", meet).select(
+        # All of a bucket that fits one comparison meets at once.
+        small = (F.col("blocks") == 1) & (F.col("main_blocks") <= 1)
+        once = F.array(meeting(F.lit(0), F.lit(0), F.lit(2)))
+        meet = F.when(small, once).when(F.col("in_main"), with_rest).otherwise(F.concat(among, with_main))
+        met = placed.withColumn("m", F.explode(meet)).select(
             "print", "at", F.col("m.side").alias("side"), F.xxhash64("bucket", "m.one", "m.two").alias("meeting")
         )
-        full = met.join(encoded.select("print", "label", "embedding", "substrings", "n"), "print")
-        blocks = full.repartition("meeting").sortWithinPartitions("meeting", "at")
+        full = met.join(encoded.select("print", "label", own_width, "embedding", "substrings", "n"), "print")
+        blocks = full.repartition("meeting").sortWithinPartitions("meeting", "at", "width")
         linked = saved(_linked(blocks, cosine), "vector-links")
         joined = components(linked.select(F.col("print").alias("a"), F.col("other").alias("b")))
         sums = linked.groupBy("print").agg(F.sum("links").alias("links"))

@@ -173,13 +173,57 @@ def test_recall_at_the_threshold():
     side -= (side * a).sum(axis=1, keepdims=True) * a
     side /= np.linalg.norm(side, axis=1, keepdims=True)
     b = 0.93 * a + math.sqrt(1 - 0.93**2) * side
-    bits, tables = embeddings.plan_tables(4000, 0.0)
+    bits, tables = embeddings.plan_tables(4000)
     turns = [embeddings.learn_rotation(a, rng.normal(size=(64, 64)), 10) for _ in range(math.ceil(bits * tables / 64))]
-    codes = embeddings.Codes(np.zeros(64), turns, bits, tables)
+    codes = embeddings.Codes({64: turns}, bits, tables, 3)
     met = (codes.substrings(a) == codes.substrings(b)).any(axis=1)
     assert met.mean() >= 0.99
 
 
+@pytest.mark.parametrize("share, block", [(0.33, 1024), (0.5, 100), (0.8, 1024), (0.8, 100), (0.9, 200)])
+def test_dense_groups_keep_their_links(spark, monkeypatch, share, block):
+    """One label, of which a share lies in a group of pairwise cosine about 0.932; some pairs outside of it."""
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    rng = np.random.default_rng(int(share * 100))
+    n, width = 1500, 64
+    size = int(n * share)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centre = unit(rng.normal(size=width))
+    side = rng.normal(size=(size, width))
+    side = unit(side - np.outer(side @ centre, centre))
+    group = math.sqrt(0.932) * centre + math.sqrt(0.068) * side
+    rest = unit(rng.normal(size=(n - size, width)))
+    near = unit(rest[:50] + 0.3 * unit(rng.normal(size=(50, width))))
+    data = np.concatenate([group, rest, near]).astype(np.float32)
+    wide = data.astype(np.float64)
+    links = unit(wide) @ unit(wide).T >= 0.93
+    np.fill_diagonal(links, False)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(data)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = {r.vec_id: r for r in embeddings.near_duplicates(frame).collect()}
+    found = sum(r.n_links for r in got.values())
+    assert 0.999 * links.sum() <= found <= links.sum()
+    assert all(got[i].n_links <= links[i].sum() for i in range(len(data)))
+    assert len({got[i].component_id for i in range(size)}) == 1
+
+
+def test_vectors_of_every_width(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for width, n in ((8, 40), (3, 12), (1, 3)):
+        base = rng.normal(size=(n // 2 + 1, width))
+        for v in np.repeat(base, 2, axis=0)[:n]:
+            rows.append((len(rows), (v + rng.normal(size=width) * 0.01).astype(np.float32).tolist(), 4))
+    links = {}
+    for i, v, _ in rows:
+        links[i] = sum(
+            i != j and len(v) == len(w) and np.dot(v, w) / (np.linalg.norm(v) * np.linalg.norm(w)) >= 0.93 for j, w, _ in rows
+        )
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(frame).collect()}
+    assert got == links
+
+
 def test_passages(spark, doc_frame):
     rng = random.Random(4)
     fresh = lambda n: [f"v{rng.randrange(10**8)}" for _ in range(n)]
