@@ -1,5 +1,6 @@
 """Sharding, mixing, edits, chats, lines and quality: odd rows and brute force."""
 
+import hashlib
 import json
 import re
 import zlib
@@ -156,6 +157,50 @@ def test_layouts(spark):
     assert got[6].fingerprint is not None and got[90].fingerprint is None and got[91].turns is None
 
 
+def test_layouts_by_their_field_paths(spark):
+    """Other fields, missing answers, empty lists and mixed types; equal paths have equal fingerprints."""
+    u, a = ("user", "q"), ("assistant", "a")
+    cases = [
+        ({"id": 7, "messages": [{"role": "user", "content": "q", "name": "x"}, {"role": "assistant", "content": "a"}]}, [u, a]),
+        ({"messages": []}, []),
+        ({"prompt": "q", "response": "a", "meta": {"n": [1, "b", {}, None]}}, [u, a]),
+        ({"instruction": "q", "response": "a", "input": ""}, [u, a]),
+        ({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": 3}]}, [u, ("assistant", "3")]),
+        ({"messages": [{"role": "user", "content": "q"}, "a"]}, None),
+        ({"data": {"prompt": "q", "completion": "a"}}, None),
+        ({"prompt": "q"}, None),
+        ({"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": None}], "id": "x"}, [u, ("assistant", "")]),
+        ({"prompt": 'q": "', "completion": "\\\\\""}, [("user", 'q": "'), ("assistant", "\\\\\"")]),
+    ]
+    rows = [(i, json.dumps(body), "x", "x") for i, (body, _) in enumerate(cases)]
+    rows += [(90, '{"completion": 1, "prompt": null}', "x", "x"), (91, '{"prompt":"a","completion":[2]}', "x", "x"), (92, '{"prompt": "a", "comp', "x", "x")]
+    frame = spark.createDataFrame(rows, "conv_id int, body string, known string, names string")
+    got = {r.conv_id: r for r in chat.canonical_turns(frame).collect()}
+    for i, (_, turns) in enumerate(cases):
+        assert (None if got[i].turns is None else [tuple(t) for t in got[i].turns]) == turns, i
+    assert got[0].known == got[0].names == "x"
+    assert [tuple(t) for t in got[90].turns] == [("user", ""), ("assistant", "1")]
+    assert got[92].fingerprint is None and got[92].turns is None
+    # Names decide, in whatever order; types don't.
+    assert got[9].fingerprint == got[90].fingerprint != got[2].fingerprint
+
+
+def test_conversation_longer_than_the_json_limits(spark):
+    """A text of 25,000,000 characters, beyond what a JSON parser takes by default."""
+    size = 25_000_000
+    rows = spark.range(2).select(
+        F.lit(2).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.repeat(F.when(F.col("id") == 0, 'ab"c\\').otherwise("</s>x"), size // 5).alias("text"),
+    )
+    records = chat.as_records(chat.gathered(rows.unionByName(rows.withColumns({"turn": F.col("turn") + 2, "conv_id": F.lit(4).cast("long")}))))
+    read = chat.read_back(chat.formatted(chat.canonical_turns(records)))
+    for r in read.select("conv_id", "fingerprint", F.transform("turns", lambda t: F.char_length(t["text"])).alias("sizes"), F.sha2("loss_text", 256).alias("loss")).collect():
+        assert r.fingerprint is not None and r.sizes == [size, size]
+        assert r.loss == hashlib.sha256(("</s>x" * (size // 5)).encode()).hexdigest()
+
+
 def test_template_is_reversible(spark):
     nasty = ["", "\\", "[INST]", "[\\INST]", "\\[INST]", "</s", "<</s>", "s>[/INST]", "a\nb", "é🙂</s>[INST] ok [/INST]", "\\\\</s>\\"]
     rows = [(i, i % 3, ["user", "assistant", nasty[i % len(nasty)]][i % 3], nasty[i % len(nasty)]) for i in range(66)]
