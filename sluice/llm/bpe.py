@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from operator import itemgetter
 
 import pyarrow as pa
 import regex
@@ -20,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.common import rows_of
 
-# A cache that has grown to this many entries starts anew; results don't depend on it.
+# Caches that have grown to these numbers of entries start anew; results don't depend on them.
 CACHE_ENTRIES = 400_000
+CACHE_NEIGHBOURS = 1_000_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -37,20 +39,25 @@ class Vocabulary:
         pairs = (line.split() for line in content.splitlines() if line)
         self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.bytes_of = {rank: token for token, rank in self.rank.items()}
-        self.longest = max(map(len, self.rank))
+        #: Bytes of the longest token that ends in four given bytes; tokens that end otherwise have three at most.
+        self.longest_ending: dict[bytes, int] = {}
+        for token in self.rank:
+            if len(token) >= 4:
+                self.longest_ending[token[-4:]] = max(len(token), self.longest_ending.get(token[-4:], 0))
         self.split = regex.compile(pattern).findall
         self.finditer = regex.compile(pattern).finditer
         self._neighbours: dict[int, bool] = {}
-        self._width = max(self.bytes_of) + 2
+        self.known_neighbours = self._neighbours.get
+        self.width = max(self.bytes_of) + 2
 
     def merged(self, data: bytes) -> list[int]:
         """Tokens after merging the pair of lowest rank, leftmost first, until none is left."""
         parts = [data[i : i + 1] for i in range(len(data))]
         rank = self.rank.get
         while len(parts) > 1:
-            ranks = [rank(a + b, self._width) for a, b in zip(parts, parts[1:], strict=False)]
+            ranks = [rank(a + b, self.width) for a, b in zip(parts, parts[1:], strict=False)]
             best = min(ranks)
-            if best == self._width:
+            if best == self.width:
                 break
             at = ranks.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
@@ -58,10 +65,10 @@ class Vocabulary:
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether ``right`` may stand after ``left``; -1 stands for the start of the string."""
-        key = (left + 1) * self._width + right
+        key = (left + 1) * self.width + right
         known = self._neighbours.get(key)
         if known is None:
-            if len(self._neighbours) >= CACHE_ENTRIES:
+            if len(self._neighbours) >= CACHE_NEIGHBOURS:
                 self._neighbours.clear()
             if left < 0:
                 known = self.merged(self.bytes_of[right]) == [right]
@@ -83,11 +90,16 @@ class PrefixTable:
     def append(self, more: bytes) -> None:
         """Grow the string; entries of the old prefixes stay as they are."""
         data = self.data + more
-        rank, longest, may_follow, last = self.vocabulary.rank.get, self.vocabulary.longest, self.vocabulary.may_follow, self.last
+        vocabulary, last = self.vocabulary, self.last
+        rank, known, width, longest = vocabulary.rank.get, vocabulary.known_neighbours, vocabulary.width, vocabulary.longest_ending.get
         for end in range(len(self.data) + 1, len(data) + 1):
-            for start in range(max(0, end - longest), end):
+            for start in range(max(0, end - longest(data[max(0, end - 4) : end], 3)), end):
                 token = rank(data[start:end])
-                if token is not None and may_follow(last[start - 1] if start else -1, token):
+                if token is None:
+                    continue
+                before = last[start - 1] if start else -1
+                fits = known((before + 1) * width + token)
+                if fits or fits is None and vocabulary.may_follow(before, token):
                     last.append(token)
                     break
             else:
@@ -111,25 +123,42 @@ class PrefixTable:
         return out[::-1]
 
 
+class _Remembered(dict):
+    """What a function made of the pre-tokens met before; long ones are not kept."""
+
+    def __init__(self, make: Callable) -> None:
+        self.make = make
+
+    def __missing__(self, piece: str):
+        value = self.make(piece)
+        if len(piece) <= 64:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[piece] = value
+        return value
+
+
 class Encoder:
     """Encodes and decodes texts, remembering the pre-tokens met before."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self._known: dict[str, tuple[int, ...]] = {}
-
-    def piece(self, piece: str) -> tuple[int, ...]:
-        """Tokens of one pre-token; one that is a token itself stays whole."""
-        known = self._known.get(piece)
-        if known is None:
-            data = piece.encode()
-            whole = self.vocabulary.rank.get(data)
-            known = (whole,) if whole is not None else tuple(PrefixTable(self.vocabulary, data).tokens())
-            if len(data) <= 64:
-                if len(self._known) >= CACHE_ENTRIES:
-                    self._known.clear()
-                self._known[piece] = known
-        return known
+        self._known = _Remembered(self._tokens)
+        #: Tokens of one pre-token; one that is a token itself stays whole.
+        self.piece = self._known.__getitem__
+        #: Number of tokens of one pre-token.
+        self.size = _Remembered(lambda piece: len(self.piece(piece))).__getitem__
+        #: Of one pre-token: number of tokens, decimal ids joined by commas, bytes decoded from the ids.
+        self.facts = _Remembered(self._facts).__getitem__
+
+    def _tokens(self, piece: str) -> tuple[int, ...]:
+        data = piece.encode()
+        whole = self.vocabulary.rank.get(data)
+        return (whole,) if whole is not None else tuple(PrefixTable(self.vocabulary, data).tokens())
+
+    def _facts(self, piece: str) -> tuple[int, str, bytes]:
+        ids = self._tokens(piece)
+        return len(ids), ",".join(map(str, ids)), self.decode(ids)
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -168,7 +197,7 @@ class Encoder:
             out += self.piece(match.group())
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Sequence[int]) -> bytes:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids))
 
 
@@ -220,21 +249,22 @@ def round_trip(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """Per document the digests of its token ids and of the bytes decoded from them.
 
     Columns: doc_id, n_tokens, ids_sha256 (of decimal ids joined by commas),
-    decoded_sha256.  The token lists never leave the task that made them.
+    decoded_sha256.  The token lists never leave the task that made them; what
+    is made of a pre-token's ids, their decoding too, is remembered with it.
     Null and empty texts have 0 tokens and the digests of nothing.
     """
     shared = _share(docs.sparkSession, ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(shared.value, pattern)
-        decimal = {token: str(token) for token in own.vocabulary.bytes_of}
+        count, decimal, data = itemgetter(0), itemgetter(1), itemgetter(2)
         for batch in rows_of(batches):
             counts, id_digests, byte_digests = [], [], []
             for text in batch.column(1):
-                ids = own.encode(text.as_py() or "")
-                counts.append(len(ids))
-                id_digests.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                byte_digests.append(hashlib.sha256(own.decode(ids)).hexdigest())
+                facts = list(map(own.facts, own.vocabulary.split(text.as_py() or "")))
+                counts.append(sum(map(count, facts)))
+                id_digests.append(hashlib.sha256(",".join(map(decimal, facts)).encode()).hexdigest())
+                byte_digests.append(hashlib.sha256(b"".join(map(data, facts))).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(id_digests), pa.array(byte_digests)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

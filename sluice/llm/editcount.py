@@ -26,15 +26,22 @@ class TokenTree:
     summed up along one path.
     """
 
-    def __init__(self, chars: list[int], tokens: list[int]) -> None:
-        self.leaves = [(chars[i : i + LEAF], tokens[i : i + LEAF]) for i in range(0, len(chars), LEAF)] or [([], [])]
+    def __init__(self, chars: np.ndarray, tokens: np.ndarray) -> None:
+        ends = range(0, len(chars), LEAF)
+        self.leaves = [(chars[i : i + LEAF], tokens[i : i + LEAF]) for i in ends] or [(chars, tokens)]
         self.width = 1 << (len(self.leaves) - 1).bit_length()
-        self.char_sums = [0] * (2 * self.width)
-        self.token_sums = [0] * (2 * self.width)
-        for i, (c, t) in enumerate(self.leaves):
-            self.char_sums[self.width + i], self.token_sums[self.width + i] = sum(c), sum(t)
-        for node in range(self.width - 1, 0, -1):
-            self._sum(node)
+        self.char_sums, self.token_sums = (self._sums(values, list(ends)) for values in (chars, tokens))
+
+    def _sums(self, values: np.ndarray, starts: list[int]) -> list[int]:
+        """Sums of all nodes, the root at 1, the leaves from ``width`` on."""
+        out = np.zeros(2 * self.width, np.int64)
+        if starts:
+            out[self.width : self.width + len(starts)] = np.add.reduceat(values, starts, dtype=np.int64)
+        level = self.width
+        while level > 1:
+            out[level // 2 : level] = out[level : 2 * level : 2] + out[level + 1 : 2 * level : 2]
+            level //= 2
+        return out.tolist()
 
     def _sum(self, node: int) -> None:
         self.char_sums[node] = self.char_sums[2 * node] + self.char_sums[2 * node + 1]
@@ -54,23 +61,24 @@ class TokenTree:
                 node += 1
         return min(node - self.width, len(self.leaves) - 1), before
 
-    def splice(self, first: tuple[int, int], last: tuple[int, int], chars: list[int], tokens: list[int]) -> bool:
+    def splice(self, first: tuple[int, int], last: tuple[int, int], chars: np.ndarray, tokens: np.ndarray) -> bool:
         """Put pre-tokens in place of those from ``first`` to before ``last`` (leaf, place in it); False if a leaf grew too long."""
         (leaf, at), (end_leaf, end) = first, last
         head, tail = self.leaves[leaf], self.leaves[end_leaf]
-        joined = (head[0][:at] + chars + tail[0][end:], head[1][:at] + tokens + tail[1][end:])
+        joined = tuple(np.concatenate([h[:at], new, t[end:]]) for h, new, t in zip(head, (chars, tokens), tail, strict=True))
         for i in range(leaf, end_leaf + 1):
-            self.leaves[i] = joined if i == leaf else ([], [])
+            self.leaves[i] = joined if i == leaf else (chars[:0], tokens[:0])
             node = self.width + i
-            self.char_sums[node], self.token_sums[node] = sum(self.leaves[i][0]), sum(self.leaves[i][1])
+            self.char_sums[node], self.token_sums[node] = (int(part.sum()) for part in self.leaves[i])
             node //= 2
             while node:
                 self._sum(node)
                 node //= 2
         return len(joined[0]) <= 4 * LEAF
 
-    def flat(self) -> tuple[list[int], list[int]]:
-        return [c for leaf in self.leaves for c in leaf[0]], [t for leaf in self.leaves for t in leaf[1]]
+    def flat(self) -> tuple[np.ndarray, np.ndarray]:
+        chars, tokens = zip(*self.leaves, strict=True)
+        return np.concatenate(chars), np.concatenate(tokens)
 
 
 def edit(own: Encoder, tree: TokenTree, text: str, start: int, stop: int, new: str) -> tuple[TokenTree, str, int]:
@@ -86,7 +94,7 @@ def edit(own: Encoder, tree: TokenTree, text: str, start: int, stop: int, new: s
     shift = len(new) - (stop - start)
     leaf, place = tree.leaf_of(max(start - 2, 0))
     at = 0
-    lengths = tree.leaves[leaf][0]
+    lengths = tree.leaves[leaf][0].tolist()
     while at < len(lengths) and place + lengths[at] + 2 <= start:
         place += lengths[at]
         at += 1
@@ -100,17 +108,17 @@ def edit(own: Encoder, tree: TokenTree, text: str, start: int, stop: int, new: s
             while old_place + shift < begin:
                 while old_at >= len(tree.leaves[old_leaf][0]):
                     old_leaf, old_at = old_leaf + 1, 0
-                old_place += tree.leaves[old_leaf][0][old_at]
+                old_place += int(tree.leaves[old_leaf][0][old_at])
                 old_at += 1
             if old_place >= stop and old_place + shift == begin:
                 break
         piece = match.group()
         chars.append(len(piece))
-        tokens.append(len(own.piece(piece)))
+        tokens.append(own.size(piece))
     else:
         old_leaf = len(tree.leaves) - 1
         old_at = len(tree.leaves[old_leaf][0])
-    if not tree.splice(first, (old_leaf, old_at), chars, tokens):
+    if not tree.splice(first, (old_leaf, old_at), np.array(chars, np.int32), np.array(tokens, np.int32)):
         tree = TokenTree(*tree.flat())
     return tree, edited, len(chars)
 
@@ -131,7 +139,7 @@ def index(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
             for text in batch.column(1):
                 pieces = own.vocabulary.split(text.as_py() or "")
                 chars.append(np.fromiter(map(len, pieces), np.int32, len(pieces)))
-                tokens.append(np.fromiter(map(len, map(own.piece, pieces)), np.int32, len(pieces)))
+                tokens.append(np.fromiter(map(own.size, pieces), np.int32, len(pieces)))
             kind = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(chars, kind), pa.array(tokens, kind)],
@@ -155,7 +163,7 @@ def apply_edits(indexed: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
         for batch in rows_of(batches, 16 << 20):
             texts, all_chars, all_tokens, before, after, encoded = [], [], [], [], [], []
             for text, chars, tokens, edits in zip(*(batch.column(i) for i in range(1, 5)), strict=True):
-                tree = TokenTree((chars.as_py() or []), (tokens.as_py() or []))
+                tree = TokenTree(*(np.zeros(0, np.int32) if not p.is_valid else p.values.to_numpy() for p in (chars, tokens)))
                 now, count = text.as_py() or "", 0
                 before.append(tree.total)
                 for change in edits.as_py() or []:
@@ -163,8 +171,8 @@ def apply_edits(indexed: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
                     count += n
                 flat = tree.flat()
                 texts.append(now)
-                all_chars.append(np.array(flat[0], np.int32))
-                all_tokens.append(np.array(flat[1], np.int32))
+                all_chars.append(flat[0])
+                all_tokens.append(flat[1])
                 after.append(tree.total)
                 encoded.append(count)
             kind = pa.list_(pa.int32())

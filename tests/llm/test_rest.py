@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -103,14 +104,14 @@ TEXTS = st.one_of(st.text(max_size=60), st.text(alphabet="aeènst 'lre\n\t 12.,
 @given(TEXTS, st.lists(st.tuples(st.integers(-2, 220), st.integers(-2, 220), TEXTS), max_size=4))
 def test_tree_follows_edits(text, changes):
     pieces = OWN.vocabulary.split(text)
-    tree = editcount.TokenTree([len(p) for p in pieces], [len(OWN.piece(p)) for p in pieces])
+    tree = editcount.TokenTree(np.array([len(p) for p in pieces], np.int32), np.array([len(OWN.piece(p)) for p in pieces], np.int32))
     for start, stop, new in changes:
         tree, edited, _ = editcount.edit(OWN, tree, text, start, stop, new)
         start = min(max(start, 0), len(text))
         text = text[:start] + new + text[max(start, min(stop, len(text))) :]
         assert edited == text
         assert tree.total == len(OWN.encode(text))
-        assert tree.flat()[0] == [len(p) for p in OWN.vocabulary.split(text)]
+        assert tree.flat()[0].tolist() == [len(p) for p in OWN.vocabulary.split(text)]
 
 
 def test_edit_query(spark, texts):
