@@ -126,13 +126,13 @@ class PrefixTable:
 class _Remembered(dict):
     """What a function made of the pre-tokens met before; long ones are not kept."""
 
-    def __init__(self, make: Callable) -> None:
-        self.make = make
+    def __init__(self, make: Callable, entries: int = CACHE_ENTRIES) -> None:
+        self.make, self.entries = make, entries
 
     def __missing__(self, piece: str):
         value = self.make(piece)
         if len(piece) <= 64:
-            if len(self) >= CACHE_ENTRIES:
+            if len(self) >= self.entries:
                 self.clear()
             self[piece] = value
         return value
@@ -147,7 +147,7 @@ class Encoder:
         #: Tokens of one pre-token; one that is a token itself stays whole.
         self.piece = self._known.__getitem__
         #: Number of tokens of one pre-token.
-        self.size = _Remembered(lambda piece: len(self.piece(piece))).__getitem__
+        self.size = _Remembered(lambda piece: len(self._tokens(piece)), 2 * CACHE_ENTRIES).__getitem__
         #: Of one pre-token: number of tokens, decimal ids joined by commas, bytes decoded from the ids.
         self.facts = _Remembered(self._facts).__getitem__
 
