@@ -11,7 +11,7 @@ from sluice.cases import case
 from sluice.cases.feeds import OUTPUTS, RUNS, pipeline_records, run_records, stamp, table
 from sluice.functions.dates import instance_id
 from sluice.functions.text import file_url, pad_count, url_container, url_host, url_token
-from sluice.operators.associate import around, around_any
+from sluice.operators.associate import around, around_any, nearest
 from sluice.operators.monitor import (
     activities,
     activity_counts,
@@ -438,3 +438,27 @@ def run_files_and_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("page_id").alias("run_id"), F.lit("stderr").alias("name"), "url", F.length("html").alias("length")
     )
     return run_log_files(runs, files)
+
+
+@case(
+    "nearest_errors",
+    """with e as (select event_id, ts, case when event_type = 'error' then {'id': event_id, 'ts': ts} end as mark from events),
+    n as (select event_id, ts,
+        last_value(mark ignore nulls) over (order by ts, event_id rows between unbounded preceding and 1 preceding) as b,
+        first_value(mark ignore nulls) over (order by ts, event_id rows between 1 following and unbounded following) as a from e)
+    select event_id, case when ts - b.ts <= interval 5 minutes then b.id else -1 end as error_before,
+      case when ts - b.ts <= interval 5 minutes then epoch_us(ts) - epoch_us(b.ts) else -1 end as micros_since,
+      case when a.ts - ts <= interval 5 minutes then a.id else -1 end as error_after,
+      case when a.ts - ts <= interval 5 minutes then epoch_us(a.ts) - epoch_us(ts) else -1 end as micros_until from n""",
+)
+def nearest_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each event the nearest error before and after it, within five minutes."""
+    found = nearest(table(spark, sf_dir, "events"), "ts", "event_id", F.col("event_type") == "error")
+    none = F.lit(-1).cast("bigint")
+    return found.select(
+        "event_id",
+        F.coalesce("before.id", none).alias("error_before"),
+        F.coalesce("before.gap", none).alias("micros_since"),
+        F.coalesce("after.id", none).alias("error_after"),
+        F.coalesce("after.gap", none).alias("micros_until"),
+    )

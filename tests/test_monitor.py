@@ -1,10 +1,11 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators.access import current, most_specific, upsert
-from sluice.operators.associate import around, around_any
+from sluice.operators.associate import around, around_any, nearest
 from sluice.operators.monitor import (
     activities,
     activity_counts,
@@ -188,3 +189,22 @@ def test_changed_files(spark):
     assert got == {"a-b-c-ls-x.json": "ls", "A-B-C-LS-Y.JSON": "ls"}
     third = {r["name"]: r["kind"] for r in changed_files(files, F.lit(DAY), part=2).collect()}
     assert third == {"a-b-pl-q.json": "pl"}
+
+
+def test_nearest_entries_equal_brute_force(spark):
+    rng = random.Random(6)
+    start = datetime(2024, 1, 1)
+    # Times on few whole seconds: many ties, and gaps of exactly the reach.
+    rows = [(i, start + timedelta(seconds=rng.randrange(0, 4000, 20)), rng.random() < 0.1) for i in range(300)]
+    rows += [(400 + i, None, i % 2 == 0) for i in range(4)]
+    frame = spark.createDataFrame(rows, "id bigint, ts timestamp, bad boolean")
+    got = {r.id: r for r in nearest(frame, "ts", "id", F.col("bad"), seconds=60).collect()}
+    assert len(got) == len(rows)
+    timed = sorted((t, i, bad) for i, t, bad in rows if t is not None)
+    for at, (t, i, _) in enumerate(timed):
+        before = next(((u, j) for u, j, bad in reversed(timed[:at]) if bad), None)
+        after = next(((u, j) for u, j, bad in timed[at + 1 :] if bad), None)
+        for found, other in ((got[i].before, before), (got[i].after, after)):
+            gap = other and abs((other[0] - t) // timedelta(microseconds=1))
+            assert (found and (found.id, found.gap)) == ((other[1], gap) if other and gap <= 60_000_000 else None)
+    assert all(got[400 + i].before is None and got[400 + i].after is None for i in range(4))
