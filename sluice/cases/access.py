@@ -11,6 +11,7 @@ from sluice.functions.text import domain_of, to_list
 from sluice.operators.access import current, for_account, has_right, holds, most_specific, upsert
 from sluice.operators.monitor import accessible
 from sluice.session import work_dir
+from sluice.sinks import accesstable
 from sluice.sinks.tables import append_access
 
 _COLUMNS = "account, customer_id, rights, resource_group, data_factory, pipelines"
@@ -56,6 +57,19 @@ def acl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current(spark.read.parquet(where))
 
 
+@case("acl_merged_scan", _UPSERTED)
+def acl_merged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assignments merged into parts, a batch of changes merged into those it touches, and one beside them."""
+    where = work_dir(spark, "access-table")
+    parts = 8
+    accesstable.add_changes(assignments(spark, sf_dir), where, 0, parts)
+    accesstable.compact(spark, where)
+    accesstable.add_changes(_changes(spark, sf_dir, 1).withColumn("rights", F.lit("none")), where, 1, parts)
+    accesstable.add_changes(_changes(spark, sf_dir, 2), where, 2, parts)
+    accesstable.compact(spark, where, until=1)
+    return accesstable.scan(spark, where)
+
+
 _SPECIFIC = f"""
 users as (select {USER_ACCOUNT} as user_account, c_custkey from customer),
 matches as (
@@ -88,6 +102,31 @@ def acl_most_specific(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_CROWDED = "case when c_custkey % 10 < 9 then replace(c_name, '#', '.') || '@crowd.example' else {0} end"
+
+
+@case(
+    "acl_hot_domain",
+    f"""with {ASSIGNMENTS}, users as (select {_CROWDED.format(USER_ACCOUNT)} as user_account from customer),
+    granted as (select account, customer_id, data_factory from assignments
+      union all select '@crowd.example', 'CROWD', 'df-crowd'),
+    matches as (select user_account, g.* from users u join granted g
+      on g.account = u.user_account or g.account = '@' || split_part(u.user_account, '@', 2))
+    select user_account, account, customer_id, data_factory from (select *, row_number() over (
+      partition by user_account order by length(account) desc) as rn from matches) where rn = 1""",
+)
+def acl_hot_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine of ten users share a mail domain."""
+    crowd = F.concat(F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@crowd.example"))
+    account = F.when(F.col("c_custkey") % 10 < 9, crowd).otherwise(user_account())
+    users = table(spark, sf_dir, "customer").select(account.alias("user_account"))
+    granted = assignments(spark, sf_dir)
+    shared = {"account": "@crowd.example", "customer_id": "CROWD", "data_factory": "df-crowd"}
+    own = spark.range(1).select(*(F.lit(shared.get(c)).cast(t).alias(c) for c, t in granted.dtypes))
+    chosen = most_specific(users, granted.unionByName(own))
+    return chosen.select("user_account", "account", "customer_id", "data_factory")
+
+
 @case(
     "acl_for_account",
     f"""with {ASSIGNMENTS}, who as (select {USER_ACCOUNT} as u from customer where c_acctbal < 0

@@ -21,10 +21,11 @@ from sluice.cases.feeds import (
 from sluice.operators.slices import arrival_slices, assign
 from sluice.operators.validate import check
 from sluice.plans.normalize import FEED_SPEC, FEED_STORE, Run, egress, normalize_feed, store_slice
-from sluice.session import work_dir
+from sluice.session import remove_dir, work_dir
 from sluice.sinks.deliver import deliver, manifest
 from sluice.sinks.tables import read_log, read_quarantine, read_slices, write_slices
 from sluice.sinks.xmlfiles import part_rows, write_xml
+from sluice.sources import snapshots
 from sluice.sources.files import changed_files, list_files, non_empty
 from sluice.sources.lines import entity_of, locate, read_lines, slice_of
 from sluice.sources.xml import is_entry, read_entries
@@ -118,6 +119,43 @@ def changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed_files(listing, since).select("name", "kind")
 
 
+@case(
+    "listing_diff",
+    """select 'nation=' || c_nationkey as folder,
+      case when c_nationkey < 5 then 'removed' when c_nationkey < 20 then 'changed' else 'new' end as change,
+      count(*) filter (c_nationkey >= 5) as rows_to_load
+    from customer
+    where c_nationkey < 5 or c_nationkey >= 20 or (c_nationkey between 10 and 14 and c_acctbal < 0)
+    group by c_nationkey""",
+)
+def listing_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders that went, came or got more files between two listings, with the rows of new files."""
+    root, store = work_dir(spark, "landing"), work_dir(spark, "listings")
+    nation = F.col("nation")
+    rows = table(spark, sf_dir, "customer").select("c_name", F.col("c_nationkey").alias("nation"), "c_acctbal")
+
+    def land(arrived: DataFrame) -> DataFrame:
+        arrived.select("c_name", "nation").write.mode("append").partitionBy("nation").text(root)
+        return snapshots.read(spark, store, snapshots.take(spark, root, store, "part-*"))
+
+    before = land(rows.where(nation < 20))
+    for gone in range(5):
+        remove_dir(spark, f"{root}/nation={gone}")
+    after = land(rows.where((nation >= 20) | (nation.between(10, 14) & (F.col("c_acctbal") < 0))))
+    folders = snapshots.diff(
+        snapshots.by_folder(before), snapshots.by_folder(after), "folder", snapshots.FOLDER_FACTS
+    )
+    # Older files are left out by their time, before any of them is opened.
+    changed_at, path = F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")
+    lines = spark.read.text(root).where(changed_at >= snapshots.high_water(before)).select("nation", path.alias("path"))
+    fresh = lines.join(snapshots.past_mark(after, before).select("path"), "path", "left_semi")
+    counted = fresh.groupBy(F.concat(F.lit("nation="), "nation").alias("folder")).agg(F.count("*").alias("n"))
+    folder = F.regexp_extract("folder", "[^/]*$", 0).alias("folder")
+    return folders.select(folder, "change").join(counted, "folder", "left").select(
+        "folder", "change", F.coalesce("n", F.lit(0)).alias("rows_to_load")
+    )
+
+
 @case("multi_root_files", "select count(*) * 2 as rows, true as all_listed from customer")
 def multi_root_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of two folders, and a missing third, in one listing."""

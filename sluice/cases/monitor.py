@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.cases import case
+from sluice.cases import ORACLES, case
 from sluice.cases.feeds import OUTPUTS, RUNS, pipeline_records, run_records, stamp, table
 from sluice.functions.dates import instance_id
 from sluice.functions.text import file_url, pad_count, url_container, url_host, url_token
@@ -16,6 +16,7 @@ from sluice.operators.monitor import (
     activities,
     activity_counts,
     activity_outputs,
+    activity_totals,
     dataset_members,
     drill_link,
     last_execution,
@@ -32,8 +33,10 @@ from sluice.operators.monitor import (
     status_counts,
     tagged_datasets,
 )
+from sluice.operators.rollup import add_runs, dataset_counts, refresh
 from sluice.plans.status import pipeline_status
 from sluice.session import work_dir
+from sluice.sinks.tables import write_buckets
 from sluice.sources.records import RUNS as RUN_SCHEMA
 from sluice.sources.records import read_json, read_pipelines, read_slices_of
 
@@ -60,6 +63,20 @@ def activity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return activity_counts(outputs, run_records(spark, sf_dir))
 
 
+@case("activity_rollup_incremental", ORACLES["activity_rollup"])
+def activity_rollup_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of runs: in the second, runs of the last ten days come again with what became of them."""
+    stored, counts = work_dir(spark, "run-store"), work_dir(spark, "run-counts")
+    runs = run_records(spark, sf_dir)
+    recent = F.col("slice_start") >= _now(spark, sf_dir) - F.make_dt_interval(days=F.lit(10))
+    status = F.when(recent, "PendingExecution").otherwise(F.col("status"))
+    for batch, rows in enumerate((runs.withColumn("status", status), runs.where(recent))):
+        add_runs(rows, stored, batch)
+        refresh(spark, stored, counts, batch)
+    outputs = activity_outputs(activities(pipeline_records(spark, sf_dir)))
+    return activity_totals(outputs, dataset_counts(spark, counts))
+
+
 def _padded(name: str) -> str:
     text = f"cast(cast(coalesce(sum({name}), 0) as bigint) as varchar)"
     return f"case when length({text}) >= 2 then {text} else lpad({text}, 2, '0') end as {name}"
@@ -264,6 +281,23 @@ def drill_down(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@case("slice_runs_stored", ORACLES["slice_runs"])
+def stored_drill_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices and runs laid out alike, so that drilling down moves no rows."""
+    runs = run_records(spark, sf_dir).select("dataset", "slice_start", "id", "status")
+    keys = ("dataset", "slice_start")
+    tables = []
+    for label, rows in (("slices", runs.select(*keys).distinct()), ("runs", runs)):
+        where = work_dir(spark, label)
+        tables.append(write_buckets(rows, where.rsplit("/", 1)[1].replace("-", "_"), where, 16, *keys))
+    return slice_runs(*tables).select(
+        "dataset",
+        stamp(F.col("slice_start")).alias("slice_start"),
+        F.coalesce("id", F.lit(-1)).alias("id"),
+        F.coalesce("status", F.lit("none")).alias("status"),
+    )
+
+
 @case(
     "runs_of_slice",
     f"""with {RUNS}, latest as (select dataset, slice_start from runs order by processing_start desc, id desc limit 1)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from sluice.functions.text import domain_of, shares_any, to_list
 
 FIELDS = ("customer_id", "rights", "resource_group", "data_factory", "pipelines")
+#: Parts that lookups of a heavy account are dealt into.
+PARTS = 64
 
 
 def current(assignments: DataFrame, sequence: str = "sequence") -> DataFrame:
@@ -34,11 +36,26 @@ def for_account(table: DataFrame, user: Column) -> DataFrame:
     return table.where((F.col("account") == user) | (F.col("account") == domain_of(user)))
 
 
-def most_specific(users: DataFrame, table: DataFrame, user: str = "user_account") -> DataFrame:
-    """The longest matching account for each user, with list fields split."""
-    names = users.select(user, F.explode(F.array_distinct(F.array(user, domain_of(F.col(user))))).alias("account"))
+def most_specific(users: DataFrame, table: DataFrame, user: str = "user_account", parts: int = PARTS) -> DataFrame:
+    """The longest matching account for each user, with list fields split.
+
+    Accounts that more than one in ``parts`` of all names look up, such as the
+    mail domain of most users, are found by a count.  There are fewer than
+    ``parts`` of them, so this list is broadcast; their lookups are dealt into
+    ``parts`` parts by user and their assignments are copied to each.
+    """
+    # Users named more than once would be dealt into the same part each time.
+    once = users.select(user).distinct()
+    names = once.select(user, F.explode(F.array_distinct(F.array(user, domain_of(F.col(user))))).alias("account"))
+    counted = names.groupBy("account").agg(F.count("*").alias("n"))
+    total = counted.select(F.sum("n")).scalar()
+    heavy = F.broadcast(counted.where(F.col("n") * parts > total).select("account", F.lit(True).alias("_heavy")))
+    part = F.when(F.col("_heavy"), F.pmod(F.xxhash64(user), F.lit(parts))).otherwise(0)
+    every = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    dealt = names.join(heavy, "account", "left").select(user, "account", part.cast("int").alias("_part"))
+    copied = table.join(heavy, "account", "left").select("account", *FIELDS, F.explode(every).alias("_part"))
     chosen = (
-        names.join(table, "account")
+        dealt.join(copied, ["account", "_part"])
         .groupBy(user)
         .agg(
             F.max_by(F.struct("account", *FIELDS), F.struct(F.length("account"), F.col("account"))).alias("_a")

@@ -107,7 +107,11 @@ def status_counts(slices: DataFrame, *keys: str, status: str = "status") -> Data
 def activity_counts(outputs: DataFrame, slices: DataFrame) -> DataFrame:
     """Counts per activity over all its outputs.  Slices shrink to one row per
     dataset first; an output without slices counts nothing."""
-    per_dataset = status_counts(slices, "dataset")
+    return activity_totals(outputs, status_counts(slices, "dataset"))
+
+
+def activity_totals(outputs: DataFrame, per_dataset: DataFrame) -> DataFrame:
+    """Counts per activity from counts per dataset."""
     counts = ("success", "running", "failure")
     return (
         outputs.join(per_dataset, "dataset", "left")

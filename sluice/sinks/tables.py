@@ -85,6 +85,20 @@ def read_slices(spark: SparkSession, path: str, schema: str, fmt: str = "parquet
     return spark.read.schema(f"{schema}, slice_date string, slice_time string").format(fmt).load(path)
 
 
+def write_buckets(df: DataFrame, table: str, path: str, buckets: int, *keys: str) -> DataFrame:
+    """Store rows as a catalog table in ``buckets`` buckets of the keys, sorted by them, and return the table.
+
+    Tables of equal buckets join on the keys without moving rows again.  Rows
+    of one key lie in one bucket, read by one task, so this suits keys of which
+    none holds a large share of the rows.
+    """
+    # Dealt out as the buckets are, each bucket becomes one file.
+    dealt = df.repartition(buckets, *keys)
+    first, *more = keys
+    dealt.write.bucketBy(buckets, first, *more).sortBy(first, *more).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def append_access(rows: DataFrame, path: str) -> None:
     """Record assignments; ``operators.access.current`` resolves the latest."""
     rows.write.mode("append").parquet(path)
