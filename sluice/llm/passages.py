@@ -253,6 +253,38 @@ class Meeting:
                 self._join(i, other, (np.array(found) + low)[None])
 
 
+def repeats(own: np.ndarray, side: np.ndarray, around: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans, gone and group of a ``Meeting``, with equal surroundings compared once.
+
+    The first and the last place of equal surroundings stand for all of them:
+    if these are of two documents, all that surrounds any of the places is
+    repeated, and gone but in the first document; whether an earlier document
+    holds a part of that one shows in its first place.  A place without a span
+    may be given the group of another of its document.
+    """
+    ends = np.stack([valid.argmax(axis=1), valid.sum(axis=1)], axis=1).astype(np.uint32)
+    rows = np.ascontiguousarray(np.concatenate([around, ends], axis=1))
+    _, kind = np.unique(rows.view(np.dtype((np.void, rows.shape[1] * 4)))[:, 0], return_inverse=True)
+    order = np.argsort(kind, kind="stable")
+    edges = np.flatnonzero(np.diff(kind[order], prepend=-1))
+    first, last = order[edges][kind], order[np.r_[edges[1:], len(order)] - 1][kind]
+    several = own[first] != own[last]
+    chosen = np.unique(np.r_[first, last[several]])
+    at = np.zeros(len(own), np.int64)
+    at[chosen] = np.arange(len(chosen))
+    met = Meeting(own[chosen], side[chosen], around[chosen], valid[chosen])
+    whole = np.stack([met.low, met.high - 1], axis=1)
+    one, other = at[first[several]], at[last[several]]
+    met.spans[one], met.spans[other], met.gone[other] = whole[one], whole[other], whole[other]
+    met.group[other] = one
+    met.compare()
+    rep = at[first]
+    spans, gone = met.spans[rep], met.gone[rep]
+    later = own > own[first]
+    gone[later] = whole[rep][later]
+    return spans, gone, chosen[met.group[rep]]
+
+
 def _identity() -> list[Column]:
     """A row's document, those without doc_id last, and the hash of its text."""
     return [F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), F.xxhash64("text").alias("row")]
@@ -371,14 +403,13 @@ def _met(rows: DataFrame) -> DataFrame:
             own = np.arange(starts[k], starts[k] + sizes[k])
             own = own[np.lexsort((place[own], row[own], doc[own]))]
             same = (doc[own][1:] == doc[own][:-1]) & (row[own][1:] == row[own][:-1])
-            met = Meeting(np.r_[0, np.cumsum(~same)], side[own], around[own], valid[own])
-            met.compare()
+            spans, gone, group = repeats(np.r_[0, np.cumsum(~same)], side[own], around[own], valid[own])
             low = place[own].astype(np.int64)[:, None] - (SHINGLES - 1) + np.array([0, SHINGLE_WORDS])
-            words, lost = (met.spans + low).tolist(), (met.gone + low).tolist()
+            words, lost = (spans + low).tolist(), (gone + low).tolist()
             name = [{"doc": d, "row": r} for d, r in zip(doc[own].tolist(), row[own].tolist(), strict=True)]
-            for i in np.flatnonzero(met.spans[:, 1] >= 0):
-                g = int(met.group[i])
-                before = lost[i] if met.gone[i, 1] >= 0 else [None, None]
+            for i in np.flatnonzero(spans[:, 1] >= 0):
+                g = int(group[i])
+                before = lost[i] if gone[i, 1] >= 0 else [None, None]
                 other = (name[g], *words[g]) if g != i else (None, None, None)
                 out.append((name[i], *words[i], *before, *other))
         return out

@@ -368,3 +368,52 @@ def test_dedup_keeps_one_where_ids_are_no_key(spark, doc_frame):
     rows = [(None, edited(one, rng, 1)) for _ in range(4)] + [(5, edited(two, rng, 1)) for _ in range(3)] + [(None, ""), (5, " ")]
     left = [(r.doc_id, bool(r.text.strip())) for r in minhash.dedup(doc_frame(rows)).collect()]
     assert sorted(left, key=str) == [(5, False), (5, True), (None, False), (None, True)]
+
+
+def test_equal_surroundings_compared_once_find_the_same():
+    rng = np.random.default_rng(12)
+    draw = lambda *shape: rng.integers(0, 2**32, shape, dtype=np.uint64).astype(np.uint32)
+    for _ in range(60):
+        n = int(rng.integers(2, 40))
+        base, others = draw(passages.AROUND), draw(4, passages.AROUND)
+        around, valid = np.tile(base, (n, 1)), np.ones((n, passages.AROUND), bool)
+        for row, fits in zip(around, valid, strict=True):
+            kind, other = rng.integers(0, 6), others[rng.integers(0, 4)]
+            if kind == 1:
+                row[10:15] = 7
+            elif kind == 2:
+                row[:30] = other[:30]
+            elif kind == 3:
+                row[60:] = other[60:]
+            elif kind == 4:
+                row[:] = np.r_[row[:50], other[:2], row[50:-2]]
+            elif kind == 5:
+                row[:] = other
+            if rng.random() < 0.2:
+                cut = rng.integers(0, 45)
+                fits[:cut], row[:cut] = False, 0
+        own = np.unique(np.sort(rng.integers(0, max(2, n // 2), n)), return_inverse=True)[1]
+        side = np.full(n, 2)
+        met = passages.Meeting(own, side, around, valid)
+        met.compare()
+        spans, gone, group = passages.repeats(own, side, around, valid)
+        assert (spans == met.spans).all() and (gone == met.gone).all()
+        found = spans[:, 1] >= 0
+        assert (group[found] == met.group[found]).all()
+
+
+def test_passages_of_many_near_copies_in_any_blocks(spark, doc_frame, monkeypatch):
+    rng = random.Random(13)
+    base = [f"c{rng.randrange(10**8)}" for _ in range(120)]
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        if i % 3:
+            copy[rng.randrange(120)] = f"d{i}"
+        if i % 7 == 0:
+            copy = [f"e{i}x{j}" for j in range(20)] + copy[30:]
+        rows.append((i, " ".join(copy)))
+    whole = sorted(spans_of(doc_frame(rows)).items())
+    assert len(whole) == 60
+    monkeypatch.setattr(passages, "BLOCK", 4)
+    assert sorted(spans_of(doc_frame(rows)).items()) == whole
