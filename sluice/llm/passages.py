@@ -27,6 +27,8 @@ BANDS = 3
 SHINGLES = WINDOW - SHINGLE_WORDS + 1
 #: Shingles around a key that windows with it can reach: all windows of these hold the key.
 AROUND = 2 * SHINGLES - 1
+#: Windows among these.
+WINDOWS = AROUND - SHINGLES + 1
 #: Of two windows of 46 different shingles each, so many are shared at the least similarity.
 ENOUGH = -(-2 * SHINGLES * PERCENT // (100 + PERCENT))
 #: Places of a key that meet in one comparison; more are cut into blocks, any two of which meet.
@@ -149,6 +151,41 @@ def _in_place(equal: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.
     return similar.any(axis=1), inside.argmax(axis=1), AROUND - 1 - inside[:, ::-1].argmax(axis=1)
 
 
+def _holders(values: np.ndarray, holder: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last holder of each value; ``holder`` ascends."""
+    order = np.argsort(values, kind="stable")
+    edges = np.flatnonzero(np.r_[True, values[order[1:]] != values[order[:-1]]])
+    sizes = np.diff(np.r_[edges, len(values)])
+    first, last = np.empty(len(values), np.int64), np.empty(len(values), np.int64)
+    first[order] = np.repeat(holder[order[edges]], sizes)
+    last[order] = np.repeat(holder[order[edges + sizes - 1]], sizes)
+    return first, last
+
+
+def _before_in(rows: np.ndarray) -> np.ndarray:
+    """The place in its row before each at which its value was last, -1 for none."""
+    order = np.argsort(rows, axis=1, kind="stable")
+    ordered = np.take_along_axis(rows, order, axis=1)
+    row, at = np.nonzero(ordered[:, 1:] == ordered[:, :-1])
+    out = np.full(rows.shape, -1)
+    out[row, order[row, at + 1]] = order[row, at]
+    return out
+
+
+def _counted(held: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """The number of different shingles that are ``held`` in each window; ``fresh`` is the first window that counts one."""
+    row, at = np.nonzero(held)
+    size = AROUND + 1
+    plus = np.bincount(row * size + fresh[row, at], minlength=len(held) * size)
+    minus = np.bincount(row * size + at + 1, minlength=len(held) * size)
+    return (plus - minus).reshape(-1, size).cumsum(axis=1)[:, :WINDOWS]
+
+
+def _may(shared: np.ndarray, sizes: np.ndarray, least: np.ndarray | int) -> np.ndarray:
+    """Whether windows that share so many shingles can be similar to one of ``least`` shingles or more."""
+    return (100 * shared >= PERCENT * sizes) & ((100 + PERCENT) * shared >= PERCENT * (sizes + least))
+
+
 class Meeting:
     """Places of a key, in order of document, with the shingles around each; ``compare`` finds what is repeated.
 
@@ -166,12 +203,13 @@ class Meeting:
         self.low, self.high = valid.argmax(axis=1), AROUND - valid[:, ::-1].argmax(axis=1)
         # Places that are no shingles agree with nothing.
         self.slots = np.where(valid, around & 0xFFFF, 1 << 16)
-        self.least = np.full(n, SHINGLES)
-        self.unlike = _unlike(around)
-        for i in np.flatnonzero(~self.unlike):
-            values = around[i][valid[i]]
-            self.least[i] = _distinct(values, _before(values)).min()
-            self.unlike[i] = len(np.unique(values)) == len(values)
+        at = np.arange(AROUND)
+        before = _before_in(np.where(valid, around, (np.uint64(1) << np.uint64(32)) | at.astype(np.uint64)))
+        self.unlike = (before < 0).all(axis=1)
+        self.fresh = np.maximum(np.maximum(at - SHINGLES, before) + 1, 0)
+        self.whole = (at[:WINDOWS] >= self.low[:, None]) & (at[:WINDOWS] + SHINGLES <= self.high[:, None])
+        self.sizes = _counted(valid, self.fresh)
+        self.least = np.where(self.whole, self.sizes, SHINGLES).min(axis=1)
 
     def _settled(self, i: int, others: np.ndarray, found: np.ndarray) -> np.ndarray:
         """Whether places are joined with ``i`` and share nothing with it beyond what is known to be repeated."""
@@ -189,12 +227,69 @@ class Meeting:
         groups = np.unique(np.r_[self.group[i], self.group[others]])
         self.group[np.isin(self.group, groups)] = groups[0]
 
+    def _join_equal(self) -> None:
+        """Joins places by windows that are equal, shingle by shingle, at one distance from the key."""
+        n, whole = len(self.own), self.whole
+        at = np.arange(AROUND)
+        total = np.zeros((n, AROUND + 1), np.uint64)
+        np.cumsum(mixed(self.around.astype(np.uint64) | (at.astype(np.uint64) << np.uint64(32))), axis=1, out=total[:, 1:])
+        holder = np.nonzero(whole)[0]
+        earliest, latest = _holders((total[:, SHINGLES:] - total[:, :-SHINGLES])[whole], holder)
+        first = np.zeros((n, WINDOWS), np.int64)
+        first[whole] = earliest
+        shared, gone = np.zeros((n, WINDOWS), bool), np.zeros((n, WINDOWS), bool)
+        shared[whole] = self.own[earliest] != self.own[latest]
+        gone[whole] = self.own[holder] != self.own[earliest]
+        for spans, held in ((self.spans, shared), (self.gone, gone)):
+            some = held.any(axis=1)
+            spans[some, 0] = np.minimum(spans[some, 0], held[some].argmax(axis=1))
+            spans[some, 1] = np.maximum(spans[some, 1], AROUND - 1 - held[some, ::-1].argmax(axis=1))
+        places, _ = np.nonzero(shared)
+        for a, b in np.unique(np.stack([self.group[places], self.group[first[shared]]], axis=1), axis=0).tolist():
+            while a != self.group[a]:
+                a = self.group[a]
+            while b != self.group[b]:
+                b = self.group[b]
+            self.group[max(a, b)] = min(a, b)
+        while (self.group != self.group[self.group]).any():
+            self.group = self.group[self.group]
+
+    def _reach(self, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first and last shingle in ``held`` that similar windows can share; ``AROUND`` and -1 without any."""
+        may = self.whole & _may(_counted(held, self.fresh), self.sizes, self.least.min())
+        at = np.arange(AROUND)
+        some, start = may.any(axis=1), may.argmax(axis=1)
+        stop = AROUND - may[:, ::-1].argmax(axis=1)
+        inside = held & (at >= start[:, None]) & (at < stop[:, None]) & some[:, None]
+        return np.where(inside, at, AROUND).min(axis=1), np.where(inside, at, -1).max(axis=1)
+
     def compare(self) -> None:
+        """Every two places of different documents, but for those that can add nothing.
+
+        Shingles that no place of another document holds can't be shared.  A
+        place all of whose shared ones lie in what is known to be repeated adds
+        nothing to another such place that it is joined with already.
+        """
         n = len(self.own)
+        closed, left = np.zeros(n, bool), np.arange(n)
+        if n > 2:
+            self._join_equal()
+            holder = np.nonzero(self.valid)[0]
+            earliest, latest = _holders(self.around[self.valid], holder)
+            several, before = np.zeros_like(self.valid), np.zeros_like(self.valid)
+            several[self.valid] = self.own[earliest] != self.own[latest]
+            before[self.valid] = self.own[holder] != self.own[earliest]
+            low, high = self._reach(several)
+            left = np.flatnonzero(high >= 0)
+            closed = (self.spans[:, 0] <= low) & (high <= self.spans[:, 1])
+            low, high = self._reach(before)
+            closed &= (self.gone[:, 0] <= low) & (high <= self.gone[:, 1])
         table = np.zeros((1 << 16) + 1, bool)
-        for i in range(n - 1):
-            others = np.arange(i + 1, n)
+        for i in left[:-1]:
+            others = left[np.searchsorted(left, i + 1) :]
             others = others[(self.own[others] != self.own[i]) & ((self.side[others] != self.side[i]) | (self.side[others] == 2))]
+            if closed[i]:
+                others = others[~(closed[others] & (self.group[others] == self.group[i]))]
             if not len(others):
                 continue
             need = -(-PERCENT * (self.least[others] + self.least[i]) // (100 + PERCENT))
@@ -228,7 +323,7 @@ class Meeting:
         total = np.concatenate([np.zeros((len(hit), 1), np.int64), hit.cumsum(axis=1)], axis=1)
         # No window shares more than lies in it.
         stay = ((total[:, SHINGLES:] - total[:, :-SHINGLES]).max(axis=1) >= need) & ~self._settled(i, others, ends)
-        hit = hit[stay]
+        hit, index = hit[stay], index[stay]
         others, ends, theirs, count = others[stay], ends[stay], theirs[stay], count[stay]
         if not len(others):
             return
@@ -243,7 +338,17 @@ class Meeting:
             if is_repeat.any():
                 found = np.stack([first, last, first, last], axis=1)[is_repeat]
                 self._join(i, others[plain][is_repeat], found)
-        for j, end in zip(others[~plain], ends[~plain], strict=True):
+        others, ends, index, hit = others[~plain], ends[~plain], index[~plain], hit[~plain]
+        if not len(others):
+            return
+        may = (self.whole[others] & _may(_counted(hit, self.fresh[others]), self.sizes[others], self.least[i])).any(axis=1)
+        present = np.zeros((len(others), len(values)), bool)
+        present[np.nonzero(hit)[0], index[hit]] = True
+        mine = np.zeros((len(others), AROUND), bool)
+        mine[:, places] = present[:, np.searchsorted(values, self.around[i][places])]
+        least = self.least[others][:, None]
+        may &= (self.whole[i] & _may(_counted(mine, np.broadcast_to(self.fresh[i], mine.shape)), self.sizes[i], least)).any(axis=1)
+        for j, end in zip(others[may], ends[may], strict=True):
             other = np.array([j])
             if self._settled(i, other, end[None])[0]:
                 continue
@@ -386,20 +491,27 @@ def _met(rows: DataFrame) -> DataFrame:
         starts = np.flatnonzero(np.r_[True, meeting[1:] != meeting[:-1]])
         sizes = np.diff(np.r_[starts, len(meeting)])
         out = []
-        rest = sizes > 1
-        pairs = np.flatnonzero(sizes == 2)
+        pairs = starts[sizes == 2]
         # A document's own places don't repeat each other.
-        a, b = starts[pairs], starts[pairs] + 1
-        pairs = pairs[((doc[a] != doc[b]) | (row[a] != row[b])) & (side[a] == 2)]
-        plain, is_repeat, first, last = plain_pairs(around, starts[pairs], valid.all(axis=1))
-        rest[pairs[plain]] = False
-        for k, s, e in zip(*(x[plain & is_repeat].tolist() for x in (starts[pairs], first, last)), strict=True):
-            ends = sorted((int(doc[i]), int(row[i]), int(place[i])) for i in (k, k + 1))
-            (one, two), base = [{"doc": d, "row": r} for d, r, _ in ends], [p - SHINGLES + 1 for *_, p in ends]
-            (s1, e1), (s2, e2) = [(x + s, x + e + SHINGLE_WORDS) for x in base]
+        pairs = pairs[(doc[pairs] != doc[pairs + 1]) | (row[pairs] != row[pairs + 1])]
+        pairs = pairs[(side[pairs] != side[pairs + 1]) | (side[pairs] == 2)]
+        plain, is_repeat, first, last = plain_pairs(around, pairs, valid.all(axis=1))
+        found = [(k, s, e, s, e) for k, s, e in zip(*(x[plain & is_repeat].tolist() for x in (pairs, first, last)), strict=True)]
+        for k in pairs[~plain].tolist():
+            shared = similar_windows(around[k][valid[k]], around[k + 1][valid[k + 1]])
+            if shared:
+                low, other_low = int(valid[k].argmax()), int(valid[k + 1].argmax())
+                found.append((k, shared[0] + low, shared[1] + low, shared[2] + other_low, shared[3] + other_low))
+        for k, *spans in found:
+            ends = []
+            for i, s, e in ((k, *spans[:2]), (k + 1, *spans[2:])):
+                base = int(place[i]) - SHINGLES + 1
+                ends.append((int(doc[i]), int(row[i]), base + s, base + e + SHINGLE_WORDS))
+            (d1, r1, s1, e1), (d2, r2, s2, e2) = sorted(ends)
+            one, two = {"doc": d1, "row": r1}, {"doc": d2, "row": r2}
             out.append((one, s1, e1, None, None, None, None, None))
             out.append((two, s2, e2, s2, e2, one, s1, e1))
-        for k in np.flatnonzero(rest):
+        for k in np.flatnonzero(sizes > 2):
             own = np.arange(starts[k], starts[k] + sizes[k])
             own = own[np.lexsort((place[own], row[own], doc[own]))]
             same = (doc[own][1:] == doc[own][:-1]) & (row[own][1:] == row[own][:-1])

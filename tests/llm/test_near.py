@@ -402,6 +402,48 @@ def test_equal_surroundings_compared_once_find_the_same():
         assert (group[found] == met.group[found]).all()
 
 
+def test_meetings_leave_out_no_pair_that_adds_something():
+    rng = np.random.default_rng(21)
+    draw = lambda *shape: rng.integers(0, 2**32, shape, dtype=np.uint64).astype(np.uint32)
+    some = 0
+    for trial in range(40):
+        n = int(rng.integers(3, 14))
+        base, phrase = draw(passages.AROUND), draw(int(rng.integers(3, 60)))
+        if trial % 4 == 0:
+            base = np.resize(phrase, passages.AROUND)
+        around, valid = draw(n, passages.AROUND), np.ones((n, passages.AROUND), bool)
+        for row, fits in zip(around, valid, strict=True):
+            low, high = int(rng.integers(0, 46)), int(rng.integers(46, 92))
+            row[low:high] = base[low:high]
+            kind = rng.integers(0, 4)
+            if kind == 1:
+                row[rng.integers(0, passages.AROUND, 4)] = draw(4)
+            elif kind == 2:
+                row[:] = np.r_[row[:40], draw(3), row[40:-3]]
+            elif kind == 3:
+                row[50:] = np.resize(phrase, passages.AROUND - 50)
+            if rng.random() < 0.2:
+                cut = rng.integers(1, 45)
+                fits[-cut:], row[-cut:] = False, 0
+        own = np.unique(np.sort(rng.integers(0, n, n)), return_inverse=True)[1]
+        spans = np.tile(np.array([passages.AROUND, -1]), (n, 1))
+        gone, group = spans.copy(), np.arange(n)
+        for i in range(n):
+            for j in range(i + 1, n):
+                found = own[i] != own[j] and passages.similar_windows(around[i][valid[i]], around[j][valid[j]])
+                if found:
+                    a, b, c, d = (x + int(valid[k].argmax()) for x, k in zip(found, (i, i, j, j), strict=True))
+                    spans[i] = min(spans[i, 0], a), max(spans[i, 1], b)
+                    for own_spans in (spans, gone):
+                        own_spans[j] = min(own_spans[j, 0], c), max(own_spans[j, 1], d)
+                    group[group == max(group[i], group[j])] = min(group[i], group[j])
+        met = passages.Meeting(own, np.full(n, 2), around, valid)
+        met.compare()
+        assert (met.spans == spans).all() and (met.gone == gone).all() and (met.group == group).all()
+        some += len(np.unique(group)) < n
+    assert some > 20
+
+
 def test_passages_of_many_near_copies_in_any_blocks(spark, doc_frame, monkeypatch):
     rng = random.Random(13)
     base = [f"c{rng.randrange(10**8)}" for _ in range(120)]
