@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import shutil
+from contextlib import nullcontext
 from dataclasses import replace
 from datetime import datetime
+from urllib.request import Request
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +27,7 @@ from sluice.operators.slices import arrival_slices, assign
 from sluice.operators.validate import check
 from sluice.plans.normalize import FEED_SPEC, FEED_STORE, Run, egress, normalize_feed, store_slice
 from sluice.session import remove_dir, work_dir
-from sluice.sinks.deliver import deliver, manifest
+from sluice.sinks.deliver import deliver, manifest, post_xml, sending
 from sluice.sinks.tables import read_log, read_quarantine, read_slices, write_slices
 from sluice.sinks.xmlfiles import part_rows, write_xml
 from sluice.sources import snapshots
@@ -83,6 +88,25 @@ def slice_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@case(
+    "slice_folders_half_hour",
+    """select strftime(time_bucket(interval 30 minute, ts) + interval 30 minute, '%Y-%m-%d %H:%M:%S') as slice_end,
+      count(*) as n, cast(sum(event_id) as bigint) as ids
+    from events group by 1""",
+)
+def slice_folders_half_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders of the configured thirty minutes, named by their end and read back."""
+    root = work_dir(spark, "half-hours")
+    events = assign(table(spark, sf_dir, "events"), "ts", minutes=30)
+    folder = F.concat(F.lit("input-"), F.date_format("slice_end", "yyyyMMddHHmm"))
+    lines = events.select(F.col("event_id").cast("string").alias("value"), folder.alias("folder"))
+    lines.hint("rebalance", "folder").write.partitionBy("folder").text(root)
+    found = read_lines(spark, root).withColumn("slice_end", slice_of(F.col("path")))
+    return found.groupBy(stamp(F.col("slice_end")).alias("slice_end")).agg(
+        F.count("*").alias("n"), F.sum(F.col("value").cast("bigint")).alias("ids")
+    )
+
+
 @case("name_filter", f"select {CUSTOMER_COLUMNS} from customer")
 def name_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two kinds of files in one folder, told apart by name."""
@@ -263,6 +287,30 @@ def delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@case("posted_output", "select * replace (strftime(o_orderdate, '%Y-%m-%d') as o_orderdate) from orders")
+def posted_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in envelopes, posted file by file to a stand-in for a web service
+    that keeps each body, and read back from what was posted."""
+    out, box = work_dir(spark, "envelopes"), work_dir(spark, "posted")
+    soap = StoreSpec.of({"root": "orders", "entry": "order", "pre": ["<Envelope><Body>"], "post": ["</Body></Envelope>"]})
+    orders = dated_orders(spark, sf_dir)
+    write_xml(orders, out, soap)
+
+    def post(command, body):
+        def opener(request: Request) -> nullcontext:
+            filesystem, folder = fs.FileSystem.from_uri(box)
+            filesystem.create_dir(folder)
+            name = hashlib.md5(command.encode()).hexdigest()
+            with filesystem.open_output_stream(f"{folder}/{name}.xml") as kept:
+                shutil.copyfileobj(request.data, kept)
+            return nullcontext()
+
+        post_xml("http://service.invalid/orders", body, opener)
+
+    deliver(spark, out, work_dir(spark, "ledger"), sending(post))
+    return read_entries(spark, box, orders.schema, "order")
+
+
 @case(
     "store_slice",
     """select cast(l_orderkey as integer) as CUSTOMER_ID, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as Extraction_Time,

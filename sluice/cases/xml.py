@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +10,12 @@ from sluice.cases import case
 from sluice.cases.feeds import FEED_ROWS, feed_lines, table
 from sluice.functions.scale import build_scale
 from sluice.operators.validate import check
-from sluice.operators.xmlrows import store_losses, to_entries
+from sluice.operators.xmlrows import PROCESSORS, StoreTypeError, store_losses, to_entries
 from sluice.plans.normalize import FEED_SPEC, FEED_STORE, normalize_feed
 from sluice.session import work_dir
 from sluice.sinks.xmlfiles import part_rows, write_xml
 from sluice.sources.files import list_files, non_empty
-from sluice.sources.xml import parse_entry, read_entries, read_xml
+from sluice.sources.xml import is_entry, parse_entry, read_entries, read_xml
 from sluice.spec import StoreSpec
 
 _SOAP = StoreSpec.of(
@@ -170,3 +171,59 @@ def losses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("scale"),
     )
     return store_losses(rows, spec)
+
+
+@case(
+    "custom_processor",
+    "select p_partkey, "
+    + "'<p>' || "
+    + _element("p_name", _escaped("p_name"))
+    + " || case when p_type is null then '' else '<kind>' || list_aggregate(list_transform(string_split(p_type, ' '), "
+    + "lambda w: '<word>' || "
+    + _escaped("w")
+    + " || '</word>'), 'string_agg', '') || '</kind>' end || '</p>' as xml from part",
+)
+def custom_processor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts with a processor type that the caller brings: words of a column as elements."""
+    words = {"words": lambda text, spec: F.when(text.isNotNull(), F.struct(F.split(text, " ").alias(spec.children[0])))}
+    spec = StoreSpec.of(
+        {"entry": "p", "processors": [{"column": "p_type", "type": "words", "node": "kind", "children": ["word"]}]}
+    )
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    return to_entries(parts, spec, keep=("p_partkey",), name="xml", processors={**PROCESSORS, **words})
+
+
+@case(
+    "store_refusals",
+    """select 'again' as attempt, 'PATH_ALREADY_EXISTS' as refusal, count(*) as stored from customer
+    union all select 'date', '2108', 0 union all select 'nested', '2107', 0""",
+)
+def store_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes that are refused, and the entries at their target afterwards: over
+    old output, which stays whole, and of columns that have no XML text."""
+    customer, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    root = work_dir(spark, "refusals")
+    where = f"{root}/customers"
+    write_xml(customer, where, StoreSpec.named("customers", "customer"))
+    nested = orders.select("o_orderkey", F.struct("o_custkey", "o_orderstatus").alias("o_customer"))
+    attempts = (
+        ("again", customer, where),
+        ("date", orders.select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate")), f"{root}/dates"),
+        ("nested", nested, f"{root}/nested"),
+    )
+    found = None
+    for name, rows, target in attempts:
+        refusal = "none"
+        try:
+            write_xml(rows, target, StoreSpec.named("customers", "customer"))
+        except AnalysisException as refused:
+            refusal = refused.getCondition()
+        except StoreTypeError as refused:
+            refusal = str(refused.code)
+        # Read from above, since a folder that was refused may not be there.
+        lines = spark.read.option("recursiveFileLookup", "true").text(root)
+        here = F.col("_metadata.file_path").contains(f"/{target.rpartition('/')[2]}/") & is_entry(F.col("value"), "customer")
+        row = lines.where(here).agg(F.count("*").alias("stored"))
+        row = row.select(F.lit(name).alias("attempt"), F.lit(refusal).alias("refusal"), "stored")
+        found = row if found is None else found.unionByName(row)
+    return found

@@ -90,9 +90,16 @@ def entry_fields(
     return fields
 
 
-def to_entries(df: DataFrame, spec: StoreSpec, keep: tuple[str, ...] = (), name: str = "value") -> DataFrame:
+def to_entries(
+    df: DataFrame,
+    spec: StoreSpec,
+    keep: tuple[str, ...] = (),
+    name: str = "value",
+    processors: Mapping[str, Processor] = PROCESSORS,
+) -> DataFrame:
     """One XML text per row, always on a single line; ``keep`` columns ride
-    along and are not part of the entry.
+    along and are not part of the entry.  ``processors`` are the processor
+    types that the spec may name.
 
     One look at all text of a row tells whether it needs the careful form;
     most rows do not and skip the per-column work.
@@ -100,7 +107,7 @@ def to_entries(df: DataFrame, spec: StoreSpec, keep: tuple[str, ...] = (), name:
     stored = T.StructType([f for f in df.schema.fields if f.name not in keep])
 
     def rendered(clean: bool) -> Column:
-        fields = F.struct(*entry_fields(stored, spec, clean))
+        fields = F.struct(*entry_fields(stored, spec, clean, processors))
         return F.to_xml(fields, {**XML_NAMES, "rowTag": spec.entry, "indent": ""})
 
     # The writer ends every entry with a line end.  It goes; text cannot hold a raw tag.
