@@ -2,103 +2,100 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
+from sluice.session import remove_dir
 from sluice.streaming.ingest import start_batches
 
 #: A state is forgotten when updates of other keys are newer by so much.
 EXPIRY_DAYS = 90
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_STATE = "status string, runs bigint, updated timestamp, sequence bigint"
+_STATE = ("status", "retries", "updated", "sequence")
+_EXPIRY = "expiry_days"
 
 
-class _Newest(StatefulProcessor):
-    """Folds the summaries of a key into its state; the newest run, by time and sequence, gives the status."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", _STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.state.get() if self.state.exists() else None
-        status, runs, updated, sequence = held if held else (None, 0, None, None)
-        for frame in rows:
-            for row in frame.itertuples(index=False):
-                runs += int(row.runs)
-                if updated is None or (row.updated, row.sequence) > (pd.Timestamp(updated), sequence):
-                    status, updated, sequence = row.status, row.updated, int(row.sequence)
-        if held is None or pd.Timestamp(held[2]) != pd.Timestamp(updated):
-            if held is not None:
-                self.handle.deleteTimer(_millis(held[2]))
-            self.handle.registerTimer(_millis(updated))
-        self.state.update((status, runs, pd.Timestamp(updated).to_pydatetime(), sequence))
-        names = [f"k{i}" for i in range(len(key))]
-        yield pd.DataFrame([[*key, status, runs, updated, sequence]], columns=[*names, "status", "runs", "updated", "sequence"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
-        yield pd.DataFrame()
+def slice_states(updates: DataFrame, keys: Sequence[str], status: str, at: str, sequence: str, expiry_days: int = EXPIRY_DAYS) -> DataFrame:
+    """Every run as a state of its own (keys, status, retries, updated, sequence), for ``write_states`` to fold.
+
+    ``updates`` is a stream of runs.  Status and time of a key's state are
+    those of the run that is newest by ``at`` and ``sequence``, in whatever
+    order runs arrive; runs without a time are left out.  ``retries`` counts
+    the runs after the first.  The watermark trails the newest update of
+    earlier batches by ``expiry_days``: what it has passed is forgotten, and
+    runs that old are no longer taken.
+    """
+    return updates.where(F.col(at).isNotNull()).select(
+        *keys,
+        F.coalesce(F.col(status), F.lit("")).alias("status"),
+        F.lit(0).cast("bigint").alias("retries"),
+        F.col(at).cast("timestamp").alias("updated", metadata={_EXPIRY: expiry_days}),
+        F.coalesce(F.col(sequence).cast("bigint"), F.lit(-1)).alias("sequence"),
+    )
 
-    def close(self) -> None:
-        pass
 
+def use_state_store(spark: SparkSession) -> None:
+    """Keep the state of streaming aggregates in RocksDB, on the executors' disks, with its changes below the checkpoint."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
 
-def _millis(at) -> int:
-    return pd.Timestamp(at).value // 1_000_000
 
+def _watermark(held: DataFrame, expiry_days: int) -> Column:
+    """What the newest update so far leaves behind; null before the first one."""
+    newest = held.agg(F.unix_micros(F.max("updated")).alias("newest")).first()["newest"]
+    return F.timestamp_micros(F.lit(newest).cast("bigint")) - F.make_dt_interval(F.lit(expiry_days))
 
-def _summed(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """One row per key of each batch of rows, so a key that most rows have sends few of them on."""
-    for frame in frames:
-        newest = frame.sort_values(["updated", "sequence"]).groupby(keys, dropna=False, sort=False)
-        yield newest.agg(status=("status", "last"), runs=("status", "size"), updated=("updated", "last"), sequence=("sequence", "last")).reset_index()
 
+def _folded(held: DataFrame, runs: DataFrame, keys: Sequence[str], mark: Column) -> DataFrame:
+    """States after a batch, with ``changed`` where a run came in.
 
-def slice_states(updates: DataFrame, keys: Sequence[str], status: str, at: str, sequence: str, expiry_days: int = EXPIRY_DAYS) -> DataFrame:
-    """The state of every key that a batch updates: keys, status, retries, updated.
-
-    ``updates`` is a stream of runs.  Status and time are those of the run that
-    is newest by ``at`` and ``sequence``, in whatever order runs arrive; runs
-    without a time are left out.  ``retries`` counts the runs after the first.
-    The watermark trails the newest update by ``expiry_days``: what it has
-    passed is forgotten, and runs that old are no longer taken.  The session
-    must use the RocksDB state store (``use_state_store``).
+    One aggregate, which combines before the shuffle, so a key that most rows
+    have sends few of them on.  Of runs of equal time and sequence the one
+    held already counts.
     """
-    names = [f"k{i}" for i in range(len(keys))]
-    kinds = ", ".join(f"{n} {updates.schema[k].dataType.simpleString()}" for n, k in zip(names, keys, strict=True))
-    schema = T._parse_datatype_string(f"{kinds}, status string, runs bigint, updated timestamp, sequence bigint")
-    runs = updates.select(
-        *[F.col(k).alias(n) for n, k in zip(names, keys, strict=True)],
-        F.coalesce(F.col(status), F.lit("")).alias("status"),
-        F.lit(1).cast("bigint").alias("runs"),
-        F.col(at).cast("timestamp").alias("updated"),
-        F.coalesce(F.col(sequence).cast("bigint"), F.lit(-1)).alias("sequence"),
-    ).where(F.col(at).isNotNull())
-    summed = runs.mapInPandas(lambda frames: _summed(frames, names), schema).withWatermark("updated", f"{expiry_days} days")
-    states = summed.groupBy(*names).transformWithStateInPandas(_Newest(), schema, "Update", "EventTime")
-    back = [F.col(n).alias(k) for n, k in zip(names, keys, strict=True)]
-    return states.select(*back, "status", (F.col("runs") - 1).alias("retries"), "updated", "sequence")
+    kept = held.where(F.coalesce(F.col("updated") >= mark, F.lit(True))).withColumn("changed", F.lit(False))
+    taken = runs.where(F.coalesce(F.col("updated") > mark, F.lit(True))).withColumn("changed", F.lit(True))
+    newest = F.max(F.struct("updated", "sequence", (~F.col("changed")).alias("held"), "status")).alias("_newest")
+    folded = kept.unionByName(taken).groupBy(*keys).agg(
+        newest, (F.sum(F.col("retries") + 1) - 1).alias("retries"), F.bool_or("changed").alias("changed")
+    )
+    state = [folded["_newest"][c].alias(c) if c != "retries" else folded[c] for c in _STATE]
+    return folded.select(*keys, *state, "changed")
 
 
-def use_state_store(spark: SparkSession) -> None:
-    """Keep keyed state in RocksDB, on the executors' disks, with its changes below the checkpoint."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+def _held(spark: SparkSession, folder: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """The states that the batch before left; none before the first."""
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{folder}/batch={batch_id - 1}").select(*schema.names)
 
 
 def write_states(states: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Each batch's updated states in a folder of its own, which a batch that runs again overwrites."""
+    """Each batch's updated states in a folder of its own, which a batch that runs again overwrites.
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+    All states are a table below the checkpoint, a version per batch.  A batch
+    folds its runs into the version of the batch before, so one that runs again
+    comes to the same states.  The last two versions are kept.
+    """
+    keys = [c for c in states.columns if c not in _STATE]
+    expiry_days = states.schema["updated"].metadata.get(_EXPIRY, EXPIRY_DAYS)
+    folder = f"{checkpoint.rstrip('/')}/slice-states"
 
-    return start_batches(states, handle, checkpoint, once, mode="update")
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        held = _held(spark, folder, states.schema, batch_id)
+        version = f"{folder}/batch={batch_id}"
+        _folded(held, batch, keys, _watermark(held, expiry_days)).write.mode("overwrite").parquet(version)
+        written = spark.read.parquet(version)
+        written.where("changed").drop("changed").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        if batch_id > 1:
+            remove_dir(spark, f"{folder}/batch={batch_id - 2}")
+
+    return start_batches(states, handle, checkpoint, once)
 
 
 def current_states(spark: SparkSession, out: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:

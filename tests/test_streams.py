@@ -124,3 +124,25 @@ def test_states_expire(spark, where):
         write_states(states, f"{where}/out", f"{where}/cp", once=True).awaitTermination()
     got = {r.dataset: r.retries for r in current_states(spark, f"{where}/out", states.schema, ["dataset"]).collect()}
     assert got == {"a": 0, "b": 2}
+
+
+def test_states_are_folded_without_a_call_a_key(spark, where):
+    """A batch that runs again comes to the same states; no key is handed to Python, and old versions go."""
+    schema = "dataset string, at timestamp, status string, id bigint"
+    for n in range(4):
+        rows = spark.range(300).selectExpr(
+            "'d' || id % 100 as dataset", f"timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,id + {n}) as at", "'s' || id as status", "id"
+        )
+        rows.coalesce(1).write.mode("append").parquet(f"{where}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{where}/in")
+        states = slice_states(stream, ["dataset"], "status", "at", "id")
+        assert "Python" not in states._jdf.queryExecution().toString() and "InPandas" not in states._jdf.queryExecution().toString()
+        write_states(states, f"{where}/out", f"{where}/cp", once=True).awaitTermination()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(where).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in ("3", ".3.crc"):
+        fs.delete(path(f"{where}/cp/commits/{name}"), False)
+    write_states(states, f"{where}/out", f"{where}/cp", once=True).awaitTermination()
+    got = current_states(spark, f"{where}/out", states.schema, ["dataset"]).collect()
+    assert {(r.dataset, r.status, r.retries) for r in got} == {(f"d{i}", f"s{200 + i}", 11) for i in range(100)}
+    assert {f.getPath().getName() for f in fs.listStatus(path(f"{where}/cp/slice-states"))} == {"batch=2", "batch=3"}
