@@ -39,8 +39,14 @@ def _field(i: int) -> str:
 
 
 def csv_width(line: Column) -> Column:
-    """Number of fields of one CSV line; a blank line has one."""
-    return F.size(F.split(F.regexp_replace(line, r'(^|,)"(?:[^"]++|"")*+("|$)', "$1"), ",", -1))
+    """Number of fields of one CSV line; a blank line has one.
+
+    A line without quotes has one more than it has commas, which takes no
+    regular expression to count.
+    """
+    quoted = F.size(F.split(F.regexp_replace(line, r'(^|,)"(?:[^"]++|"")*+("|$)', "$1"), ",", -1))
+    plain = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(","), F.lit(""))) + 1
+    return F.when(line.contains('"'), quoted).otherwise(plain)
 
 
 def _verdict(spec: LoadSpec) -> Column:

@@ -15,8 +15,9 @@ from sluice.spec import ProcessorSpec, SpecError, StoreSpec, check_xml_name
 # Characters XML 1.0 does not allow: controls other than tab and line ends,
 # and the two non-characters.
 ILLEGAL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]"
-# The same and line ends: text that needs more than the usual escapes.
-_UNUSUAL = r"[\x00-\x08\x0A-\x1F\x{FFFE}\x{FFFF}]"
+# The same and line ends: text that needs more than the usual escapes.  Said by what is
+# usual, so that nearly every character is judged by the first range.
+_UNUSUAL = r"[^\x20-\x{FFFD}\x09\x{10000}-\x{10FFFF}]"
 
 _PLAIN = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 _NESTED = (T.MapType, T.StructType, T.ArrayType)
@@ -118,7 +119,7 @@ def to_entries(
     for raw, reference in (("\n", "&#10;"), ("\r", "&#13;")):
         careful = F.replace(careful, F.lit(raw), F.lit(reference))
     texts = [_text(f.name, f.dataType) for f in stored.fields if _is_free_text(f.dataType)]
-    xml = F.split(rendered(clean=False), "\n")[0]
+    xml = F.substring_index(rendered(clean=False), "\n", 1)
     if texts:
         xml = F.when(F.concat_ws("", *texts).rlike(_UNUSUAL), careful).otherwise(xml)
     return df.select(*keep, xml.alias(name))
