@@ -80,28 +80,53 @@ def fingerprint(body: Column) -> Column:
     return F.when(paths.isNotNull(), F.xxhash64(F.regexp_replace(paths, TYPES, "")))
 
 
+def _layout(names: Column) -> Column:
+    """Which of ``mappings`` finds the fields it needs among names, the first one; null for none."""
+    layout = F.lit(None).cast("int")
+    for at, (needed, _) in reversed(list(enumerate(mappings()))):
+        layout = F.when(F.size(F.array_except(F.array(*map(F.lit, needed)), names)) == 0, at).otherwise(layout)
+    return layout
+
+
+def layouts(records: DataFrame, body: str = "body") -> DataFrame:
+    """fingerprint and ``layout`` (a number in ``mappings``) of every fingerprint among the records that one describes.
+
+    One row a fingerprint, combined before the shuffle; fingerprints nobody
+    described are left out.
+    """
+    named = bound(records.select(body), __names=F.json_object_keys(F.col(body)), fingerprint=fingerprint(F.col(body)))
+    known = named.select("fingerprint", _layout(F.col("__names")).alias("layout")).where("fingerprint is not null and layout is not null")
+    return known.groupBy("fingerprint").agg(F.min("layout").alias("layout"))
+
+
 def canonical_turns(records: DataFrame, body: str = "body") -> DataFrame:
     """``records`` with ``turns`` (role, text) made from the JSON text in ``body``, and its ``fingerprint``.
 
-    The names of a text's fields select one of ``mappings``, so all texts of
-    one fingerprint have one; other fields beside those it needs do no harm.
+    The fingerprint selects one of ``mappings``, through the table ``layouts``
+    makes of all fingerprints among the records: a mapping is chosen once a
+    fingerprint, by the fields it needs; others beside them do no harm.
     Numbers and nested values in place of a text become their JSON.  Text that
     is no JSON has a null fingerprint; layouts nobody described keep theirs;
     both have null turns, so that they can be counted.  Missing texts and
     roles are empty, an empty list has no turns.  Texts may be as long as a
     string can be; only a body whose field names alone exceed 128 MiB has no
-    fingerprint, though it has turns.
+    fingerprint, and is mapped by its own names.
+
+    The table is broadcast, so that no text is shuffled; it suits records whose
+    described fingerprints are far fewer than they.
     """
     whole = {"maxStringLen": "2147483647"}
-    names = F.json_object_keys(F.col(body))
-    parsed = bound(records, __known=F.from_json(body, FIELDS, whole), __names=names, fingerprint=fingerprint(F.col(body)))
-    turns = F.lit(None).cast(TURNS)
-    for needed, mapped in reversed(mappings()):
-        found = F.size(F.array_except(F.array(*map(F.lit, needed)), "__names")) == 0
-        turns = F.when(found, mapped).otherwise(turns)
+    known = layouts(records, body).select(F.col("fingerprint").alias("__print"), F.col("layout").alias("__layout"))
+    parsed = bound(records, __known=F.from_json(body, FIELDS, whole), fingerprint=fingerprint(F.col(body)))
+    parsed = parsed.join(F.broadcast(known), F.col("fingerprint") == F.col("__print"), "left")
     # What only begins like JSON has names, but can't be parsed.
-    usable = F.col("fingerprint").isNotNull() | (F.length(body) > MOST_NAMES)
-    return parsed.withColumn("turns", F.when(usable, turns)).drop("__known", "__names", body)
+    unprinted = F.col("fingerprint").isNull() & (F.length(body) > MOST_NAMES)
+    layout = F.when(unprinted, _layout(F.json_object_keys(F.col(body)))).otherwise(F.col("__layout"))
+    turns = F.lit(None).cast(TURNS)
+    for at, (_, mapped) in enumerate(mappings()):
+        turns = F.when(F.col("__chosen") == at, mapped).otherwise(turns)
+    chosen = parsed.withColumn("__chosen", layout)
+    return chosen.withColumn("turns", turns).drop("__known", "__print", "__layout", "__chosen", body)
 
 
 def escaped(text: Column) -> Column:
