@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import re
 import zlib
 from collections import Counter
@@ -270,3 +271,32 @@ def test_quality_tells_junk_on_held_out_labels(spark):
     bad = [r.kept for r in judged if r.quality == 0]
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.1 * len(bad)
 
+
+
+def test_the_fingerprint_selects_the_layout(spark):
+    """One row a described fingerprint, whatever the number of records; records are mapped through it."""
+    bodies = [json.dumps({"prompt": f"p{i}", "completion": i}) for i in range(5)] + [json.dumps({"messages": []}), '{"else": 1}', "no json", None]
+    records = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "conv_id int, body string")
+    found = {r.fingerprint: r.layout for r in chat.layouts(records).collect()}
+    got = {r.conv_id: r for r in chat.canonical_turns(records).collect()}
+    assert sorted(found.values()) == [0, 6] and len({got[i].fingerprint for i in range(5)}) == 1
+    assert found[got[0].fingerprint] == 6 and found[got[5].fingerprint] == 0
+    assert all((got[i].turns is not None) == (got[i].fingerprint in found) for i in got)
+
+
+def test_every_trusted_document_counts(spark):
+    """More trusted documents than a sample of 20,000: a target that is the whole corpus has no log ratios."""
+    docs = spark.range(21_000).selectExpr("id as doc_id", "concat('w', id % 7, ' v', id % 11) as text")
+    labels = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    assert quality.trusted_ids(labels).count() == 21_000
+    own = quality.trusted_texts(docs, quality.trusted_ids(labels.where("doc_id % 3 = 0 or doc_id > 30000")))
+    assert own.count() == 7_000
+    assert quality.fit(docs, docs.select("text")) == [0.0] * quality.BUCKETS
+
+
+def test_quantiles_equal_percentile(spark):
+    for values in ([3.0], [1.0, 2.0], [5.0] * 40 + [1.0, -2.5, 7.25], [math.sin(i) for i in range(997)]):
+        frame = spark.createDataFrame([(v,) for v in values] + [(None,)], "ratio double")
+        want = frame.agg(F.percentile("ratio", F.array(F.lit(0.01), F.lit(0.5))).alias("q")).first()["q"]
+        assert quality.quantiles(frame, "ratio", [0.01, 0.5]) == want
+    assert quality.quantiles(frame.limit(0), "ratio", [0.5]) is None
