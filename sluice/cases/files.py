@@ -321,7 +321,8 @@ def whole_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, out, log = work_dir(spark, "feed"), work_dir(spark, "xml"), work_dir(spark, "log")
     feed_text(table(spark, sf_dir, "lineitem")).write.text(f"{root}/customer-csv")
     run = Run("ACME-Normalize-20240201T1330", "job", datetime(2024, 2, 1, 13, 30))
-    store_slice(spark, root, "customer-csv", f"{out}/customer-xml", log, run)
+    store = replace(FEED_STORE, compression="gzip")
+    store_slice(spark, root, "customer-csv", f"{out}/customer-xml", log, run, store=store)
     schema = "CUSTOMER_ID int, Extraction_Time string, Scale array<struct<Scale_Quantity: string>>"
     entries = read_entries(spark, f"{out}/customer-xml", schema, "data")
     openings = read_log(spark, log).where("log_index < 2").agg(F.count("*").cast("int")).scalar()
@@ -365,7 +366,7 @@ def store_and_deliver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored slice whose spec names two steps for each file that is closed."""
     root, out, log = work_dir(spark, "feed"), work_dir(spark, "xml"), work_dir(spark, "log")
     feed_text(table(spark, sf_dir, "lineitem")).write.text(f"{root}/customer-csv")
-    store = replace(FEED_STORE, on_close=("check {file}", "post {file}"))
+    store = replace(FEED_STORE, on_close=("check {file}", "post {file}"), compression="gzip")
 
     def action(path: str, command: str) -> None:
         if not command.endswith(path):

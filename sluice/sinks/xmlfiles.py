@@ -56,13 +56,15 @@ def write_xml(df: DataFrame, path: str, spec: StoreSpec, files: int | None = Non
     """Write rows as XML part files into a new folder (never over old output).
 
     ``files`` asks for that many evenly filled files; by default files follow
-    the partitions of the input and nothing is shuffled.
+    the partitions of the input and nothing is shuffled.  Files that
+    ``spec.compression`` names a codec for are read back whole, not split.
     """
     written = Observation()
     rows = df.observe(written, F.count(F.lit(1)).alias("rows"))
     if files is not None:
         rows = rows.repartition(files)
-    enveloped(to_entries(rows, spec), spec).write.mode("errorifexists").text(path)
+    codec = spec.compression or "none"
+    enveloped(to_entries(rows, spec), spec).write.mode("errorifexists").option("compression", codec).text(path)
     return Stored(path, written.get["rows"])
 
 

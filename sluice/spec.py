@@ -99,7 +99,7 @@ class ProcessorSpec:
 
 @dataclass(frozen=True)
 class StoreSpec:
-    """How rows become XML: element names, processors and the file envelope."""
+    """How rows become XML: element names, processors, the file envelope and the files' compression (none by default)."""
 
     entry: str
     root: str = ""
@@ -107,6 +107,7 @@ class StoreSpec:
     pre: tuple[str, ...] = ()
     post: tuple[str, ...] = ()
     on_close: tuple[str, ...] = ()
+    compression: str = ""
 
     @staticmethod
     def of(document: str | Mapping) -> StoreSpec:
@@ -136,6 +137,7 @@ class StoreSpec:
             pre=tuple(doc.get("pre") or ()),
             post=tuple(doc.get("post") or ()),
             on_close=tuple(doc.get("onclose") or ()),
+            compression=str(doc.get("compression") or ""),
         )
 
     @staticmethod

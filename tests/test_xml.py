@@ -198,3 +198,19 @@ def test_formatted_dates_and_decimals_are_accepted(spark):
     assert texts(to_entries(shown, StoreSpec.of({"entry": "e"}))) == [
         "<e><t>2024</t><d>1.50</d></e>"
     ]
+
+
+def test_compressed_files_hold_the_same_entries(spark):
+    """The store spec names a codec: files are smaller and read back alike, envelope and all; none is the default."""
+    rows = spark.range(2000).selectExpr("id", "concat('name < ', id) as name")
+    sizes = {}
+    for codec in ("", "gzip"):
+        spec = StoreSpec.of({"root": "root", "entry": "data", "compression": codec})
+        where = work_dir(spark, "compressed")
+        assert write_xml(rows, where, spec).rows == 2000
+        files = non_empty(list_files(spark, where, "part-*")).collect()
+        assert all(f["name"].endswith(".gz") == bool(codec) for f in files)
+        sizes[codec] = sum(f["length"] for f in files)
+        back = read_entries(spark, where, "id bigint, name string", "data")
+        assert sorted(back.collect()) == sorted(rows.collect())
+    assert 4 * sizes["gzip"] < sizes[""]
