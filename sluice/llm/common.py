@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,18 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
     return saved_at(frame, label)[0]
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within it, a query's shuffle files go when the query ends; for steps that write all they hand on."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; a null text has none."""
     bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANK_CHARS))

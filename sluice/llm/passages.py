@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluice.llm.common import rows_of, saved, saved_at
+from sluice.llm.common import rows_of, saved, saved_at, shuffles_removed
 from sluice.llm.components import components
 from sluice.llm.shingles import SHINGLE_WORDS, mixed, shingle_hashes, word_hashes
 from sluice.session import remove_dir
@@ -32,7 +32,17 @@ WINDOWS = AROUND - SHINGLES + 1
 #: Of two windows of 46 different shingles each, so many are shared at the least similarity.
 ENOUGH = -(-2 * SHINGLES * PERCENT // (100 + PERCENT))
 #: Places of a key that meet in one comparison; more are cut into blocks, any two of which meet.
-BLOCK = 1024
+BLOCK = 4096
+#: Meetings of more places are searched for what can be shared before any are compared; of yet more, place by place.
+FEW, MANY = 8, 64
+#: Pairs of places compared at a time, and those of them of which any two windows are.
+PAIRS, CROSS = 4096, 128
+#: Places of shingles around a key: every window about it holds the first seven or the last seven.
+PROBES = np.r_[SHINGLES // 2 : SHINGLES - 4 : 3, SHINGLES + 3 : SHINGLES + 22 : 3]
+#: Places read before the meetings among them are held.
+TOGETHER = 10_000
+_at = np.arange(AROUND)
+_factors = np.random.default_rng(19).integers(1, 2**63, AROUND + 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _salts = np.random.default_rng(9).integers(1, 2**63, BANDS, dtype=np.uint64)
 _LAST = (1 << 63) - 1
 
@@ -48,107 +58,93 @@ def _sliding(values: np.ndarray, width: int, best: np.ufunc, worst: int) -> np.n
     return best(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def _thinned(values: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """``chosen`` without places between two kept ones of the same value that no window fits between."""
-    order = chosen[np.argsort(values[chosen], kind="stable")]
-    same = values[order[1:]] == values[order[:-1]]
-    if not (same[1:] & same[:-1]).any():
-        return chosen
+def _thinned(values: np.ndarray, doc: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """``chosen`` without places between two kept ones of the same value that no window fits between; texts stand in order."""
+    order = chosen[np.lexsort((values[chosen], doc[chosen]))]
+    same = (values[order[1:]] == values[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
     keep = np.ones(len(order), bool)
-    last = order[0]
-    for i in range(1, len(order) - 1):
-        if same[i - 1] and same[i] and order[i + 1] - last <= SHINGLES:
+    last, before = -1, -1
+    for i in np.flatnonzero(same[1:] & same[:-1]) + 1:
+        if i != before + 1:
+            last = order[i - 1]
+        elif keep[before]:
+            last = order[before]
+        if order[i + 1] - last <= SHINGLES:
             keep[i] = False
-        else:
-            last = order[i]
+        before = i
     return np.sort(order[keep])
 
 
-def window_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The band keys of all windows, each once, with the place of the shingle that is the minimum.
+def keys_of(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The band keys of all windows of texts that follow one another, each once a text.
 
-    A shingle is the minimum of a window it lies in if the largest minimum
-    among those windows is its own value.  Of a key that recurs, places are
-    left out where every window with such a place holds one that is kept.
+    With each key its text and the place of the shingle that is the minimum,
+    in order of texts.  A shingle is the minimum of a window it lies in if the
+    largest minimum among those windows is its own value.  Of a key that
+    recurs, places are left out where every window with such a place holds one
+    that is kept.
     """
-    if len(words) < WINDOW:
-        return np.empty(0, np.int64), np.empty(0, np.int32)
-    shingles = shingle_hashes(words)
+    inner = np.flatnonzero(sizes >= WINDOW)
+    if not len(inner):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+    # Runs of five words that lie in one text, as do the windows of these.
+    if len(inner) < len(sizes):
+        words = words[np.repeat(sizes >= WINDOW, sizes)]
+    n = sizes[inner].astype(np.int64) - SHINGLE_WORDS + 1
+    starts = np.cumsum(n + SHINGLE_WORDS - 1) - (n + SHINGLE_WORDS - 1)
+    all_shingles = shingle_hashes(words)
+    first = np.cumsum(n) - n
+    doc = np.repeat(np.arange(len(inner)), n)
+    shingles = all_shingles[np.arange(len(doc)) + (starts - first)[doc]]
+    across = doc[: len(doc) - SHINGLES + 1] != doc[SHINGLES - 1 :]
     edge = np.zeros(SHINGLES - 1, np.uint64)
     keys, places = [], []
     for salt in _salts:
         values = mixed(shingles ^ salt)
         low = _sliding(values, SHINGLES, np.minimum, np.iinfo(np.uint64).max)
+        low[across] = 0
         chosen = np.flatnonzero(_sliding(np.concatenate([edge, low, edge]), SHINGLES, np.maximum, 0) == values)
-        chosen = _thinned(values, chosen)
+        chosen = _thinned(values, doc, chosen)
         keys.append(values[chosen])
         places.append(chosen)
-    return np.concatenate(keys).view(np.int64), np.concatenate(places).astype(np.int32)
-
-
-def _before(values: np.ndarray) -> np.ndarray:
-    """The place before each at which its value was last, -1 for none."""
-    out = np.full(len(values), -1)
-    order = np.argsort(values, kind="stable")
-    same = values[order[1:]] == values[order[:-1]]
-    out[order[1:][same]] = order[:-1][same]
-    return out
+    own = doc[np.concatenate(places)]
+    order = np.argsort(own, kind="stable")
+    own = own[order]
+    return inner[own], np.concatenate(keys)[order].view(np.int64), (np.concatenate(places)[order] - first[own]).astype(np.int32)
 
 
-def _distinct(values: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """The number of different shingles in each window."""
-    change = np.zeros(len(values) + 1, np.int64)
-    places = np.arange(len(values))
-    np.add.at(change, np.maximum(places - SHINGLES, before) + 1, 1)
-    np.add.at(change, places + 1, -1)
-    return np.cumsum(change)[: len(values) - SHINGLES + 1]
+def window_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The band keys of a text and their places, as by ``keys_of``."""
+    return keys_of(words, np.array([len(words)]))[1:]
 
 
-def similar_windows(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int] | None:
-    """First and last shingle in ``a`` and in ``b`` that their similar windows share; None without such windows.
+def _hashes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """As ``word_hashes`` the words of all texts, one text after the other, and their numbers.
 
-    Any window of the one is held against any of the other by the similarity
-    of their shingle sets.  A value counts where it is the first of its kind
-    in both windows, so a match counts in a rectangle of window pairs.
+    Most words are seen once or twice, so remembering them costs more than it saves.
     """
-    if len(a) < SHINGLES or len(b) < SHINGLES:
-        return None
-    p, q = np.nonzero(a[:, None] == b[None, :])
-    before_a, before_b = _before(a), _before(b)
-    n, m = len(a) - SHINGLES + 1, len(b) - SHINGLES + 1
-    top, left = np.maximum(p - SHINGLES, before_a[p]) + 1, np.maximum(q - SHINGLES, before_b[q]) + 1
-    bottom, right = np.minimum(p + 1, n), np.minimum(q + 1, m)
-    fits = (top < bottom) & (left < right)
-    top, left, bottom, right = top[fits], left[fits], bottom[fits], right[fits]
-    size = (n + 1) * (m + 1)
-    plus = np.bincount(np.r_[top * (m + 1) + left, bottom * (m + 1) + right], minlength=size)
-    minus = np.bincount(np.r_[top * (m + 1) + right, bottom * (m + 1) + left], minlength=size)
-    shared = (plus - minus).reshape(n + 1, m + 1).cumsum(axis=0).cumsum(axis=1)[:n, :m]
-    both = _distinct(a, before_a)[:, None] + _distinct(b, before_b)[None, :]
-    similar = 100 * shared >= PERCENT * (both - shared)
-    rows, columns = np.flatnonzero(similar.any(axis=1)), np.flatnonzero(similar.any(axis=0))
-    if not len(rows):
-        return None
-    inside = (p >= rows[0]) & (p < rows[-1] + SHINGLES) & (q >= columns[0]) & (q < columns[-1] + SHINGLES)
-    p, q = p[inside], q[inside]
-    return int(p.min()), int(p.max()), int(q.min()), int(q.max())
-
-
-def _unlike(rows: np.ndarray) -> np.ndarray:
-    """Rows in which no value recurs."""
-    return (np.diff(np.sort(rows, axis=1), axis=1) != 0).all(axis=1)
+    hashes = []
+    for text in texts.cast(pa.binary()).to_pylist():
+        words = (text or b"").lower().split()
+        hashes.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+    return np.concatenate(hashes), np.array([len(x) for x in hashes])
 
 
 def _in_place(equal: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Whether windows in [low, high) agree enough place by place, and the first and last shingle they share."""
-    total = np.concatenate([np.zeros((len(equal), 1), np.int64), equal.cumsum(axis=1)], axis=1)
-    at = np.arange(AROUND)
+    total = np.zeros((len(equal), AROUND + 1), np.int8)
+    np.cumsum(equal, axis=1, dtype=np.int8, out=total[:, 1:])
     similar = total[:, SHINGLES:] - total[:, :-SHINGLES] >= ENOUGH
-    similar &= (at[:SHINGLES] >= low[:, None]) & (at[:SHINGLES] + SHINGLES <= high[:, None])
+    similar &= (_at[:SHINGLES] >= low[:, None]) & (_at[:SHINGLES] + SHINGLES <= high[:, None])
     start = similar.argmax(axis=1)[:, None]
     stop = (SHINGLES - 1 - similar[:, ::-1].argmax(axis=1))[:, None] + SHINGLES
-    inside = equal & (at >= start) & (at < stop)
-    return similar.any(axis=1), inside.argmax(axis=1), AROUND - 1 - inside[:, ::-1].argmax(axis=1)
+    inside = equal & (_at >= start) & (_at < stop)
+    return similar.any(axis=1), *_ends(inside)
+
+
+def _ends(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last place of each row that is ``held``."""
+    return held.argmax(axis=1), held.shape[1] - 1 - held[:, ::-1].argmax(axis=1)
 
 
 def _holders(values: np.ndarray, holder: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,87 +177,97 @@ def _counted(held: np.ndarray, fresh: np.ndarray) -> np.ndarray:
     return (plus - minus).reshape(-1, size).cumsum(axis=1)[:, :WINDOWS]
 
 
-def _may(shared: np.ndarray, sizes: np.ndarray, least: np.ndarray | int) -> np.ndarray:
+def _may(shared: np.ndarray, sizes: np.ndarray, least: np.ndarray) -> np.ndarray:
     """Whether windows that share so many shingles can be similar to one of ``least`` shingles or more."""
     return (100 * shared >= PERCENT * sizes) & ((100 + PERCENT) * shared >= PERCENT * (sizes + least))
 
 
 class Meeting:
-    """Places of a key, in order of document, with the shingles around each; ``compare`` finds what is repeated.
+    """Places of keys, in order of meeting and document, with the shingles around each; ``compare`` finds what is repeated.
 
     ``spans`` are first and last shingle around a place that another document
     holds too, ``gone`` those an earlier one holds; ``group`` is the first of
-    the places joined with this one.
+    the places joined with this one.  Only places of one meeting are compared.
     """
 
-    def __init__(self, own: np.ndarray, side: np.ndarray, around: np.ndarray, valid: np.ndarray) -> None:
-        self.own, self.side, self.around, self.valid = own, side, around, valid
+    def __init__(
+        self, own: np.ndarray, side: np.ndarray, around: np.ndarray, valid: np.ndarray, meeting: np.ndarray | None = None
+    ) -> None:
         n = len(own)
+        self.own, self.side, self.around, self.valid = own, side, np.where(valid, around, np.uint32(0)), valid
+        self.meeting = np.zeros(n, np.int64) if meeting is None else meeting
         self.group = np.arange(n)
         self.spans = np.tile(np.array([AROUND, -1]), (n, 1))
         self.gone = self.spans.copy()
         self.low, self.high = valid.argmax(axis=1), AROUND - valid[:, ::-1].argmax(axis=1)
-        # Places that are no shingles agree with nothing.
-        self.slots = np.where(valid, around & 0xFFFF, 1 << 16)
-        at = np.arange(AROUND)
-        before = _before_in(np.where(valid, around, (np.uint64(1) << np.uint64(32)) | at.astype(np.uint64)))
-        self.unlike = (before < 0).all(axis=1)
-        self.fresh = np.maximum(np.maximum(at - SHINGLES, before) + 1, 0)
-        self.whole = (at[:WINDOWS] >= self.low[:, None]) & (at[:WINDOWS] + SHINGLES <= self.high[:, None])
-        self.sizes = _counted(valid, self.fresh)
-        self.least = np.where(self.whole, self.sizes, SHINGLES).min(axis=1)
-
-    def _settled(self, i: int, others: np.ndarray, found: np.ndarray) -> np.ndarray:
-        """Whether places are joined with ``i`` and share nothing with it beyond what is known to be repeated."""
-        known = (self.spans[i, 0] <= found[:, 0]) & (found[:, 1] <= self.spans[i, 1])
-        for spans in (self.spans, self.gone):
-            known &= (spans[others, 0] <= found[:, 2]) & (found[:, 3] <= spans[others, 1])
-        return known & (self.group[others] == self.group[i])
-
-    def _join(self, i: int, others: np.ndarray, found: np.ndarray) -> None:
-        """Adds spans that ``i`` and later places share."""
-        self.spans[i] = min(self.spans[i, 0], found[:, 0].min()), max(self.spans[i, 1], found[:, 1].max())
+        self.edges = AROUND - valid.sum(axis=1)
+        self.whole = (_at[:WINDOWS] >= self.low[:, None]) & (_at[:WINDOWS] + SHINGLES <= self.high[:, None])
+        # Most rows lie inside their text and hold no shingle twice.
+        ordered = np.sort(self.around, axis=1)
+        self.unlike = (ordered[:, 1:] != ordered[:, :-1]).all(axis=1) & (self.edges == 0)
+        self.fresh = np.tile(np.maximum(_at - SHINGLES + 1, 0), (n, 1))
+        self.sizes = np.full((n, WINDOWS), SHINGLES, np.int16)
+        other = np.flatnonzero(~self.unlike)
+        if len(other):
+            # Places that are no shingles agree with nothing.
+            fits, at = valid[other], _at.astype(np.uint64)
+            before = _before_in(np.where(fits, self.around[other], (np.uint64(1) << np.uint64(32)) | at))
+            self.fresh[other] = np.maximum(self.fresh[other], before + 1)
+            self.sizes[other] = _counted(fits, self.fresh[other])
+            self.unlike[other] = (before < 0).all(axis=1) & ~((self.around[other] == 0) & fits).any(axis=1)
+        self.least = np.where(self.whole, self.sizes, SHINGLES).min(axis=1).astype(np.int64)
+
+    def _settled(self, one: np.ndarray, two: np.ndarray, *ends: np.ndarray) -> np.ndarray:
+        """Whether places are joined and share nothing beyond what is known to be repeated."""
+        known = (self.spans[one, 0] <= ends[0]) & (ends[1] <= self.spans[one, 1])
         for spans in (self.spans, self.gone):
-            spans[others, 0] = np.minimum(spans[others, 0], found[:, 2])
-            spans[others, 1] = np.maximum(spans[others, 1], found[:, 3])
-        groups = np.unique(np.r_[self.group[i], self.group[others]])
-        self.group[np.isin(self.group, groups)] = groups[0]
-
-    def _join_equal(self) -> None:
-        """Joins places by windows that are equal, shingle by shingle, at one distance from the key."""
-        n, whole = len(self.own), self.whole
-        at = np.arange(AROUND)
-        total = np.zeros((n, AROUND + 1), np.uint64)
-        np.cumsum(mixed(self.around.astype(np.uint64) | (at.astype(np.uint64) << np.uint64(32))), axis=1, out=total[:, 1:])
-        holder = np.nonzero(whole)[0]
-        earliest, latest = _holders((total[:, SHINGLES:] - total[:, :-SHINGLES])[whole], holder)
-        first = np.zeros((n, WINDOWS), np.int64)
-        first[whole] = earliest
-        shared, gone = np.zeros((n, WINDOWS), bool), np.zeros((n, WINDOWS), bool)
+            known &= (spans[two, 0] <= ends[2]) & (ends[3] <= spans[two, 1])
+        return known & (self.group[two] == self.group[one])
+
+    def _join(self, one: np.ndarray, two: np.ndarray, *found: np.ndarray) -> None:
+        """Adds spans that places and later places share."""
+        for spans, places, first, last in ((self.spans, one, *found[:2]), (self.spans, two, *found[2:]), (self.gone, two, *found[2:])):
+            np.minimum.at(spans[:, 0], places, first)
+            np.maximum.at(spans[:, 1], places, last)
+        self._unite(one, two)
+
+    def _unite(self, one: np.ndarray, two: np.ndarray) -> None:
+        """Joins the groups of places, in pairs."""
+        while len(one):
+            first, second = self.group[one], self.group[two]
+            apart = first != second
+            one, two = one[apart], two[apart]
+            np.minimum.at(self.group, np.maximum(first, second)[apart], np.minimum(first, second)[apart])
+            while (self.group != self.group[self.group]).any():
+                self.group = self.group[self.group]
+
+    def _join_equal(self, rows: np.ndarray) -> None:
+        """Joins places among ``rows`` by windows that are equal, shingle by shingle, at one distance from the key."""
+        whole = self.whole[rows]
+        total = np.zeros((len(rows), AROUND + 1), np.uint64)
+        np.cumsum(mixed(self.around[rows].astype(np.uint64) | (_at.astype(np.uint64) << np.uint64(32))), axis=1, out=total[:, 1:])
+        prints = total[:, SHINGLES:] - total[:, :-SHINGLES] + mixed(self.meeting[rows].astype(np.uint64))[:, None]
+        at = np.nonzero(whole)[0]
+        holder = rows[at]
+        earliest, latest = _holders(prints[whole], holder)
+        shared, gone = np.zeros_like(whole), np.zeros_like(whole)
         shared[whole] = self.own[earliest] != self.own[latest]
         gone[whole] = self.own[holder] != self.own[earliest]
         for spans, held in ((self.spans, shared), (self.gone, gone)):
             some = held.any(axis=1)
-            spans[some, 0] = np.minimum(spans[some, 0], held[some].argmax(axis=1))
-            spans[some, 1] = np.maximum(spans[some, 1], AROUND - 1 - held[some, ::-1].argmax(axis=1))
-        places, _ = np.nonzero(shared)
-        for a, b in np.unique(np.stack([self.group[places], self.group[first[shared]]], axis=1), axis=0).tolist():
-            while a != self.group[a]:
-                a = self.group[a]
-            while b != self.group[b]:
-                b = self.group[b]
-            self.group[max(a, b)] = min(a, b)
-        while (self.group != self.group[self.group]).any():
-            self.group = self.group[self.group]
-
-    def _reach(self, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            first, last = _ends(held[some])
+            spans[rows[some], 0] = np.minimum(spans[rows[some], 0], first)
+            spans[rows[some], 1] = np.maximum(spans[rows[some], 1], last + SHINGLES - 1)
+        joined = shared[whole]
+        self._unite(earliest[joined], holder[joined])
+
+    def _reach(self, rows: np.ndarray, held: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The first and last shingle in ``held`` that similar windows can share; ``AROUND`` and -1 without any."""
-        may = self.whole & _may(_counted(held, self.fresh), self.sizes, self.least.min())
-        at = np.arange(AROUND)
-        some, start = may.any(axis=1), may.argmax(axis=1)
-        stop = AROUND - may[:, ::-1].argmax(axis=1)
-        inside = held & (at >= start[:, None]) & (at < stop[:, None]) & some[:, None]
-        return np.where(inside, at, AROUND).min(axis=1), np.where(inside, at, -1).max(axis=1)
+        may = self.whole[rows] & _may(_counted(held, self.fresh[rows]), self.sizes[rows], least[:, None])
+        some = may.any(axis=1)
+        start, stop = _ends(may)
+        inside = held & (_at >= start[:, None]) & (_at < stop[:, None] + SHINGLES) & some[:, None]
+        return np.where(inside, _at, AROUND).min(axis=1), np.where(inside, _at, -1).max(axis=1)
 
     def compare(self) -> None:
         """Every two places of different documents, but for those that can add nothing.
@@ -271,94 +277,207 @@ class Meeting:
         nothing to another such place that it is joined with already.
         """
         n = len(self.own)
-        closed, left = np.zeros(n, bool), np.arange(n)
-        if n > 2:
-            self._join_equal()
-            holder = np.nonzero(self.valid)[0]
-            earliest, latest = _holders(self.around[self.valid], holder)
-            several, before = np.zeros_like(self.valid), np.zeros_like(self.valid)
-            several[self.valid] = self.own[earliest] != self.own[latest]
-            before[self.valid] = self.own[holder] != self.own[earliest]
-            low, high = self._reach(several)
-            left = np.flatnonzero(high >= 0)
-            closed = (self.spans[:, 0] <= low) & (high <= self.spans[:, 1])
-            low, high = self._reach(before)
-            closed &= (self.gone[:, 0] <= low) & (high <= self.gone[:, 1])
-        table = np.zeros((1 << 16) + 1, bool)
-        for i in left[:-1]:
-            others = left[np.searchsorted(left, i + 1) :]
-            others = others[(self.own[others] != self.own[i]) & ((self.side[others] != self.side[i]) | (self.side[others] == 2))]
-            if closed[i]:
-                others = others[~(closed[others] & (self.group[others] == self.group[i]))]
-            if not len(others):
-                continue
-            need = -(-PERCENT * (self.least[others] + self.least[i]) // (100 + PERCENT))
-            # Low bits first, which agree wherever shingles do.
-            table[self.slots[i]] = True
-            table[-1] = False
-            may = table[self.slots[others]].sum(axis=1) >= need
-            table[self.slots[i]] = False
-            others, need = others[may], need[may]
-            if len(others):
-                self._compare(i, others, need)
-
-    def _compare(self, i: int, others: np.ndarray, need: np.ndarray) -> None:
-        places = np.flatnonzero(self.valid[i])
-        order = places[np.argsort(self.around[i][places], kind="stable")]
-        values, first = np.unique(self.around[i][order], return_index=True)
-        first_at, last_at = order[first], order[np.r_[first[1:], len(order)] - 1]
-        theirs = self.around[others]
-        index = np.minimum(np.searchsorted(values, theirs), len(values) - 1)
-        hit = (values[index] == theirs) & self.valid[others]
-        count = hit.sum(axis=1)
-        ends = np.stack(
-            [
-                np.where(hit, first_at[index], AROUND).min(axis=1),
-                np.where(hit, last_at[index], -1).max(axis=1),
-                hit.argmax(axis=1),
-                AROUND - 1 - hit[:, ::-1].argmax(axis=1),
-            ],
-            axis=1,
-        )
-        total = np.concatenate([np.zeros((len(hit), 1), np.int64), hit.cumsum(axis=1)], axis=1)
-        # No window shares more than lies in it.
-        stay = ((total[:, SHINGLES:] - total[:, :-SHINGLES]).max(axis=1) >= need) & ~self._settled(i, others, ends)
-        hit, index = hit[stay], index[stay]
-        others, ends, theirs, count = others[stay], ends[stay], theirs[stay], count[stay]
-        if not len(others):
+        if n < 2:
+            return
+        starts = np.flatnonzero(np.r_[True, self.meeting[1:] != self.meeting[:-1]])
+        sizes = np.diff(np.r_[starts, n])
+        size = np.repeat(sizes, sizes)
+        # What places can share, at most, and hold of what others hold.
+        self.reach, self.reach_gone = np.tile([[0, AROUND - 1]], (n, 1)), np.tile([[0, AROUND - 1]], (n, 1))
+        left = size > 1
+        rows = np.flatnonzero(size > FEW)
+        if len(rows):
+            self._join_equal(rows)
+            valid = self.valid[rows]
+            holder = rows[np.nonzero(valid)[0]]
+            named = (np.repeat(np.arange(len(starts)), sizes)[rows][:, None] << 32) | self.around[rows]
+            earliest, latest = _holders(named[valid], holder)
+            several, before = np.zeros_like(valid), np.zeros_like(valid)
+            several[valid] = self.own[earliest] != self.own[latest]
+            before[valid] = self.own[holder] != self.own[earliest]
+            least = np.repeat(np.minimum.reduceat(self.least, starts), sizes)[rows]
+            self.reach[rows] = np.stack(self._reach(rows, several, least), axis=1)
+            self.reach_gone[rows] = np.stack(self._reach(rows, before, least), axis=1)
+            left[rows] = self.reach[rows, 1] >= 0
+        large = left & (size > MANY)
+        self._compare_all(np.flatnonzero(left & ~large))
+        if large.any():
+            slots = (self.around & 0xFFFF).astype(np.uint16)
+            probes = np.ascontiguousarray(slots[:, PROBES])
+            for start, end in zip(starts[sizes > MANY], (starts + sizes)[sizes > MANY], strict=True):
+                self._compare_many(start + np.flatnonzero(large[start:end]), slots, probes)
+
+    def _closed(self, spans: np.ndarray, reach: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return (spans[rows, 0] <= reach[rows, 0]) & (reach[rows, 1] <= spans[rows, 1])
+
+    def _open(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Whether places, in pairs, are of different documents and blocks, and can add something."""
+        fits = (self.own[one] != self.own[two]) & ((self.side[one] != self.side[two]) | (self.side[one] == 2))
+        closed = self._closed(self.spans, self.reach, one) & self._closed(self.spans, self.reach, two)
+        closed &= self._closed(self.gone, self.reach_gone, two) & (self.group[one] == self.group[two])
+        return fits & ~closed
+
+    def _compare_all(self, rows: np.ndarray) -> None:
+        """``rows`` with those that follow in their meetings; the first of all meetings, then the second, and so on."""
+        if len(rows) < 2:
+            return
+        starts = np.flatnonzero(np.r_[True, self.meeting[rows[1:]] != self.meeting[rows[:-1]]])
+        sizes = np.diff(np.r_[starts, len(rows)])
+        at = np.arange(len(rows))
+        rank = at - np.repeat(starts, sizes)
+        later = np.repeat(sizes, sizes) - 1 - rank
+        order = np.argsort(rank, kind="stable")
+        order = order[later[order] > 0]
+        total = np.cumsum(later[order])
+        start = 0
+        while start < len(order):
+            done = total[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(total, done + PAIRS, "right")))
+            part = order[start:end]
+            one = np.repeat(part, later[part])
+            two = one + 1 + np.arange(len(one)) - np.repeat(total[start:end] - later[part] - done, later[part])
+            self._compare(rows[one], rows[two])
+            start = end
+
+    def _compare_many(self, rows: np.ndarray, slots: np.ndarray, probes: np.ndarray) -> None:
+        """``rows`` of one meeting with one another.
+
+        A window of different shingles that is similar to another such shares
+        all but six with it, so at least one of seven; every window holds the
+        first or the last seven probes.
+        """
+        table = np.zeros(1 << 16, bool)
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        pairs = 0
+        for k, i in enumerate(rows[:-1]):
+            others = rows[k + 1 :]
+            table[slots[i]] = True
+            if self.unlike[i]:
+                others = others[table[probes[others]].any(axis=1) | ~self.unlike[others]]
+            table[slots[i]] = False
+            one = np.full(len(others), i)
+            some = self._open(one, others)
+            waiting.append((one[some], others[some]))
+            pairs += len(waiting[-1][0])
+            if pairs >= PAIRS:
+                self._compare(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+                waiting, pairs = [], 0
+        if pairs:
+            self._compare(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
+
+    def _compare(self, one: np.ndarray, two: np.ndarray) -> None:
+        """Joins places, in pairs, that hold similar windows; the second of a pair is the later one."""
+        for start in range(0, len(one), PAIRS):
+            own, other = one[start : start + PAIRS], two[start : start + PAIRS]
+            some = self._open(own, other)
+            self._compare_part(own[some], other[some])
+
+    def _compare_part(self, one: np.ndarray, two: np.ndarray) -> None:
+        if not len(one):
             return
-        equal = (theirs == self.around[i]) & hit
-        low, high = np.maximum(self.low[others], self.low[i]), np.minimum(self.high[others], self.high[i])
+        a, b = self.around[one], self.around[two]
+        both = np.sort(np.concatenate([a, b], axis=1), axis=1)
+        # Exact where nothing recurs, else too many; edges are zeros.
+        shared = (both[:, 1:] == both[:, :-1]).sum(axis=1) - np.maximum(self.edges[one] + self.edges[two] - 1, 0)
+        stay = (100 + PERCENT) * shared >= PERCENT * (self.least[one] + self.least[two])
+        one, two, shared = one[stay], two[stay], shared[stay]
+        equal = (a[stay] == b[stay]) & self.valid[one] & self.valid[two]
+        low, high = np.maximum(self.low[two], self.low[one]), np.minimum(self.high[two], self.high[one])
         # Where all that is shared lies at one shift and nothing recurs, no other windows are more alike,
         # provided that those of the one are windows of the other too.
-        within = (low == self.low[i]) & (high == self.high[i]) | (low == self.low[others]) & (high == self.high[others])
-        plain = within & self.unlike[i] & self.unlike[others] & (equal.sum(axis=1) == count)
+        plain = (low == self.low[one]) & (high == self.high[one]) | (low == self.low[two]) & (high == self.high[two])
+        plain &= self.unlike[one] & self.unlike[two] & (equal.sum(axis=1) == shared)
+        rest = np.flatnonzero(~plain)
+        first, last = _ends(equal)
+        plain &= ~self._settled(one, two, first, last, first, last)
         if plain.any():
             is_repeat, first, last = _in_place(equal[plain], low[plain], high[plain])
-            if is_repeat.any():
-                found = np.stack([first, last, first, last], axis=1)[is_repeat]
-                self._join(i, others[plain][is_repeat], found)
-        others, ends, index, hit = others[~plain], ends[~plain], index[~plain], hit[~plain]
-        if not len(others):
+            first, last = first[is_repeat], last[is_repeat]
+            self._join(one[plain][is_repeat], two[plain][is_repeat], first, last, first, last)
+        for start in range(0, len(rest), CROSS):
+            part = rest[start : start + CROSS]
+            self._cross(one[part], two[part])
+
+    def _cross(self, one: np.ndarray, two: np.ndarray) -> None:
+        """Any window of the one place against any of the other, by the similarity of their shingle sets.
+
+        A value counts where it is the first of its kind in both windows, so a
+        match counts in a rectangle of window pairs.
+        """
+        # Edges of the one are zeros, those of the other ones, so that few of them agree.
+        a, b = self.around[one], np.where(self.valid[two], self.around[two], np.uint32(1))
+        match = a[:, :, None] == b[:, None, :]
+        need = -(-PERCENT * (self.least[one] + self.least[two]) // (100 + PERCENT))
+        ends, some = [], np.ones(len(one), bool)
+        for held in (match.any(axis=2) & self.valid[one], match.any(axis=1) & self.valid[two]):
+            # No window shares more than lies in it.
+            total = np.zeros((len(one), AROUND + 1), np.int8)
+            np.cumsum(held, axis=1, dtype=np.int8, out=total[:, 1:])
+            may = total[:, SHINGLES:] - total[:, :-SHINGLES] >= need[:, None]
+            some &= may.any(axis=1)
+            start, stop = _ends(may)
+            ends += _ends(held & (_at >= start[:, None]) & (_at < stop[:, None] + SHINGLES))
+        some = np.flatnonzero(some & ~self._settled(one, two, *ends))
+        if not len(some):
             return
-        may = (self.whole[others] & _may(_counted(hit, self.fresh[others]), self.sizes[others], self.least[i])).any(axis=1)
-        present = np.zeros((len(others), len(values)), bool)
-        present[np.nonzero(hit)[0], index[hit]] = True
-        mine = np.zeros((len(others), AROUND), bool)
-        mine[:, places] = present[:, np.searchsorted(values, self.around[i][places])]
-        least = self.least[others][:, None]
-        may &= (self.whole[i] & _may(_counted(mine, np.broadcast_to(self.fresh[i], mine.shape)), self.sizes[i], least)).any(axis=1)
-        for j, end in zip(others[may], ends[may], strict=True):
-            other = np.array([j])
-            if self._settled(i, other, end[None])[0]:
-                continue
-            found = similar_windows(self.around[i][self.valid[i]], self.around[j][self.valid[j]])
-            if found:
-                low = np.array([self.valid[i].argmax()] * 2 + [self.valid[j].argmax()] * 2)
-                self._join(i, other, (np.array(found) + low)[None])
+        one, two = one[some], two[some]
+        at, q = np.nonzero(match[some].reshape(-1, AROUND))
+        pair = at // AROUND
+        p = at - pair * AROUND
+        at_one, at_two = one[pair] * AROUND + p, two[pair] * AROUND + q
+        if (self.edges[one] + self.edges[two]).any():
+            fits = self.valid.ravel()[at_one] & self.valid.ravel()[at_two]
+            pair, p, q, at_one, at_two = pair[fits], p[fits], q[fits], at_one[fits], at_two[fits]
+        top, left = self.fresh.ravel()[at_one], self.fresh.ravel()[at_two]
+        bottom, right = np.minimum(p + 1, WINDOWS), np.minimum(q + 1, WINDOWS)
+        fits = (top < bottom) & (left < right)
+        top, left, bottom, right = top[fits], left[fits], bottom[fits], right[fits]
+        width = WINDOWS + 1
+        size, base = len(one) * width * width, pair[fits] * (width * width)
+        top, bottom = base + top * width, base + bottom * width
+        plus = np.bincount(np.r_[top + left, bottom + right], minlength=size)
+        minus = np.bincount(np.r_[top + right, bottom + left], minlength=size)
+        shared = (plus - minus).astype(np.int16).reshape(-1, width, width)
+        shared = shared.cumsum(axis=1, dtype=np.int16).cumsum(axis=2, dtype=np.int16)[:, :WINDOWS, :WINDOWS]
+        sizes = self.sizes[one][:, :, None] + self.sizes[two][:, None, :]
+        similar = (100 + PERCENT) * shared >= PERCENT * sizes
+        similar &= self.whole[one][:, :, None] & self.whole[two][:, None, :]
+        rows, columns = similar.any(axis=2), similar.any(axis=1)
+        some = rows.any(axis=1)
+        (top, bottom), (left, right) = _ends(rows), _ends(columns)
+        inside = some[pair] & (p >= top[pair]) & (p < bottom[pair] + SHINGLES) & (q >= left[pair]) & (q < right[pair] + SHINGLES)
+        pair, p, q = pair[inside], p[inside], q[inside]
+        if len(pair):
+            # Matches lie in order of pair.
+            first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+            ends = [f.reduceat(x, first) for x in (p, q) for f in (np.minimum, np.maximum)]
+            self._join(one[pair[first]], two[pair[first]], *ends)
+
 
+def similar_windows(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int] | None:
+    """First and last shingle in ``a`` and in ``b`` that their similar windows share; None without such windows.
+
+    Any window of the one is held against any of the other; neither is longer than the surroundings of a key.
+    """
+    around, valid = np.zeros((2, AROUND), np.uint32), np.zeros((2, AROUND), bool)
+    for row, fits, values in zip(around, valid, (a, b), strict=True):
+        row[: len(values)], fits[: len(values)] = values, True
+    met = Meeting(np.arange(2), np.full(2, 2), around, valid)
+    met._cross(np.array([0]), np.array([1]))
+    return (*met.spans[0].tolist(), *met.spans[1].tolist()) if met.spans[0, 1] >= 0 else None
 
-def repeats(own: np.ndarray, side: np.ndarray, around: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+
+def _kinds(rows: np.ndarray) -> np.ndarray:
+    """The number of each row's kind; rows of a kind are equal."""
+    _, first, kind = np.unique(rows.astype(np.uint64) @ _factors[: rows.shape[1]], return_index=True, return_inverse=True)
+    if (rows[first[kind]] != rows).any():
+        _, kind = np.unique(rows, axis=0, return_inverse=True)
+    return kind.reshape(-1)
+
+
+def repeats(
+    own: np.ndarray, side: np.ndarray, around: np.ndarray, valid: np.ndarray, meeting: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Spans, gone and group of a ``Meeting``, with equal surroundings compared once.
 
     The first and the last place of equal surroundings stand for all of them:
@@ -367,9 +486,11 @@ def repeats(own: np.ndarray, side: np.ndarray, around: np.ndarray, valid: np.nda
     holds a part of that one shows in its first place.  A place without a span
     may be given the group of another of its document.
     """
-    ends = np.stack([valid.argmax(axis=1), valid.sum(axis=1)], axis=1).astype(np.uint32)
-    rows = np.ascontiguousarray(np.concatenate([around, ends], axis=1))
-    _, kind = np.unique(rows.view(np.dtype((np.void, rows.shape[1] * 4)))[:, 0], return_inverse=True)
+    if meeting is None:
+        meeting = np.zeros(len(own), np.int64)
+    number = np.cumsum(np.diff(meeting, prepend=meeting[:1]) != 0)
+    ends = np.stack([valid.argmax(axis=1), valid.sum(axis=1), number], axis=1).astype(np.uint32)
+    kind = _kinds(np.concatenate([around, ends], axis=1))
     order = np.argsort(kind, kind="stable")
     edges = np.flatnonzero(np.diff(kind[order], prepend=-1))
     first, last = order[edges][kind], order[np.r_[edges[1:], len(order)] - 1][kind]
@@ -377,7 +498,7 @@ def repeats(own: np.ndarray, side: np.ndarray, around: np.ndarray, valid: np.nda
     chosen = np.unique(np.r_[first, last[several]])
     at = np.zeros(len(own), np.int64)
     at[chosen] = np.arange(len(chosen))
-    met = Meeting(own[chosen], side[chosen], around[chosen], valid[chosen])
+    met = Meeting(own[chosen], side[chosen], around[chosen], valid[chosen], number[chosen])
     whole = np.stack([met.low, met.high - 1], axis=1)
     one, other = at[first[several]], at[last[several]]
     met.spans[one], met.spans[other], met.gone[other] = whole[one], whole[other], whole[other]
@@ -399,23 +520,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
     """doc, row, print (128 bits of the words), n_words, keys, places of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows_of(batches):
-            prints, sizes, keys, places = [], [], [], []
-            for text in batch.column(2):
-                words = word_hashes(text.as_py())
-                own, at = window_keys(words)
-                prints.append(xxhash.xxh3_128_digest(words.tobytes()))
-                sizes.append(len(words))
-                keys.append(own)
-                places.append(at)
+        for batch in rows_of(batches, 2 << 20):
+            words, sizes = _hashes_of(batch.column(2))
+            text, keys, places = keys_of(words, sizes)
+            ends = np.cumsum(sizes)
+            prints = [xxhash.xxh3_128_digest(words[end - size : end].tobytes()) for end, size in zip(ends, sizes, strict=True)]
+            offsets = pa.array(np.r_[0, np.cumsum(np.bincount(text, minlength=len(sizes)))], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(prints, pa.binary()),
                     pa.array(sizes, pa.int32()),
-                    pa.array(keys, pa.list_(pa.int64())),
-                    pa.array(places, pa.list_(pa.int32())),
+                    pa.ListArray.from_arrays(offsets, pa.array(keys)),
+                    pa.ListArray.from_arrays(offsets, pa.array(places)),
                 ],
                 ["doc", "row", "print", "n_words", "keys", "places"],
             )
@@ -429,20 +547,34 @@ def _around(held: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc", "row", "key", "place", "size", "n", "around"]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
-        edge = np.zeros(SHINGLES - 1, np.uint32)
         for batch in rows_of(batches, 2 << 20):
-            for doc, row, text, spots in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                shingles = (shingle_hashes(word_hashes(text)) >> np.uint64(32)).astype(np.uint32)
-                padded = np.concatenate([edge, shingles, edge])
-                for start in range(0, len(spots), 4096):
-                    part = spots[start : start + 4096]
-                    places = np.array([x["place"] for x in part])
-                    data = padded[places[:, None] + np.arange(AROUND)].tobytes()
-                    around = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * AROUND), len(part), [None, pa.py_buffer(data)])
-                    columns = [[doc] * len(part), [row] * len(part), [x["key"] for x in part], places, [x["size"] for x in part], [len(shingles)] * len(part)]
-                    arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays([*arrays, around.cast(pa.binary())], names)
+            words, sizes = _hashes_of(batch.column(2))
+            # The shingles of each text, and behind them four that reach into the next one and are edge.
+            hashes = shingle_hashes(np.r_[words, np.zeros(SHINGLE_WORDS, np.uint64)])
+            shingles = (hashes >> np.uint64(32)).astype(np.uint32)
+            first, n = np.cumsum(sizes) - sizes, sizes - SHINGLE_WORDS + 1
+            spots = batch.column(3)
+            text = np.repeat(np.arange(len(sizes)), spots.value_lengths().to_numpy())
+            key, place, size = (x.to_numpy() for x in spots.flatten().flatten())
+            for start in range(0, len(text), 4096):
+                own = text[start : start + 4096]
+                at = place[start : start + 4096].astype(np.int64)[:, None] + _at - (SHINGLES - 1)
+                valid = (at >= 0) & (at < n[own][:, None])
+                data = np.where(valid, shingles[np.where(valid, at + first[own][:, None], 0)], np.uint32(0)).tobytes()
+                around = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * AROUND), len(own), [None, pa.py_buffer(data)])
+                part = slice(start, start + 4096)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(own)),
+                        batch.column(1).take(pa.array(own)),
+                        pa.array(key[part]),
+                        pa.array(place[part]),
+                        pa.array(size[part]),
+                        pa.array(n[own], pa.int32()),
+                        around.cast(pa.binary()),
+                    ],
+                    names,
+                )
 
     schema = "doc bigint, row bigint, key bigint, place int, size bigint, n int, around binary"
     return held.select("id.doc", "id.row", "text", "spots").mapInArrow(run, schema)
@@ -469,81 +601,45 @@ def _met(rows: DataFrame) -> DataFrame:
     ``gone`` is the part an earlier document holds, null for none; ``other``
     is the first place of the meeting joined with this one.
     """
-    ident = pa.struct([("doc", pa.int64()), ("row", pa.int64())])
-    kinds = [ident, *[pa.int32()] * 4, ident, *[pa.int32()] * 2]
     names = ["id", "start", "end", "gone_start", "gone_end", "other", "other_start", "other_end"]
 
-    def plain_pairs(around: np.ndarray, starts: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of meetings of two places, those that ``_in_place`` decides, with what it says."""
-        one, two = around[starts], around[starts + 1]
-        both = np.sort(np.concatenate([one, two], axis=1), axis=1)
-        shared = (both[:, 1:] == both[:, :-1]).sum(axis=1)
-        equal = one == two
-        plain = whole[starts] & whole[starts + 1] & _unlike(one) & _unlike(two) & (shared == equal.sum(axis=1))
-        edge = np.zeros(len(starts), np.int64)
-        return plain, *_in_place(equal, edge, edge + AROUND)
-
-    def compared(batch: pa.RecordBatch) -> list[tuple]:
+    def made(batch: pa.RecordBatch) -> pa.RecordBatch:
         doc, row, place, n, side, meeting = (batch.column(c).to_numpy() for c in ("doc", "row", "place", "n", "side", "meeting"))
-        around = np.frombuffer(b"".join(batch.column("around").to_pylist()), np.uint32).reshape(-1, AROUND)
-        at = place[:, None].astype(np.int64) + np.arange(AROUND) - (SHINGLES - 1)
+        order = np.lexsort((place, row, doc, meeting))
+        doc, row, place, n, side, meeting = (x[order] for x in (doc, row, place, n, side, meeting))
+        around = np.frombuffer(b"".join(batch.column("around").to_pylist()), np.uint32).reshape(-1, AROUND)[order]
+        at = place[:, None].astype(np.int64) + _at - (SHINGLES - 1)
         valid = (at >= 0) & (at < n[:, None])
-        starts = np.flatnonzero(np.r_[True, meeting[1:] != meeting[:-1]])
-        sizes = np.diff(np.r_[starts, len(meeting)])
-        out = []
-        pairs = starts[sizes == 2]
         # A document's own places don't repeat each other.
-        pairs = pairs[(doc[pairs] != doc[pairs + 1]) | (row[pairs] != row[pairs + 1])]
-        pairs = pairs[(side[pairs] != side[pairs + 1]) | (side[pairs] == 2)]
-        plain, is_repeat, first, last = plain_pairs(around, pairs, valid.all(axis=1))
-        found = [(k, s, e, s, e) for k, s, e in zip(*(x[plain & is_repeat].tolist() for x in (pairs, first, last)), strict=True)]
-        for k in pairs[~plain].tolist():
-            shared = similar_windows(around[k][valid[k]], around[k + 1][valid[k + 1]])
-            if shared:
-                low, other_low = int(valid[k].argmax()), int(valid[k + 1].argmax())
-                found.append((k, shared[0] + low, shared[1] + low, shared[2] + other_low, shared[3] + other_low))
-        for k, *spans in found:
-            ends = []
-            for i, s, e in ((k, *spans[:2]), (k + 1, *spans[2:])):
-                base = int(place[i]) - SHINGLES + 1
-                ends.append((int(doc[i]), int(row[i]), base + s, base + e + SHINGLE_WORDS))
-            (d1, r1, s1, e1), (d2, r2, s2, e2) = sorted(ends)
-            one, two = {"doc": d1, "row": r1}, {"doc": d2, "row": r2}
-            out.append((one, s1, e1, None, None, None, None, None))
-            out.append((two, s2, e2, s2, e2, one, s1, e1))
-        for k in np.flatnonzero(sizes > 2):
-            own = np.arange(starts[k], starts[k] + sizes[k])
-            own = own[np.lexsort((place[own], row[own], doc[own]))]
-            same = (doc[own][1:] == doc[own][:-1]) & (row[own][1:] == row[own][:-1])
-            spans, gone, group = repeats(np.r_[0, np.cumsum(~same)], side[own], around[own], valid[own])
-            low = place[own].astype(np.int64)[:, None] - (SHINGLES - 1) + np.array([0, SHINGLE_WORDS])
-            words, lost = (spans + low).tolist(), (gone + low).tolist()
-            name = [{"doc": d, "row": r} for d, r in zip(doc[own].tolist(), row[own].tolist(), strict=True)]
-            for i in np.flatnonzero(spans[:, 1] >= 0):
-                g = int(group[i])
-                before = lost[i] if gone[i, 1] >= 0 else [None, None]
-                other = (name[g], *words[g]) if g != i else (None, None, None)
-                out.append((name[i], *words[i], *before, *other))
-        return out
+        same = (meeting[1:] == meeting[:-1]) & (doc[1:] == doc[:-1]) & (row[1:] == row[:-1])
+        spans, gone, group = repeats(np.r_[0, np.cumsum(~same)], side, around, valid, meeting)
+        low = place.astype(np.int64)[:, None] - (SHINGLES - 1) + np.array([0, SHINGLE_WORDS])
+        words, lost = spans + low, gone + low
+        some = np.flatnonzero(spans[:, 1] >= 0)
+        other = group[some]
+        kept, alone = gone[some, 1] < 0, other == some
+        ident = lambda at, nulls=None: pa.StructArray.from_arrays([pa.array(doc[at]), pa.array(row[at])], ["doc", "row"], mask=nulls)
+        ints = lambda values, nulls=None: pa.array(values, pa.int32(), mask=nulls)
+        spans_of = lambda values, nulls=None: [ints(values[:, 0], nulls), ints(values[:, 1], nulls)]
+        columns = [ident(some), *spans_of(words[some]), *spans_of(lost[some], kept)]
+        columns += [ident(other, pa.array(alone)), *spans_of(words[other], alone)]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(batch: pa.RecordBatch) -> pa.RecordBatch:
-            columns = list(zip(*compared(batch), strict=True)) or [()] * len(kinds)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
         waiting: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
+            waiting.append(batch)
+            if sum(x.num_rows for x in waiting) < TOGETHER:
+                continue
             # All but the last meeting, which may go on in the next batch.
-            meeting = batch.column(0).to_numpy()
+            joined = pa.concat_batches(waiting)
+            meeting = joined.column(0).to_numpy()
             cut = int(np.searchsorted(meeting, meeting[-1]))
-            if waiting and (cut or waiting[0].column(0)[0].as_py() != meeting[0]):
-                yield made(pa.concat_batches([*waiting, batch.slice(0, cut)]))
-                waiting = []
-            elif cut:
-                yield made(batch.slice(0, cut))
-            waiting.append(batch.slice(cut))
+            if cut:
+                yield made(joined.slice(0, cut))
+            waiting = [joined.slice(cut)]
         if waiting:
             yield made(pa.concat_batches(waiting))
 
@@ -591,6 +687,11 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     null if no other has one.  Repeated rows are copies.  An empty table gives
     an empty one.  Columns besides doc_id and text are ignored.
     """
+    with shuffles_removed(docs.sparkSession):
+        return _passages(docs)
+
+
+def _passages(docs: DataFrame) -> DataFrame:
     full, full_folder = saved_at(_keyed(docs), "passage-windows")
     rows = saved(full.select("doc", "row", "print", "n_words"), "passage-rows")
     ident = F.struct("doc", "row")

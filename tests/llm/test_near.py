@@ -459,3 +459,72 @@ def test_passages_of_many_near_copies_in_any_blocks(spark, doc_frame, monkeypatc
     assert len(whole) == 60
     monkeypatch.setattr(passages, "BLOCK", 4)
     assert sorted(spans_of(doc_frame(rows)).items()) == whole
+
+
+@pytest.mark.parametrize("limits", [{}, {"FEW": 2, "MANY": 4, "PAIRS": 7, "CROSS": 3}, {"FEW": 99, "MANY": 99, "PAIRS": 1}])
+def test_meetings_compared_together_are_those_compared_alone(monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(passages, name, value)
+    rng = np.random.default_rng(31)
+    draw = lambda *shape: rng.integers(0, 2**32, shape, dtype=np.uint64).astype(np.uint32)
+    parts = []
+    for trial in range(25):
+        n = int(rng.integers(1, 14))
+        base, around, valid = draw(passages.AROUND), draw(n, passages.AROUND), np.ones((n, passages.AROUND), bool)
+        if trial % 3 == 0:
+            base = np.resize(base[:20], passages.AROUND)
+        for row, fits in zip(around, valid, strict=True):
+            low, high = int(rng.integers(0, 40)), int(rng.integers(50, 92))
+            row[low:high] = base[low:high]
+            if rng.random() < 0.3:
+                row[:] = np.r_[row[:40], draw(2), row[40:-2]]
+            if rng.random() < 0.3:
+                cut = rng.integers(1, 45)
+                fits[:cut], row[:cut] = False, 0
+        own = np.unique(np.sort(rng.integers(0, n, n)), return_inverse=True)[1]
+        parts.append((own, np.full(n, 2), around, valid, np.full(n, 1000 - trial)))
+    spans, gone, group = passages.repeats(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+    at = joined = 0
+    for own, _, around, valid, _ in parts:
+        n = len(own)
+        want, lost, first = np.tile(np.array([passages.AROUND, -1]), (n, 1)), np.tile(np.array([passages.AROUND, -1]), (n, 1)), np.arange(n)
+        for i in range(n):
+            for j in range(i + 1, n):
+                if own[i] == own[j]:
+                    continue
+                one, two = around[i][valid[i]], around[j][valid[j]]
+                pairs = brute_similar(one, two)
+                if pairs:
+                    k, m = zip(*pairs, strict=True)
+                    x, y = one[min(k) : max(k) + passages.SHINGLES], two[min(m) : max(m) + passages.SHINGLES]
+                    p, q = np.flatnonzero(np.isin(x, y)) + min(k) + valid[i].argmax(), np.flatnonzero(np.isin(y, x)) + min(m) + valid[j].argmax()
+                    want[i] = min(want[i, 0], p[0]), max(want[i, 1], p[-1])
+                    for ends in (want, lost):
+                        ends[j] = min(ends[j, 0], q[0]), max(ends[j, 1], q[-1])
+                    first[first == max(first[i], first[j])] = min(first[i], first[j])
+        part = slice(at, at + n)
+        found = want[:, 1] >= 0
+        assert ((spans[part, 1] >= 0) == found).all()
+        assert (spans[part][found] == want[found]).all() and (gone[part][found] == lost[found]).all()
+        assert (group[part][found] - at == first[found]).all()
+        joined += found.sum()
+        at += n
+    assert joined > 40
+
+
+def test_keys_of_texts_together_are_those_of_each_alone():
+    rng = random.Random(32)
+    texts = [" ".join(rng.choices([f"k{x}" for x in range(rng.choice([2, 9, 500]))], k=rng.choice([0, 3, 49, 50, 51, 200]))) for _ in range(60)]
+    each = [passages.word_hashes(text) for text in texts]
+    text, keys, places = passages.keys_of(np.concatenate(each), np.array([len(x) for x in each]))
+    for i, own in enumerate(each):
+        got = sorted(zip(keys[text == i].tolist(), places[text == i].tolist(), strict=True))
+        want = set()
+        for salt in passages._salts if len(own) >= passages.WINDOW else ():
+            values = passages.mixed(passages.shingle_hashes(own) ^ salt)
+            for start in range(len(values) - passages.SHINGLES + 1):
+                window = values[start : start + passages.SHINGLES]
+                at = start + np.flatnonzero(window == window.min())
+                assert any((int(window.min().astype(np.int64)), p) in got for p in at.tolist())
+                want |= {(int(window.min().astype(np.int64)), p) for p in at.tolist()}
+        assert len(set(got)) == len(got) and set(got) <= want
