@@ -9,11 +9,12 @@ it counted.  Filters are sorted, and two of them merge like sorted lists.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,12 +40,14 @@ MAP_BITS = 24
 #: Occurrences a task holds before it writes a filter, and entries of a row of a merged one.
 HELD = 1 << 20
 ROW_ENTRIES = 1 << 13
+#: Bits that name a block, at least and at most: of the largest number of blocks, 32 entries of a written filter fall in each.
+FEWEST_BITS, MOST_BITS = 8, 15
 CACHE_WORDS = 400_000
-CHUNK_BYTES = 2 << 20
+BATCH_BYTES = 8 << 20
+CHUNK_BYTES = 8 << 20
 
 FILTER = "lang string, block bigint, runs binary, remainders binary, counts binary"
 _TABLE = bytes.maketrans(EDGES + b"\t", b"\n" * len(EDGES) + b" ")
-_tokens = re.compile(rb"[^ \n]+|\n+").findall
 _gap = re.compile(rb"[ \n]").search
 _ROUNDS = np.random.default_rng(12).integers(1, 2**63, 4, dtype=np.uint64)
 
@@ -98,51 +101,106 @@ def combined(hi: np.ndarray, lo: np.ndarray, counts: np.ndarray) -> tuple[np.nda
     return one[first], two[first], np.add.reduceat(counts[order], first)
 
 
-def filter_rows(
-    hi: np.ndarray, lo: np.ndarray, counts: np.ndarray, width: int
-) -> Iterator[tuple[int, bytes, bytes, bytes]]:
-    """Sorted counters as filters: block, run lengths, remainders, counts.
+def block_bits(n_words: int) -> int:
+    """Bits that name a block: as many as give a block about a million occurrences."""
+    return min(MOST_BITS, max(FEWEST_BITS, (n_words >> 20).bit_length()))
 
-    The first ``width`` bytes of a key name its block, the byte after them its
-    quotient in the block.  ``runs`` holds how many remainders each of a
-    block's 256 quotients has; the remainders are the bytes left, in order.
-    Counts take as many bytes each as the largest needs.
+
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bytes of ``data`` as values of so many bytes each."""
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _bytes_of(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The inverse of ``_binary``."""
+    values = values.cast(pa.large_binary())
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
+    data = values.buffers()[2]
+    return np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]], np.diff(offsets)
+
+
+def filter_arrays(hi: np.ndarray, lo: np.ndarray, counts: np.ndarray, bits: int) -> list[pa.Array]:
+    """Sorted counters as filters, one a row: block, run lengths, remainders, counts.
+
+    The first ``bits`` bits of a key name its block, those after them, up to
+    the end of a byte, its quotient in the block.  ``runs`` holds how many
+    remainders each of a block's quotients has; the remainders are the bytes
+    left, in order.  Counts take as many bytes each as the largest of their
+    row needs.
     """
-    if not len(hi):
-        return
-    block = hi >> np.uint64(64 - 8 * width)
-    quotient = ((hi >> np.uint64(56 - 8 * width)) & np.uint64(255)).astype(np.intp)
-    raw = np.concatenate([hi.astype(">u8").view(np.uint8).reshape(-1, 8), lo.astype(">u8").view(np.uint8).reshape(-1, 8)], axis=1)
-    raw = np.ascontiguousarray(raw[:, width + 1 :])
-    edges = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(hi)]
-    for start, end in zip(edges, edges[1:], strict=False):
-        for at in range(start, end, ROW_ENTRIES):
-            to = min(end, at + ROW_ENTRIES)
-            runs = np.bincount(quotient[at:to], minlength=256).astype("<u2")
-            kind = next(k for k in ("<u1", "<u2", "<u4", "<u8") if int(counts[at:to].max()) <= np.iinfo(k).max)
-            yield int(block[at]), runs.tobytes(), raw[at:to].tobytes(), counts[at:to].astype(kind).tobytes()
-
-
-def filter_entries(block: int, runs: bytes, remainders: bytes, counts: bytes, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The sorted keys and counts of one filter."""
-    lengths = np.frombuffer(runs, "<u2").astype(np.intp)
-    n = int(lengths.sum())
-    raw = np.empty((n, 16), np.uint8)
-    raw[:, :width] = np.frombuffer(block.to_bytes(width, "big"), np.uint8)
-    raw[:, width] = np.repeat(np.arange(256, dtype=np.uint8), lengths)
-    raw[:, width + 1 :] = np.frombuffer(remainders, np.uint8).reshape(n, 15 - width)
+    u, head = np.uint64, bits // 8 + 1
+    quotients = 1 << (8 * head - bits)
+    block = hi >> u(64 - bits)
+    edges = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))[: len(hi)])
+    pieces = -(-np.diff(np.append(edges, len(hi))) // ROW_ENTRIES)
+    starts = np.repeat(edges, pieces) + ROW_ENTRIES * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    sizes = np.diff(np.append(starts, len(hi)))
+    row = np.repeat(np.arange(len(starts)), sizes)
+    quotient = (hi >> u(64 - 8 * head)).astype(np.int64) & (quotients - 1)
+    runs = np.bincount(row * quotients + quotient, minlength=len(starts) * quotients).astype("<u2")
+    raw = np.stack([hi, lo], axis=1).astype(">u8").view(np.uint8)[:, head:]
+    most = np.maximum.reduceat(counts, starts) if len(starts) else counts
+    width = np.where(most < 1 << 8, 1, np.where(most < 1 << 16, 2, np.where(most < 1 << 32, 4, 8)))
+    each = np.ascontiguousarray(counts.astype("<u8")).view(np.uint8).reshape(-1, 8)
+    used = np.arange(8) < np.repeat(width, sizes)[:, None] if (width > 1).any() else np.s_[:, :1]
+    return [
+        pa.array(block[starts].astype(np.int64)),
+        _binary(runs.view(np.uint8), np.full(len(starts), 2 * quotients)),
+        _binary(raw, sizes * (16 - head)),
+        _binary(each[used], sizes * width),
+    ]
+
+
+def array_entries(arrays: list[pa.Array], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted keys and counts of each filter, one after the other, and how many each has."""
+    block, runs, remainders, counts = arrays
+    head = bits // 8 + 1
+    quotients = 1 << (8 * head - bits)
+    lengths = _bytes_of(runs)[0].view("<u2").reshape(-1, quotients).astype(np.intp)
+    sizes = lengths.sum(axis=1)
+    tops = (block.to_numpy().astype(np.uint64) * np.uint64(quotients))[:, None] + np.arange(quotients, dtype=np.uint64)
+    raw = np.empty((int(sizes.sum()), 16), np.uint8)
+    raw[:, :head] = np.repeat(tops.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - head :], lengths.ravel(), axis=0)
+    raw[:, head:] = _bytes_of(remainders)[0].reshape(-1, 16 - head)
     keys = raw.view(">u8").astype(np.uint64)
-    return keys[:, 0], keys[:, 1], np.frombuffer(counts, f"<u{len(counts) // n}").astype(np.int64)
+    data, size = _bytes_of(counts)
+    width = size // np.maximum(sizes, 1)
+    if (width > 1).any():
+        each = np.zeros((len(raw), 8), np.uint8)
+        each[np.arange(8) < np.repeat(width, sizes)[:, None]] = data
+        numbers = each.view("<u8").ravel().astype(np.int64)
+    else:
+        numbers = data.astype(np.int64)
+    return keys[:, 0], keys[:, 1], numbers, sizes
+
+
+def filter_rows(hi: np.ndarray, lo: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """``filter_arrays`` row by row."""
+    yield from zip(*(a.to_pylist() for a in filter_arrays(hi, lo, counts, bits)), strict=True)
+
+
+def filter_entries(block: int, runs: bytes, remainders: bytes, counts: bytes, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``array_entries`` of one filter."""
+    return array_entries([pa.array([block], pa.int64()), *(pa.array([b], pa.binary()) for b in (runs, remainders, counts))], bits)[:3]
+
+
+def _filter_batches(lang: str, hi: np.ndarray, lo: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Filters of a language's sorted counters."""
+    for at in range(0, len(hi), HELD):
+        part = slice(at, at + HELD)
+        arrays = filter_arrays(hi[part], lo[part], counts[part], bits)
+        langs = pa.array([lang] * len(arrays[0]), pa.string())
+        yield pa.RecordBatch.from_arrays([langs, *arrays], ["lang", "block", "runs", "remainders", "counts"])
 
 
-def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * 5
-    kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-    arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, ["lang", "block", "runs", "remainders", "counts"])
+def _read_filters(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[tuple[pa.RecordBatch, tuple[np.ndarray, ...]]]:
+    """Batches of filters with their ``array_entries``."""
+    for batch in rows_of(batches, BATCH_BYTES):
+        yield batch, array_entries([batch.column(i) for i in range(1, 5)], bits)
 
 
-def merged(filters: DataFrame, width: int, least: int = 1) -> DataFrame:
+def merged(filters: DataFrame, bits: int, least: int = 1) -> DataFrame:
     """Filters of all shards as one filter per language and block, without counters below ``least``.
 
     A shard sends one counter per n-gram whatever the number of its
@@ -160,19 +218,19 @@ def merged(filters: DataFrame, width: int, least: int = 1) -> DataFrame:
             if parts:
                 hi, lo, counts = folded()
                 enough = counts >= least
-                rows = [(key[0], *row) for row in filter_rows(hi[enough], lo[enough], counts[enough], width)]
-                if rows:
-                    yield _row_batch(rows)
-
-        for batch in batches:
-            for lang, block, *body in zip(*(batch.column(i) for i in range(5)), strict=True):
-                own = (lang.as_py(), block.as_py())
-                if own != key:
+                yield from _filter_batches(key[0], hi[enough], lo[enough], counts[enough], bits)
+
+        for batch, (hi, lo, counts, sizes) in _read_filters(batches, bits):
+            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            ends = np.cumsum(sizes)
+            edges = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1]]
+            for start, end in zip(edges, [*edges[1:], len(keys)], strict=True):
+                if keys[start] != key:
                     yield from done()
-                    key, parts, held = own, [], 0
-                entries = filter_entries(own[1], *(b.as_py() for b in body), width)
-                parts.append(entries)
-                held += len(entries[0])
+                    key, parts, held = keys[start], [], 0
+                part = slice(ends[start] - sizes[start], ends[end - 1])
+                parts.append((hi[part], lo[part], counts[part]))
+                held += len(parts[-1][0])
                 if held > 2 * HELD:
                     parts = [folded()]
                     held = len(parts[0][0]) // 2
@@ -182,18 +240,16 @@ def merged(filters: DataFrame, width: int, least: int = 1) -> DataFrame:
     return near.mapInArrow(run, FILTER)
 
 
-def entries(filters: DataFrame, width: int) -> DataFrame:
+def entries(filters: DataFrame, bits: int) -> DataFrame:
     """lang, slot, w1, w2, w3 (0 for none), n of every counter of the filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, block, *body in zip(*(batch.column(i) for i in range(5)), strict=True):
-                hi, lo, counts = filter_entries(block.as_py(), *(b.as_py() for b in body), width)
-                slot = (hi >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-                one, two, three, _ = (a.astype(np.int64) for a in unpacked(*restored(hi, lo)))
-                langs = pa.array([lang.as_py()] * len(hi), pa.string())
-                arrays = [langs, *(pa.array(a) for a in (slot, one, two, three, counts))]
-                yield pa.RecordBatch.from_arrays(arrays, ["lang", "slot", "w1", "w2", "w3", "n"])
+        for batch, (hi, lo, counts, sizes) in _read_filters(batches, bits):
+            slot = (hi >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+            one, two, three, _ = (a.astype(np.int64) for a in unpacked(*restored(hi, lo)))
+            langs = batch.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            arrays = [langs, *(pa.array(a) for a in (slot, one, two, three, counts))]
+            yield pa.RecordBatch.from_arrays(arrays, ["lang", "slot", "w1", "w2", "w3", "n"])
 
     return filters.mapInArrow(run, "lang string, slot bigint, w1 bigint, w2 bigint, w3 bigint, n bigint")
 
@@ -209,13 +265,18 @@ def _by_lang(batch: pa.RecordBatch) -> dict[str, bytes]:
     return {lang: b"\n".join(own).lower().translate(_TABLE) for lang, own in texts.items()}
 
 
-def _chunks(data: bytes, size: int) -> Iterator[list[bytes]]:
-    """Words and edges in order, cut between words, so that even one huge text is never held as words."""
+def _chunks(data: bytes, size: int) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Words and edges in order, as numbers of the different ones and these.
+
+    Text is cut between words, so that even one huge text is never held as words.
+    """
     at = 0
     while at < len(data):
         gap = _gap(data, min(len(data), at + size))
         end = gap.start() if gap else len(data)
-        yield _tokens(data, at, end)
+        tokens = pc.split_pattern(pa.array([data[at:end].replace(b"\n", b" \n ")], pa.binary()), " ").values.dictionary_encode()
+        numbers, empty = tokens.indices.to_numpy(), pc.index(tokens.dictionary, b"").as_py()
+        yield numbers[numbers != empty], tokens.dictionary
         at = end
 
 
@@ -227,23 +288,30 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """lang, word, n of every word; counted in each task before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
+        held: dict[str, list[pa.Table]] = {}
+
+        def folded(tables: list[pa.Table]) -> pa.Table:
+            return pa.concat_tables(tables).group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang, own in counts.items():
-                rows = [(word.decode(), n) for word, n in own.items() if word[0] != 10]
-                words, numbers = zip(*rows, strict=True) if rows else ((), ())
-                columns = [pa.array([lang] * len(rows), pa.string()), pa.array(words, pa.string()), pa.array(numbers, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "n"])
-            counts.clear()
-
-        for batch in rows_of(batches, 4 << 20):
+            for lang, tables in held.items():
+                own = folded(tables)
+                columns = [pa.array([lang] * len(own), pa.string()), own.column("word").cast(pa.string()), own.column("n")]
+                yield from pa.table(columns, ["lang", "word", "n"]).to_batches(max_chunksize=1 << 16)
+            held.clear()
+
+        for batch in rows_of(batches, BATCH_BYTES):
             for lang, data in _by_lang(batch).items():
-                own = counts.setdefault(lang, Counter())
-                for tokens in _chunks(data, CHUNK_BYTES):
-                    own.update(tokens)
-            if sum(map(len, counts.values())) > CACHE_WORDS:
-                yield from flush()
+                for numbers, tokens in _chunks(data, CHUNK_BYTES):
+                    n = np.bincount(numbers, minlength=len(tokens))
+                    own = np.flatnonzero(n)
+                    words = tokens.take(pa.array(own))
+                    is_word = pc.not_equal(words, b"\n")
+                    held.setdefault(lang, []).append(pa.table([words, pa.array(n[own])], ["word", "n"]).filter(is_word))
+            if sum(len(x) for tables in held.values() for x in tables) > 2 * CACHE_WORDS:
+                held |= {lang: [folded(tables)] for lang, tables in held.items()}
+                if sum(len(x) for tables in held.values() for x in tables) > CACHE_WORDS:
+                    yield from flush()
         yield from flush()
 
     parts = _texts(docs).mapInArrow(run, "lang string, word string, n bigint")
@@ -283,31 +351,22 @@ def _turn(lang: str) -> int:
     return xxhash.xxh64_intdigest(lang.encode(), 42) & ((1 << MAP_BITS) - 1)
 
 
-class _Ids(dict):
-    """Ids of a language's words, ``BREAK`` for edges and for words that are not frequent."""
-
-    def __init__(self, lang: str, known: np.ndarray, clashes: dict[bytes, int], bits: int) -> None:
-        self.turn, self.known, self.clashes, self.mask = _turn(lang), known, clashes, (1 << bits) - 1
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self.clashes.get(word)
-        if value is None:
-            value = BREAK if word[0] == 10 else xxhash.xxh64_intdigest(word, 42) & self.mask
-        if value != BREAK:
-            slot = (value + self.turn) & ((1 << MAP_BITS) - 1)
-            if not int(self.known[slot >> 6]) >> (slot & 63) & 1:
-                value = BREAK
-        self[word] = value
-        return value
-
-
 def _set_bits(bits: np.ndarray, slots: np.ndarray) -> np.ndarray:
     return (bits[(slots >> np.uint64(6)).astype(np.intp)] >> (slots & np.uint64(63))) & np.uint64(1) != 0
 
 
-def ngram_filters(docs: DataFrame, size: int, width: int, known: bytes, clashes: dict[bytes, int], pairs: bytes | None = None) -> DataFrame:
+def _ids(lang: str, tokens: pa.Array, known: np.ndarray, clashes: dict[bytes, int], bits: int) -> np.ndarray:
+    """Ids of a language's words, ``BREAK`` for edges and for words that are not frequent."""
+    words = tokens.to_numpy(zero_copy_only=False)
+    ids = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(42)), np.uint64, len(words)) & np.uint64((1 << bits) - 1)
+    if clashes:
+        ids = np.fromiter(map(clashes.get, words, ids), np.uint64, len(words))
+    frequent = _set_bits(known, (ids + np.uint64(_turn(lang))) & np.uint64((1 << MAP_BITS) - 1))
+    frequent &= pc.not_equal(tokens, b"\n").to_numpy(zero_copy_only=False)
+    return np.where(frequent, ids, np.uint64(BREAK))
+
+
+def ngram_filters(docs: DataFrame, size: int, bits: int, known: bytes, clashes: dict[bytes, int], pairs: bytes | None = None) -> DataFrame:
     """Each task's filters of the n-grams of ``size`` words (2 or 3) within pieces.
 
     Words outside ``known`` end a piece.  With ``pairs`` an n-gram counts only
@@ -319,7 +378,6 @@ def ngram_filters(docs: DataFrame, size: int, width: int, known: bytes, clashes:
         own_known, own_clashes, own_pairs = shared.value
         word_bits = np.frombuffer(own_known, np.uint64)
         pair_bits = None if own_pairs is None else np.frombuffer(own_pairs, np.uint64)
-        ids: dict[str, _Ids] = {}
         held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def keys(lang: str, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -338,19 +396,16 @@ def ngram_filters(docs: DataFrame, size: int, width: int, known: bytes, clashes:
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, parts in held.items():
                 hi, lo = (np.concatenate(p) for p in zip(*parts, strict=True))
-                rows = [(lang, *row) for row in filter_rows(*combined(hi, lo, np.ones(len(hi), np.int64)), width)]
-                if rows:
-                    yield _row_batch(rows)
+                yield from _filter_batches(lang, *combined(hi, lo, np.ones(len(hi), np.int64)), bits)
             held.clear()
 
         count = 0
-        for batch in rows_of(batches, 4 << 20):
+        for batch in rows_of(batches, BATCH_BYTES):
             for lang, data in _by_lang(batch).items():
-                if lang not in ids:
-                    ids[lang] = _Ids(lang, word_bits, own_clashes, HASH_BITS)
                 tail = np.zeros(0, np.uint64)
-                for tokens in _chunks(data, CHUNK_BYTES):
-                    own = np.concatenate([tail, np.fromiter(map(ids[lang].__getitem__, tokens), np.uint64, len(tokens))])
+                for numbers, tokens in _chunks(data, CHUNK_BYTES):
+                    each = _ids(lang, tokens, word_bits, own_clashes, HASH_BITS)
+                    own = np.concatenate([tail, each[numbers]])
                     tail = own[max(0, len(own) - size + 1) :]
                     if len(own) >= size:
                         held.setdefault(lang, []).append(keys(lang, own))
@@ -388,8 +443,7 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, absorb
     words = saved(word_counts(docs), "phrase-words")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
     n_words = words.agg(F.sum("n")).first()[0] or 0
-    # Bytes that name a block: as many as give a block about a million occurrences.
-    width = max(1, -(-(int(n_words).bit_length() - 20) // 8))
+    bits = block_bits(n_words)
     clashes = _clashes(words, least)
     frequent = words.where(F.col("n") >= least)
     if clashes:
@@ -403,11 +457,11 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, top: int = TOP, absorb
     slot = lambda c: (c + turn).bitwiseAND(F.lit((1 << MAP_BITS) - 1)).alias("slot")
     known = _map_of(frequent.select(slot(F.col("id"))))
 
-    two = saved(merged(ngram_filters(docs, 2, width, known, clashes), width, least), "phrase-pairs")
-    two = saved(entries(two, width), "phrase-pair-counts")
+    two = saved(merged(ngram_filters(docs, 2, bits, known, clashes), bits, least), "phrase-pairs")
+    two = saved(entries(two, bits), "phrase-pair-counts")
     pairs = _map_of(two.select(slot(F.col("slot"))))
-    three = saved(merged(ngram_filters(docs, 3, width, known, clashes, pairs), width, least), "phrase-triples")
-    three = entries(three, width).select("lang", "w1", "w2", "w3", F.col("n").alias("a"))
+    three = saved(merged(ngram_filters(docs, 3, bits, known, clashes, pairs), bits, least), "phrase-triples")
+    three = entries(three, bits).select("lang", "w1", "w2", "w3", F.col("n").alias("a"))
 
     def word(at: int) -> DataFrame:
         return frequent.select("lang", F.col("id").alias(f"w{at}"), F.col("word").alias(f"word{at}"), F.col("f").alias(f"f{at}"))

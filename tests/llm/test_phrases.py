@@ -142,3 +142,23 @@ def test_keys_with_one_high_half_stay_apart():
     lo = np.array([2, 1, 2, 9], np.uint64)
     one, two, counts = phrases.combined(hi, lo, np.ones(4, np.int64))
     assert (one.tolist(), two.tolist(), counts.tolist()) == ([1, 5, 5], [9, 1, 2], [1, 1, 2])
+
+
+@pytest.mark.parametrize("n_words", [10_000, 136_000_000, 1_600_000_000, 10**12])
+def test_filters_stay_few_however_many_words(n_words):
+    # A task's filter of a million counters goes out in rows that cost little beside what they hold.
+    bits = phrases.block_bits(n_words)
+    rng = np.random.default_rng(bits)
+    n = phrases.HELD
+    hi, lo = np.sort(rng.integers(0, 1 << 64, n, dtype=np.uint64)), rng.integers(0, 1 << 64, n, dtype=np.uint64)
+    counts = rng.integers(1, 200, n)
+    counts[rng.integers(0, n, 9)] = 300, 70_000, 1 << 33, 255, 256, 65_535, 65_536, (1 << 32) - 1, 1 << 32
+    arrays = phrases.filter_arrays(hi, lo, counts, bits)
+    assert len(arrays[0]) <= 1 << 15
+    assert sum(a.nbytes for a in arrays) <= 20 * n
+    for start in (0, 3):
+        # The arrays of a batch that was cut begin anywhere.
+        *back, sizes = phrases.array_entries([a.slice(start) for a in arrays], bits)
+        left = n - int(sizes.sum())
+        assert left if start else not left
+        assert all((was[left:] == now).all() for was, now in zip((hi, lo, counts), back, strict=True))
