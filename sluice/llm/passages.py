@@ -32,9 +32,13 @@ WINDOWS = AROUND - SHINGLES + 1
 #: Of two windows of 46 different shingles each, so many are shared at the least similarity.
 ENOUGH = -(-2 * SHINGLES * PERCENT // (100 + PERCENT))
 #: Places of a key that meet in one comparison; more are cut into blocks, any two of which meet.
-BLOCK = 4096
+BLOCK = 8192
 #: Meetings of more places are searched for what can be shared before any are compared; of yet more, place by place.
 FEW, MANY = 8, 64
+#: Places with recurring shingles in a meeting, above which its places are found by the rarest shingles of their windows.
+LOOSE = 0
+#: Windows whose shingles are sorted at a time, and pairs of places found so.
+SORTED, FOUND = 1 << 14, 1 << 20
 #: Pairs of places compared at a time, and those of them of which any two windows are.
 PAIRS, CROSS = 4096, 128
 #: Places of shingles around a key: every window about it holds the first seven or the last seven.
@@ -243,10 +247,14 @@ class Meeting:
 
     def _join_equal(self, rows: np.ndarray) -> None:
         """Joins places among ``rows`` by windows that are equal, shingle by shingle, at one distance from the key."""
-        whole = self.whole[rows]
         total = np.zeros((len(rows), AROUND + 1), np.uint64)
         np.cumsum(mixed(self.around[rows].astype(np.uint64) | (_at.astype(np.uint64) << np.uint64(32))), axis=1, out=total[:, 1:])
         prints = total[:, SHINGLES:] - total[:, :-SHINGLES] + mixed(self.meeting[rows].astype(np.uint64))[:, None]
+        self._join_prints(rows, prints)
+
+    def _join_prints(self, rows: np.ndarray, prints: np.ndarray) -> None:
+        """Joins places among ``rows`` by windows of one print."""
+        whole = self.whole[rows]
         at = np.nonzero(whole)[0]
         holder = rows[at]
         earliest, latest = _holders(prints[whole], holder)
@@ -346,6 +354,8 @@ class Meeting:
         all but six with it, so at least one of seven; every window holds the
         first or the last seven probes.
         """
+        if (~self.unlike[rows]).sum() > LOOSE and self._compare_sets(rows):
+            return
         table = np.zeros(1 << 16, bool)
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         pairs = 0
@@ -365,6 +375,78 @@ class Meeting:
         if pairs:
             self._compare(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
 
+    def _compare_sets(self, rows: np.ndarray) -> bool:
+        """``rows`` of one meeting with one another, by the sets of shingles of their windows; False if that leaves out little.
+
+        Windows of one set join their places, and share all they hold.  Of two
+        similar windows of different sets, each holds three quarters of the
+        other, so the rarest shingles of the one, one more than it may have
+        for itself, and those of the other have one in common; sets of one or
+        two shingles are similar to no other.
+        """
+        valid, fresh, whole = self.valid[rows], self.fresh[rows], self.whole[rows]
+        n = len(rows)
+        if n < 2:
+            return True
+        row = np.nonzero(valid)[0]
+        values, number = np.unique(self.around[rows][valid], return_inverse=True)
+        weight = np.zeros((n, AROUND), np.uint64)
+        weight[valid] = mixed(mixed(values.astype(np.uint64)))[number]
+        prints = np.zeros((n, AROUND + 1), np.uint64)
+        np.add.at(prints, (row, fresh[valid]), weight[valid])
+        prints[:, 1:] -= weight
+        prints = np.cumsum(prints, axis=1, dtype=np.uint64)[:, :WINDOWS]
+        self._join_prints(rows, prints)
+
+        rank = np.empty(len(values), np.int32)
+        rank[np.argsort(np.bincount(number), kind="stable")] = np.arange(len(values), dtype=np.int32)
+        ranks = np.zeros((n, AROUND), np.int32)
+        ranks[valid] = rank[number]
+        whole &= self.sizes[rows] > 2
+        place, start = np.nonzero(whole)
+        _, first, kind = np.unique(prints[whole], return_index=True, return_inverse=True)
+        rarest, several = [], []
+        for k in range(0, len(first), SORTED):
+            some = first[k : k + SORTED]
+            held = np.sort(ranks[place[some][:, None], start[some][:, None] + _at[:SHINGLES]], axis=1)
+            fresh_one = np.ones(held.shape, bool)
+            fresh_one[:, 1:] = held[:, 1:] != held[:, :-1]
+            size = self.sizes[rows[place[some]], start[some]].astype(np.int64)
+            own, of = size + 1 - -(-PERCENT * size // 100), np.cumsum(fresh_one, axis=1)
+            kept = fresh_one & (of <= own[:, None])
+            rarest.append(held[kept])
+            several.append(kept.sum(axis=1))
+        if not rarest:
+            return True
+        # Each place once with each of the rarest shingles of its windows, in order of these.
+        rarest, several = np.concatenate(rarest).astype(np.int64), np.concatenate(several)
+        ends = np.cumsum(several)
+        named = np.unique(place * len(first) + kind)
+        place, kind = named // len(first), named % len(first)
+        many = several[kind]
+        which = np.repeat(ends[kind] - np.cumsum(many), many) + np.arange(many.sum())
+        named = np.unique(rarest[which] * n + np.repeat(place, many))
+        shingle, place = named // n, named % n
+        stop = np.searchsorted(shingle, shingle, "right")
+        later = stop - 1 - np.arange(len(place))
+        if later.sum() > n * n:
+            return False
+        # The later places with each shingle of a place, place by place.
+        order = np.argsort(place, kind="stable")
+        order = order[later[order] > 0]
+        total = np.cumsum(later[order])
+        begin = 0
+        while begin < len(order):
+            done = total[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(total, done + FOUND, "right")))
+            part = order[begin:end]
+            one = np.repeat(place[part], later[part])
+            two = place[np.repeat(part + 1 - (total[begin:end] - later[part] - done), later[part]) + np.arange(len(one))]
+            pairs = np.unique(one * n + two)
+            self._compare(rows[pairs // n], rows[pairs % n])
+            begin = end
+        return True
+
     def _compare(self, one: np.ndarray, two: np.ndarray) -> None:
         """Joins places, in pairs, that hold similar windows; the second of a pair is the later one."""
         for start in range(0, len(one), PAIRS):

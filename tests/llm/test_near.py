@@ -528,3 +528,63 @@ def test_keys_of_texts_together_are_those_of_each_alone():
                 assert any((int(window.min().astype(np.int64)), p) in got for p in at.tolist())
                 want |= {(int(window.min().astype(np.int64)), p) for p in at.tolist()}
         assert len(set(got)) == len(got) and set(got) <= want
+
+
+def places_in_runs(rng, n, words=12):
+    """Surroundings of a place in a run of one word, between runs of other words; few of their windows are alike."""
+    own, around = [], []
+    for i in range(n):
+        runs = [(int(rng.integers(1, words)), int(rng.integers(2, 40))) for _ in range(6)]
+        runs[3] = 0, int(rng.integers(8, 40))
+        text = np.concatenate([np.full(size, word + 1, np.uint64) for word, size in runs])
+        shingles = (passages.shingle_hashes(passages.mixed(text)) >> np.uint64(32)).astype(np.uint32)
+        at = sum(size for _, size in runs[:3]) + int(rng.integers(0, runs[3][1] - 4))
+        row, places = np.zeros(passages.AROUND, np.uint32), at + np.arange(passages.AROUND) - passages.SHINGLES + 1
+        fits = (places >= 0) & (places < len(shingles))
+        row[fits] = shingles[places[fits]]
+        own.append(i // 3)
+        around.append((row, fits))
+    return np.array(own), np.stack([x for x, _ in around]), np.stack([x for _, x in around])
+
+
+@pytest.mark.parametrize("found", [1 << 20, 50])
+def test_windows_of_recurring_shingles_meet_by_their_sets(monkeypatch, found):
+    monkeypatch.setattr(passages, "FEW", 2)
+    monkeypatch.setattr(passages, "MANY", 4)
+    monkeypatch.setattr(passages, "FOUND", found)
+    monkeypatch.setattr(passages, "SORTED", found)
+    rng = np.random.default_rng(found)
+    some = 0
+    for trial in range(12):
+        own, around, valid = places_in_runs(rng, int(rng.integers(5, 16)), 3 + trial % 3)
+        n = len(own)
+        met = passages.Meeting(own, np.full(n, 2), around, valid)
+        met.compare()
+        want, lost, first = np.tile(np.array([passages.AROUND, -1]), (n, 1)), np.tile(np.array([passages.AROUND, -1]), (n, 1)), np.arange(n)
+        for i in range(n):
+            for j in range(i + 1, n):
+                got = own[i] != own[j] and passages.similar_windows(around[i][valid[i]], around[j][valid[j]])
+                if got:
+                    a, b, c, d = (x + int(valid[k].argmax()) for x, k in zip(got, (i, i, j, j), strict=True))
+                    want[i] = min(want[i, 0], a), max(want[i, 1], b)
+                    for ends in (want, lost):
+                        ends[j] = min(ends[j, 0], c), max(ends[j, 1], d)
+                    first[first == max(first[i], first[j])] = min(first[i], first[j])
+        assert (met.spans == want).all() and (met.gone == lost).all() and (met.group == first).all()
+        some += len(np.unique(first)) < n
+    assert some > 6
+
+
+def test_a_common_repeated_word_brings_few_pairs_together(monkeypatch):
+    pairs = [0]
+    cross = passages.Meeting._cross
+
+    def counted(self, one, two):
+        pairs[0] += len(one)
+        cross(self, one, two)
+
+    monkeypatch.setattr(passages.Meeting, "_cross", counted)
+    own, around, valid = places_in_runs(np.random.default_rng(3), 400, 2000)
+    passages.repeats(own, np.full(400, 2), around, valid)
+    # Of 79,401 pairs of places of different documents.
+    assert pairs[0] < 400
